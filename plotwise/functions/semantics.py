@@ -214,10 +214,12 @@ def recode(c: ColumnOrName, mapping: Mapping, default: Column | None = None) ->
 
 def row_mean(*cols: ColumnOrName) -> Column:
     """Mean across columns of one row, ignoring missing values; NULL when
-    all are missing."""
-    arr = F.filter(F.array(*[col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-    total = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
-    return F.try_divide(total, F.size(arr).cast("double"))
+    all are missing. Plain arithmetic (no lambda functions), so it stays in
+    generated code."""
+    vals = [col(c).cast("double") for c in cols]
+    total = reduce(lambda a, b: a + b, [F.coalesce(v, F.lit(0.0)) for v in vals])
+    known = reduce(lambda a, b: a + b, [v.isNotNull().cast("int") for v in vals])
+    return F.try_divide(total, known.cast("double"))
 
 
 def logit(p: ColumnOrName) -> Column:

@@ -93,13 +93,17 @@ def sampling_index(df: DataFrame, unit: str | Sequence[str], period: str, out: s
     return d.withColumn(out, F.row_number().over(w))
 
 
-def pooled_group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str) -> DataFrame:
-    """Mean over all rows *and* several columns of the group, missing values
-    removed: (sum of every known value) / (number of known values)."""
-    tot = sum((F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values), F.lit(0.0))
+def pooled_mean_agg(values: Sequence[str]) -> Column:
+    """Aggregate: mean over all rows *and* several columns, missing values
+    removed (sum of every known value / number of known values)."""
+    tot = sum((F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values[1:]),
+              F.coalesce(F.col(values[0]).cast("double"), F.lit(0.0)))
     cnt = sum((F.col(v).isNotNull().cast("long") for v in values), F.lit(0))
-    g_sum, g_cnt = "__psum", "__pcnt"
-    tmp = df.withColumn(g_sum, tot).withColumn(g_cnt, cnt)
-    agg = tmp.groupBy(*keys).agg(F.sum(g_sum).alias(g_sum), F.sum(g_cnt).alias(g_cnt))
-    agg = agg.select(*keys, F.try_divide(F.col(g_sum), F.col(g_cnt).cast("double")).alias(out))
-    return joins.join(df.drop(out) if out in df.columns else df, agg, list(keys), "left")
+    return F.try_divide(F.sum(tot), F.sum(cnt).cast("double"))
+
+
+def pooled_group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str,
+                      extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Attach the pooled mean of several columns over the group (plus any
+    ``extra`` group aggregates, computed in the same pass)."""
+    return group_mutate(df, keys, {out: pooled_mean_agg(values), **(extra or {})})

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,31 +35,65 @@ class GateRule:
     divide: bool = False
 
 
+def _scale(v: Column, rule: GateRule) -> Column:
+    return (v / F.lit(rule.factor)) if rule.divide else (v * F.lit(rule.factor))
+
+
 def ratio_gated_rescale(df: DataFrame, keys: Sequence[str], value: str, recorder_col: str,
                         total_col: str, rules: Sequence[GateRule]) -> DataFrame:
     """Observer-bias fix: per group, the strict sum of one recorder's values
     relative to the row's reference total decides whether *all* rows of the
     group are rescaled. Rules run in order; each sees the previous result.
 
-    The ratio test is written ``sum op threshold * total`` (same answer as
-    ``sum / total op threshold`` for non-negative totals, including a zero
-    total). A missing value among the recorder's rows makes the sum unknown
-    and switches the rescale off.
+    The test "some row of the recorder has ``sum / total op threshold``" is
+    written ``sum < threshold * max(total)`` (``>``: ``min``), which is the
+    same decision for non-negative totals, including a zero total. A missing
+    value among the recorder's rows makes the sum unknown and switches the
+    rescale off.
+
+    One aggregation pass computes, per group, every sum a later rule could
+    need (one per on/off combination of the earlier gates, each summing the
+    row values rescaled exactly as the sequential rules would); the gates are
+    then decided on the small per-group table and joined back once.
     """
     keys = list(keys)
-    for r in rules:
+    rules = list(rules)
+    if len(rules) > 4:  # 2^(k-1) sums per rule: beyond a few rules go rule by rule
+        for r in rules:
+            df = ratio_gated_rescale(df, keys, value, recorder_col, total_col, [r])
+        return df
+    v = F.col(value)
+    aggs = []
+    for i, r in enumerate(rules):
         is_rec = F.coalesce(F.col(recorder_col) == F.lit(r.recorder), F.lit(False))
-        sums = df.groupBy(*keys).agg(S.sum_strict(value, where=is_rec).alias("__gsum"))
-        totals = df.filter(is_rec).select(*keys, total_col).distinct()
-        thr = F.lit(r.threshold) * F.col(total_col)
-        test = (F.col("__gsum") < thr) if r.op == "<" else (F.col("__gsum") > thr)
-        flags = (joins.join(totals, sums, keys, "inner")
-                 .groupBy(*keys).agg(F.max(F.coalesce(test, F.lit(False))).alias("__gate")))
-        j = joins.join(df, flags, keys, "left")
-        v = F.col(value)
-        scaled = (v / F.lit(r.factor)) if r.divide else (v * F.lit(r.factor))
-        df = j.withColumn(value, F.when(F.coalesce(F.col("__gate"), F.lit(False)), scaled).otherwise(v)).drop("__gate")
-    return df
+        tot = F.max if r.op == "<" else F.min
+        aggs += [F.count(F.when(is_rec, F.lit(1))).alias(f"__n{i}"),
+                 F.count(F.when(is_rec, v)).alias(f"__nv{i}"),
+                 tot(F.when(is_rec, F.col(total_col))).alias(f"__t{i}")]
+        for combo in product((0, 1), repeat=i):
+            sv = v
+            for rj, bit in zip(rules, combo):
+                sv = _scale(sv, rj) if bit else sv
+            aggs.append(F.sum(F.when(is_rec, sv)).alias(f"__s{i}_{''.join(map(str, combo))}"))
+    g = df.groupBy(*keys).agg(*aggs)
+    for i, r in enumerate(rules):
+        s_sel = None
+        for combo in product((0, 1), repeat=i):
+            name = F.col(f"__s{i}_{''.join(map(str, combo))}")
+            cond = F.lit(True)
+            for j, bit in enumerate(combo):
+                cond = cond & (F.col(f"__g{j}") == F.lit(bool(bit)))
+            s_sel = F.when(cond, name) if s_sel is None else s_sel.when(cond, name)
+        thr = F.lit(r.threshold) * F.col(f"__t{i}")
+        test = (s_sel < thr) if r.op == "<" else (s_sel > thr)
+        strict = F.col(f"__nv{i}") == F.col(f"__n{i}")
+        g = g.withColumn(f"__g{i}", F.coalesce(strict & test, F.lit(False)))
+    gates = [f"__g{i}" for i in range(len(rules))]
+    j = joins.join(df, g.select(*keys, *gates), keys, "left")
+    out = v
+    for i, r in enumerate(rules):
+        out = F.when(F.coalesce(F.col(gates[i]), F.lit(False)), _scale(out, r)).otherwise(out)
+    return j.withColumn(value, out).drop(*gates)
 
 
 def mask_scale(df: DataFrame, value: str, mask: Column, factor: float) -> DataFrame:

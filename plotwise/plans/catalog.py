@@ -857,8 +857,8 @@ def pooled_group_mean(spark, sf):
         "l_orderkey", "l_linenumber", F.col("l_quantity").alias("m1"), F.col("l_linenumber").cast("double").alias("m2"),
         F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity")).alias("m3"),
         F.when(F.col("l_quantity") > 25, (F.col("l_partkey") % 10).cast("double")).alias("m4"))
-    li = G.group_size(li, ["l_orderkey"], "sameDayMeasurement")
-    li = G.pooled_group_mean(li, ["l_orderkey"], ["m1", "m2", "m3", "m4"], "SM")
+    li = G.pooled_group_mean(li, ["l_orderkey"], ["m1", "m2", "m3", "m4"], "SM",
+                             extra={"sameDayMeasurement": F.count(F.lit(1))})
     return li.select("l_orderkey", "l_linenumber", "sameDayMeasurement", "SM")
 
 
