@@ -12,7 +12,7 @@ SPREADSHEET_ORIGIN = "1899-12-30"  # fixed value: day 0 of spreadsheet serial da
 
 def parse_date(c: Column | str, fmt: str) -> Column:
     """Text to date with a Spark datetime pattern; NULL when it does not parse."""
-    return F.try_to_date(col(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(col(c).cast("string"), fmt)
 
 
 def parse_date_2digit_year(c: Column | str, fmt: str, pivot: int = 68) -> Column:

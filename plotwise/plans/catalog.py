@@ -767,6 +767,37 @@ def ordered_levels(spark, sf):
     return j.select("c_custkey", F.when(rank.isNotNull(), lab).alias("label"), rank.alias("level_rank"))
 
 
+@register("date_formats", """
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+t AS (SELECT o_orderkey, strftime(d, '%-m/%-d/%y') AS mdy, strftime(d, '%-d.%-m.%Y') AS dmy FROM d)
+SELECT o_orderkey, mdy, dmy, strftime(CAST(strptime(mdy, '%m/%d/%y') AS DATE), '%Y-%m-%d') AS date1,
+       strftime(CAST(strptime(dmy, '%d.%m.%Y') AS DATE), '%Y-%m-%d') AS date2 FROM t
+""")
+def date_formats(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    o = o.select("o_orderkey", F.date_format("d", "M/d/yy").alias("mdy"), F.date_format("d", "d.M.yyyy").alias("dmy"))
+    return o.select("o_orderkey", "mdy", "dmy",
+                    TM.format_date(TM.parse_date_2digit_year("mdy", "M/d/yy")).alias("date1"),
+                    TM.format_date(TM.parse_date("dmy", "d.M.yyyy")).alias("date2"))
+
+
+@register("mixed_date_parse", """
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders),
+t AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN strftime(d, '%-d.%-m.%Y')
+                              ELSE CAST(datediff('day', DATE '1899-12-30', d) AS VARCHAR) END AS raw FROM d)
+SELECT o_orderkey, raw,
+       strftime(CASE WHEN contains(raw, '.') THEN CAST(try_strptime(raw, '%d.%m.%Y') AS DATE)
+                     ELSE DATE '1899-12-30' + CAST(floor(TRY_CAST(raw AS DOUBLE)) AS INTEGER) END, '%Y-%m-%d') AS date
+FROM t
+""")
+def mixed_date_parse(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    raw = (F.when(F.col("o_orderkey") % 2 == 0, F.date_format("d", "d.M.yyyy"))
+           .otherwise(F.datediff(F.col("d"), F.lit(TM.SPREADSHEET_ORIGIN).cast("date")).cast("string")))
+    o = o.select("o_orderkey", raw.alias("raw"))
+    return o.select("o_orderkey", "raw", TM.format_date(TM.mixed_date("raw")).alias("date"))
+
+
 # ==========================================================================
 # grouped mutate / windows (orders by customer and year, values in cents)
 # ==========================================================================
