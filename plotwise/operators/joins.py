@@ -3,7 +3,8 @@
 * missing keys match missing keys (null-safe equality, which Spark still
   plans as an equi-join: hash or sort-merge on ``coalesce(k, 0), isnull(k)``);
 * ``by=None`` joins on every shared column name (natural join);
-* only clashing *non-key* columns get suffixes; the left key name is kept;
+* clashing columns get suffixes, except the left keys, which keep their name
+  (a right payload column named like a left key is suffixed);
 * outer joins return one coalesced key column.
 
 No strategy is forced: Spark/AQE picks broadcast-hash when the runtime size
@@ -70,7 +71,7 @@ def join(left: DataFrame, right: DataFrame, by: Keys = None, how: str = "left",
         return joined
 
     rpay = [c for c in right.columns if c not in set(rkeys)]
-    lset = set(left.columns) - set(lkeys)
+    lall = set(left.columns)  # a right payload clashing with any left name (key or not) is suffixed
     rset = set(rpay)
     out = []
     for c in left.columns:
@@ -84,7 +85,7 @@ def join(left: DataFrame, right: DataFrame, by: Keys = None, how: str = "left",
             name = c + suffix[0] if c in rset else c
             out.append(F.col(f"`{c}`").alias(name))
     for c in rpay:
-        name = c + suffix[1] if c in lset else c
+        name = c + suffix[1] if c in lall else c
         out.append(F.col(rmap[c]).alias(name))
     return joined.select(out)
 

@@ -42,7 +42,8 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
             drop_na: bool = False) -> DataFrame:
     """Wide to long. Missing cells are kept unless ``drop_na``; the value
     columns must share one type (cast them first)."""
-    out = df.unpivot(list(ids), list(values), names_to, values_to)
+    q = lambda c: F.col(f"`{c}`")  # noqa: E731 - names may hold dots
+    out = df.unpivot([q(c) for c in ids], [q(c) for c in values], names_to, values_to)
     if drop_na:
         out = out.filter(F.col(values_to).isNotNull())
     return out
