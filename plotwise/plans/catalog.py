@@ -31,6 +31,7 @@ from ..operators import classify as K
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
+from ..session import materialize
 from ..sources.io import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -932,7 +933,9 @@ def _comp(spark, sf):
     cust = _t(spark, sf, "customer").select(F.col("c_custkey").alias("turfID"),
                                             F.col("c_nationkey").alias("siteID"),
                                             F.col("c_mktsegment").alias("Treatment"))
-    return J.join(comp, cust, "turfID", "left")
+    # read by several branches: written once to the shared checkpoint folder
+    # when the cluster names one, otherwise each branch recomputes it
+    return materialize(J.join(comp, cust, "turfID", "left"), fallback="none")
 
 
 _COMP_SQL = """WITH comp0 AS (SELECT o_custkey AS "turfID", o_orderstatus AS species, CAST(year(o_orderdate) AS INTEGER) AS "Year",

@@ -64,13 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, fallback: str = "persist") -> DataFrame:
     """Cut lineage of a frame that is read several times.
 
     With a shared checkpoint folder the frame is written there (survives
-    executor loss without recomputation); otherwise it is persisted with
-    disk spill, which Spark recomputes from lineage if an executor is lost.
+    executor loss without recomputation). Without one, ``fallback`` decides:
+    ``"persist"`` keeps it in memory/disk (Spark recomputes lost blocks from
+    lineage), ``"none"`` leaves the plan as is (each reader recomputes it).
     """
     if checkpoint_dir(df.sparkSession):
         return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if fallback == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
