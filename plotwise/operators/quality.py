@@ -47,6 +47,11 @@ def distinct_levels(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def preview(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
+    """First ``n`` rows in a given order (a top-n: each task keeps n rows)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+
+
 def logit_histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int,
                     bucket: str = "bucket", out: str = "n") -> DataFrame:
     """Histogram counts of logit(value) over ``bins`` equal-width buckets of
@@ -110,7 +115,7 @@ def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
         rng = data.agg(*[
             F.concat_ws(" - ", F.min(F.col(f"`{c}`")).cast("string"), F.max(F.col(f"`{c}`")).cast("string")).alias(c)
             for c in ranged])
-        rng = rng.unpivot([], ranged, VAR, VRANGE)
+        rng = rng.unpivot([], [F.col(f"`{c}`") for c in ranged], VAR, VRANGE)
     else:
         rng = spark.createDataFrame([], f"`{VAR}` string, `{VRANGE}` string")
 

@@ -673,7 +673,9 @@ def long_fill_spread(spark, sf):
     ids = ["o_orderkey", "o_custkey", "sumcover"]
     long = R.to_long(base, ids, ["totalGraminoids", "totalForbs"], "totFunctionalGroup", "totCov")
     long = long.withColumn("totCov", S.if_else_na(F.col("totCov").isNull(), F.col("sumcover"), F.col("totCov")))
-    return R.to_wide(long.distinct(), "totFunctionalGroup", "totCov", ["totalForbs", "totalGraminoids"], ids=ids)
+    # the scripts take distinct rows before spreading; spreading keeps one
+    # value per (ids, level) either way, so the extra distinct shuffle is skipped
+    return R.to_wide(long, "totFunctionalGroup", "totCov", ["totalForbs", "totalGraminoids"], ids=ids)
 
 
 @register("pre_post_long", """

@@ -69,6 +69,14 @@ def read_sheets(spark: SparkSession, directory: str, schema: T.StructType, fmt:
     return df
 
 
+def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """Comma-separated file with header and inferred types (one extra pass
+    over the input; prefer a declared schema for large inputs)."""
+    df = spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+    return df.select([S.na_text_to_null(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`")
+                      for c, t in df.dtypes])
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Header + ``NA`` for missing values, one directory of part files."""
     df.write.mode(mode).option("header", True).option("nullValue", "NA").csv(path)

@@ -43,3 +43,10 @@ def test_read_sheets_and_write_csv_na(spark):
     io.write_csv(df.coalesce(1), out)
     text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     assert "2017.0,NA" in text and text.startswith("Year,Site")
+
+
+def test_read_csv_inferred(spark):
+    p = _write("a,b,c\n1,x,2.5\n2,NA,\n")
+    df = io.read_csv_inferred(spark, p)
+    assert dict(df.dtypes) == {"a": "int", "b": "string", "c": "double"}
+    assert [tuple(r) for r in df.collect()] == [(1, "x", 2.5), (2, None, None)]
