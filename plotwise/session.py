@@ -39,13 +39,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - no SparkContext under Spark Connect
+        pass
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
