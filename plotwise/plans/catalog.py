@@ -1279,3 +1279,132 @@ def plot_ready_totals(spark, sf):
     b = b.withColumn("plotID", S.paste(S.r_substr("site", 1, 3), F.col("block"), F.col("treatment")))
     return (b.groupBy("year", "zone", "treatment", "removed_fg")
             .agg(F.sum("biomass").alias("biomass"), F.count_distinct("plotID").alias("n_plots")))
+
+
+# ==========================================================================
+# dataset chains over the driver tables
+# ==========================================================================
+# lineitem rows become biomass sheet rows: ship year + 20 -> survey year
+# (2015-2021), supplier nation -> field site code, line number -> block,
+# part -> treatment, return flag -> removed group, quantity / 100 -> biomass (g),
+# supplier -> recorder name. Missing blocks, treatments, dates and rounds and
+# the site spelling "OVSen" appear on deterministic subsets.
+
+_FIELD_CODES = ["ULV", "LAV", "GUD", "SKJ", "ALR", "HOG", "RAM", "VES", "FAU", "VIK", "ARH", "OVS"]
+_BIO_TREATMENTS = ["C", "F", "G", "B", "FB", "GB", "GF", "FGB"]
+_BIO_NAMES = ["Olav", "Anja Petek", "PS", "IA", "VG", "sari", None, "x", "y", "z"]
+_BIO_FG = {"A": "F", "N": "G", "R": "B"}
+
+
+def _pick(expr, values):
+    """Element ``expr`` (0-based) of a fixed list, as a literal lookup."""
+    m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(i), F.lit(v))])
+    return F.try_element_at(m, expr.cast("int"))
+
+
+def _biomass_raw(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                          "l_returnflag", "l_shipdate")
+    s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    j = J.join(li, s, [("l_suppkey", "s_suppkey")], "left")
+    year = (_year("l_shipdate") + 20).cast("double")
+    code = _pick(F.col("s_nationkey") % 12, _FIELD_CODES)
+    site = F.when((code == "OVS") & (F.col("l_linenumber") == 7), F.lit("OVSen")).otherwise(code)
+    block = F.when(F.col("l_suppkey") % 17 != 0, F.col("l_linenumber").cast("double"))
+    trt = (F.when(F.col("l_partkey") % 97 == 0, F.lit(None).cast("string"))
+           .when(F.col("l_partkey") % 50 == 0, F.lit("RTC"))
+           .otherwise(_pick(F.col("l_partkey") % 8, _BIO_TREATMENTS)))
+    date = F.when(~((year == 2018) & (F.col("l_orderkey") % 5 == 0)),
+                  F.add_months(F.to_date("l_shipdate"), 240).cast("timestamp"))
+    rnd = F.when(F.col("l_orderkey") % 7 != 0,
+                 F.concat(F.lit("Round "), (F.col("l_linenumber") % 2 + 1).cast("string")))
+    return j.select(year.alias("Year"), site.alias("Site"), block.alias("Block"), trt.alias("Treatment"),
+                    S.recode("l_returnflag", _BIO_FG).alias("Removed functional group"), date.alias("Date"),
+                    rnd.alias("Round"), (F.col("l_quantity") / 100).alias("Biomass"),
+                    _pick(F.col("l_suppkey") % 10, _BIO_NAMES).alias("Name"),
+                    F.lit(None).cast("string").alias("Remark"))
+
+
+def _sql_list_pick(expr: str, values) -> str:
+    arms = " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values))
+    return f"CASE {expr} {arms} END"
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+def _sql_repairs(prev: str) -> tuple[str, str]:
+    """CTE chain applying the biomass record repairs in order (strict
+    two-way choice: an unknown condition gives NULL)."""
+    from . import biomass as BM
+    ctes, cur = [], prev
+    for i, (target, conds, val) in enumerate(BM.REPAIRS):
+        parts = []
+        for c, op, v in conds:
+            if op == "==":
+                parts.append(f"{c} = {_sql_lit(v)}")
+            elif op == "in":
+                parts.append(f"coalesce({c} IN ({', '.join(_sql_lit(x) for x in v)}), false)")
+            else:
+                parts.append(f"{c} IS NULL")
+        cond = "(" + " AND ".join(parts) + ")"
+        name = f"rep{i}"
+        ctes.append(f"{name} AS (SELECT * REPLACE (CASE WHEN {cond} IS NULL THEN NULL WHEN {cond} "
+                    f"THEN {_sql_lit(val)} ELSE {target} END AS {target}) FROM {cur})")
+        cur = name
+    return ",\n".join(ctes), cur
+
+
+def _biomass_sql() -> str:
+    from . import dictionaries as DD
+    raw = f"""raw AS (
+  SELECT CAST(year(l.l_shipdate) + 20 AS DOUBLE) AS "Year",
+         CASE WHEN {_sql_list_pick('s.s_nationkey % 12', _FIELD_CODES)} = 'OVS' AND l.l_linenumber = 7 THEN 'OVSen'
+              ELSE {_sql_list_pick('s.s_nationkey % 12', _FIELD_CODES)} END AS "Site",
+         CASE WHEN l.l_suppkey % 17 <> 0 THEN CAST(l.l_linenumber AS DOUBLE) END AS "Block",
+         CASE WHEN l.l_partkey % 97 = 0 THEN NULL WHEN l.l_partkey % 50 = 0 THEN 'RTC'
+              ELSE {_sql_list_pick('l.l_partkey % 8', _BIO_TREATMENTS)} END AS "Treatment",
+         CASE l.l_returnflag WHEN 'A' THEN 'F' WHEN 'N' THEN 'G' WHEN 'R' THEN 'B' ELSE l.l_returnflag END AS fg,
+         CASE WHEN NOT (year(l.l_shipdate) + 20 = 2018 AND l.l_orderkey % 5 = 0)
+              THEN CAST(l.l_shipdate AS DATE) + INTERVAL 20 YEAR END AS "Date",
+         CASE WHEN l.l_orderkey % 7 <> 0 THEN 'Round ' || CAST(l.l_linenumber % 2 + 1 AS VARCHAR) END AS "Round",
+         l.l_quantity / 100 AS "Biomass",
+         {_sql_list_pick('l.l_suppkey % 10', _BIO_NAMES)} AS "Name",
+         CAST(NULL AS VARCHAR) AS "Remark"
+  FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.s_suppkey)"""
+    rounds = ", ".join(f"({y}, '{s}', {b}, '{r}')" for y, s, b, r in DD.BIOMASS_ROUNDS)
+    dates = ", ".join(f"({y}, '{s}', DATE '{d}')" for y, s, d in DD.BIOMASS_DATES)
+    sites = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_FROM_FIELD_CODE.items())
+    reps, last = _sql_repairs("b1")
+    return f"""WITH {raw},
+b0 AS (SELECT "Year" AS year, CAST(CAST("Date" AS DATE) AS DATE) AS date,
+              CASE WHEN "Site" = 'OVSen' THEN 'OVS' ELSE "Site" END AS site, "Block" AS block,
+              "Treatment" AS treatment, fg AS removed_fg, right("Round", 1) AS round, "Biomass" AS biomass,
+              "Name" AS name, "Remark" AS remark FROM raw),
+rl AS (SELECT CAST(year AS DOUBLE) AS year, site, CAST(UNNEST(blocks) AS DOUBLE) AS block, round_new
+       FROM (VALUES {rounds}) t(year, site, blocks, round_new)),
+b1 AS (SELECT b0.year, b0.date, b0.site, b0.block, b0.treatment, b0.removed_fg,
+              CASE WHEN b0.round IS NULL THEN rl.round_new ELSE b0.round END AS round, b0.biomass, b0.name, b0.remark
+       FROM b0 LEFT JOIN rl ON b0.year IS NOT DISTINCT FROM rl.year AND b0.site IS NOT DISTINCT FROM rl.site
+                           AND b0.block IS NOT DISTINCT FROM rl.block
+       WHERE b0.treatment <> 'RTC'),
+{reps},
+dl AS (SELECT CAST(year AS DOUBLE) AS year, site, newdate FROM (VALUES {dates}) t(year, site, newdate)),
+b2 AS (SELECT r.year, CASE WHEN r.date IS NULL THEN dl.newdate ELSE r.date END AS date,
+              CASE r.site {sites} ELSE r.site END AS site, r.block, r.treatment, r.removed_fg, r.round, r.biomass,
+              r.name, r.remark
+       FROM {last} r LEFT JOIN dl ON r.year IS NOT DISTINCT FROM dl.year AND r.site IS NOT DISTINCT FROM dl.site),
+b3 AS (SELECT *, coalesce(substr(site, 1, 3), 'NA') || coalesce(CASE WHEN block = floor(block) AND abs(block) < 1e15
+              THEN CAST(CAST(block AS BIGINT) AS VARCHAR) ELSE CAST(block AS VARCHAR) END, 'NA') AS "blockID" FROM b2)
+SELECT CAST(year AS INTEGER) AS year, strftime(date, '%Y-%m-%d') AS date, round, site AS "siteID", "blockID",
+       "blockID" || coalesce(treatment, 'NA') AS "plotID", treatment, removed_fg, biomass, name, remark FROM b3"""
+
+
+@register("biomass_chain", _biomass_sql())
+def biomass_chain(spark, sf):
+    from . import biomass as BM
+    clean = BM.clean_biomass(_biomass_raw(spark, sf))
+    return clean.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
