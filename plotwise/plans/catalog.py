@@ -1408,3 +1408,258 @@ def biomass_chain(spark, sf):
     from . import biomass as BM
     clean = BM.clean_biomass(_biomass_raw(spark, sf))
     return clean.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+# events become soil-moisture sheet rows: user -> site and block, event ->
+# treatment, values -> readings (whole numbers as text, some unreadable),
+# day of the event -> day in July of the survey year. Turf ids carry the
+# fragments the chains exclude on deterministic subsets.
+
+_SM_OLD = [old for old, _, _, _ in __import__("plotwise.plans.dictionaries", fromlist=["x"]).SITE_CODES]
+_SM_V2 = [v2 for _, v2, _, _ in __import__("plotwise.plans.dictionaries", fromlist=["x"]).SITE_CODES]
+
+
+def _ev(spark, sf, types):
+    return _t(spark, sf, "events").filter(F.col("event_type").isin(*types))
+
+
+def _july(year: int):
+    return F.concat(F.lit(f"{year}-07-"), F.lpad(F.dayofmonth("ts").cast("string"), 2, "0"))
+
+
+def _sm1516_raw(spark, sf):
+    e = _ev(spark, sf, ["click", "view"])
+    eid = F.col("event_id")
+    site = _pick(F.col("user_id") % 12, _SM_OLD)
+    block = (F.col("user_id") % 4 + 1).cast("int")
+    trt = _pick(eid % 8, _BIO_TREATMENTS)
+    turf = F.concat(site, block.cast("string"), trt)
+    turf = (F.when(eid % 23 == 0, F.concat(turf, F.lit("TT1"))).when(eid % 29 == 0, F.concat(turf, F.lit("RTC")))
+            .when(eid % 31 == 0, F.concat(turf, F.lit("P"))).otherwise(turf))
+    date = F.when(eid % 2 == 0, _july(2015)).otherwise(_july(2016))
+    return e.select(
+        date.alias("date"), site.alias("site"), block.alias("block"), turf.alias("turfID"),
+        F.when(eid % 37 == 0, F.lit(None).cast("string")).when(eid % 41 == 0, F.lit("XC")).otherwise(trt)
+         .alias("treatment"),
+        F.when(eid % 5 != 0, trt).alias("removal"),
+        F.floor("value").cast("string").alias("M1"), (F.col("user_id") % 10).cast("string").alias("M2"),
+        F.when(eid % 3 == 0, F.lit("x")).otherwise((eid % 7).cast("string")).alias("M3"),
+        F.when(eid % 2 != 0, (eid % 5).cast("string")).alias("M4"),
+        F.lit(None).cast("string").alias("blockSD"), F.lit(None).cast("string").alias("Moisture"),
+        F.col("event_type").alias("weather"), F.concat(F.lit("R"), (F.col("user_id") % 3).cast("string")).alias("recorder"),
+        F.when(eid % 11 == 0, F.lit("fewer readings")).when(eid % 13 == 0, F.lit("bad")).alias("comments"))
+
+
+def _sm1516_sql() -> str:
+    from . import dictionaries as DD
+    old_new = " ".join(f"WHEN '{o}' THEN '{n}'" for o, _, _, n in DD.SITE_CODES)
+    fixes = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_NAME_FIXES.items())
+    site = _sql_list_pick("user_id % 12", _SM_OLD)
+    trt = _sql_list_pick("event_id % 8", _BIO_TREATMENTS)
+    july = "'-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0')"
+    return f"""WITH e AS (SELECT *, {site} AS site, CAST(user_id % 4 + 1 AS INTEGER) AS block, {trt} AS trt FROM events
+           WHERE event_type IN ('click', 'view')),
+r0 AS (SELECT *, site || CAST(block AS VARCHAR) || trt AS t0 FROM e),
+raw AS (SELECT CASE WHEN event_id % 2 = 0 THEN '2015' || {july} ELSE '2016' || {july} END AS date, site, block,
+          CASE WHEN event_id % 23 = 0 THEN t0 || 'TT1' WHEN event_id % 29 = 0 THEN t0 || 'RTC'
+               WHEN event_id % 31 = 0 THEN t0 || 'P' ELSE t0 END AS "turfID",
+          CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 41 = 0 THEN 'XC' ELSE trt END AS treatment,
+          CASE WHEN event_id % 5 <> 0 THEN trt END AS removal,
+          CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS "M1", CAST(user_id % 10 AS VARCHAR) AS "M2",
+          CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(event_id % 7 AS VARCHAR) END AS "M3",
+          CASE WHEN event_id % 2 <> 0 THEN CAST(event_id % 5 AS VARCHAR) END AS "M4",
+          event_type AS weather, 'R' || CAST(user_id % 3 AS VARCHAR) AS recorder,
+          CASE WHEN event_id % 11 = 0 THEN 'fewer readings' WHEN event_id % 13 = 0 THEN 'bad' END AS comments
+        FROM r0),
+f AS (SELECT *, TRY_CAST("M1" AS DOUBLE) AS d1, TRY_CAST("M2" AS DOUBLE) AS d2, TRY_CAST("M3" AS DOUBLE) AS d3,
+             TRY_CAST("M4" AS DOUBLE) AS d4 FROM raw
+      WHERE (coalesce(comments IN ('fewer readings', 'above table', 'above table 100%'), false) OR comments IS NULL)
+        AND NOT coalesce(regexp_matches("turfID", 'TT1'), false) AND NOT coalesce(regexp_matches("turfID", 'TT2'), false)
+        AND NOT coalesce(regexp_matches("turfID", 'TT3'), false) AND NOT coalesce(regexp_matches("turfID", 'TT4'), false)
+        AND NOT coalesce(regexp_matches("turfID", 'RTC'), false) AND NOT coalesce(regexp_matches("turfID", 'P'), false)
+        AND treatment IS NOT NULL),
+g AS (SELECT date, "turfID",
+             sum(coalesce(d1, 0) + coalesce(d2, 0) + coalesce(d3, 0) + coalesce(d4, 0))
+             / nullif(CAST(sum(CAST(d1 IS NOT NULL AS BIGINT) + CAST(d2 IS NOT NULL AS BIGINT)
+                               + CAST(d3 IS NOT NULL AS BIGINT) + CAST(d4 IS NOT NULL AS BIGINT)) AS DOUBLE), 0) AS sm
+      FROM f GROUP BY 1, 2),
+j AS (SELECT f.*, g.sm, CASE f.site {old_new} ELSE f.site END AS site1, coalesce(f.removal, 'C') AS removal1
+      FROM f LEFT JOIN g ON f.date IS NOT DISTINCT FROM g.date AND f."turfID" IS NOT DISTINCT FROM g."turfID")
+SELECT strftime(CAST(try_strptime(date, '%Y-%m-%d') AS DATE), '%Y-%m-%d') AS date,
+       CASE site1 {fixes} ELSE site1 END AS "siteID",
+       coalesce(substr(site1, 1, 3), 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') AS "blockID",
+       coalesce(substr(site1, 1, 3), 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') || removal1 AS "plotID",
+       removal1 AS treatment, sm AS soilmoisture, weather, recorder, "turfID"
+FROM j WHERE NOT (treatment = 'XC')"""
+
+
+@register("soil_moisture_2015_16_chain", _sm1516_sql())
+def soil_moisture_2015_16_chain(spark, sf):
+    from . import soil_moisture as SMP
+    out = SMP.sm_2015_16(_sm1516_raw(spark, sf))
+    return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+def _sm2017_raw(spark, sf):
+    e = _ev(spark, sf, ["purchase", "signup"])
+    eid = F.col("event_id")
+    d = F.to_date(_july(2017))
+    date = (F.when(eid % 53 == 0, F.lit("n.a."))
+            .when(eid % 2 == 0, F.date_format(d, "d.M.yyyy"))
+            .otherwise(F.datediff(d, F.lit("1899-12-30").cast("date")).cast("string")))
+    code = _pick(F.col("user_id") % 12, _FIELD_CODES)
+    block = (F.col("user_id") % 4 + 1).cast("int")
+    trt = _pick(eid % 8, _BIO_TREATMENTS)
+    turf = F.concat(code, block.cast("string"), trt)
+    turf = (F.when(eid % 19 == 0, F.concat(F.col("user_id").cast("string"), F.lit(" TTC")))
+            .when(eid % 23 == 0, F.concat(turf, F.lit("TT1"))).when(eid % 31 == 0, F.concat(turf, F.lit("P")))
+            .otherwise(turf))
+    allnull = eid % 47 == 0
+    return e.select(
+        date.alias("Date"), code.alias("Site"), F.when(eid % 3 != 0, block).alias("SCBlock...5"),
+        F.when(eid % 3 == 0, block).alias("SCBlock...6"), turf.alias("Turf ID"),
+        F.when((eid % 19 == 0) | (eid % 43 == 0), F.lit(None).cast("string")).otherwise(trt).alias("Treatment"),
+        F.when(~allnull, F.floor("value").cast("string")).alias("Measurement1"),
+        F.when(~allnull & (eid % 4 != 0), (F.col("user_id") % 10).cast("string")).alias("Measurement2"),
+        F.when(~allnull, F.when(eid % 3 == 0, F.lit("x")).otherwise((eid % 7).cast("string"))).alias("Measurement3"),
+        F.lit(None).cast("string").alias("Measurement4"),
+        F.col("event_type").alias("Weather"), F.concat(F.lit("R"), (F.col("user_id") % 3).cast("string")).alias("Recorder"))
+
+
+def _sm2017_sql() -> str:
+    from . import dictionaries as DD
+    code = _sql_list_pick("user_id % 12", _FIELD_CODES)
+    trt = _sql_list_pick("event_id % 8", _BIO_TREATMENTS)
+    sites = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_FROM_FIELD_CODE.items())
+    return f"""WITH e AS (SELECT *, {code} AS code, CAST(user_id % 4 + 1 AS INTEGER) AS block, {trt} AS trt,
+                  CAST('2017-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS DATE) AS d,
+                  event_id % 47 = 0 AS allnull FROM events WHERE event_type IN ('purchase', 'signup')),
+raw AS (SELECT CASE WHEN event_id % 53 = 0 THEN 'n.a.' WHEN event_id % 2 = 0 THEN strftime(d, '%-d.%-m.%Y')
+                    ELSE CAST(datediff('day', DATE '1899-12-30', d) AS VARCHAR) END AS "Date",
+               code AS "Site", CASE WHEN event_id % 3 <> 0 THEN block END AS b5,
+               CASE WHEN event_id % 3 = 0 THEN block END AS b6,
+               CASE WHEN event_id % 19 = 0 THEN CAST(user_id AS VARCHAR) || ' TTC'
+                    WHEN event_id % 23 = 0 THEN code || CAST(block AS VARCHAR) || trt || 'TT1'
+                    WHEN event_id % 31 = 0 THEN code || CAST(block AS VARCHAR) || trt || 'P'
+                    ELSE code || CAST(block AS VARCHAR) || trt END AS "turfID",
+               CASE WHEN event_id % 19 = 0 OR event_id % 43 = 0 THEN NULL ELSE trt END AS "Treatment",
+               CASE WHEN NOT allnull THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS m1,
+               CASE WHEN NOT allnull AND event_id % 4 <> 0 THEN CAST(user_id % 10 AS VARCHAR) END AS m2,
+               CASE WHEN NOT allnull THEN CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(event_id % 7 AS VARCHAR) END END AS m3,
+               CAST(NULL AS VARCHAR) AS m4, event_type AS "Weather", 'R' || CAST(user_id % 3 AS VARCHAR) AS "Recorder"
+        FROM e),
+p AS (SELECT *, CASE WHEN contains("Date", '.') THEN CAST(try_strptime("Date", '%d.%m.%Y') AS DATE)
+                     ELSE DATE '1899-12-30' + CAST(floor(TRY_CAST("Date" AS DOUBLE)) AS INTEGER) END AS pdate,
+             TRY_CAST(m1 AS DOUBLE) AS d1, TRY_CAST(m2 AS DOUBLE) AS d2, TRY_CAST(m3 AS DOUBLE) AS d3,
+             TRY_CAST(m4 AS DOUBLE) AS d4 FROM raw
+      WHERE NOT coalesce(regexp_matches("turfID", 'TT1'), false) AND NOT coalesce(regexp_matches("turfID", 'TT2'), false)
+        AND NOT coalesce(regexp_matches("turfID", 'TT3'), false) AND NOT coalesce(regexp_matches("turfID", 'TT4'), false)
+        AND NOT coalesce(regexp_matches("turfID", 'RTC'), false) AND NOT coalesce(regexp_matches("turfID", 'P'), false)),
+m AS (SELECT *, (coalesce(d1, 0) + coalesce(d2, 0) + coalesce(d3, 0) + coalesce(d4, 0))
+                / nullif(CAST(CAST(d1 IS NOT NULL AS INT) + CAST(d2 IS NOT NULL AS INT) + CAST(d3 IS NOT NULL AS INT)
+                              + CAST(d4 IS NOT NULL AS INT) AS DOUBLE), 0) AS soilmoisture,
+             CASE WHEN "Treatment" IS NULL AND coalesce(regexp_matches("turfID", 'TTC'), false) THEN 'C'
+                  ELSE "Treatment" END AS trt1 FROM p),
+s AS (SELECT *, CASE "Site" {sites} ELSE "Site" END AS site1, coalesce(b5, b6) AS block1 FROM m
+      WHERE soilmoisture IS NOT NULL AND trt1 IS NOT NULL)
+SELECT strftime(pdate, '%Y-%m-%d') AS date, site1 AS "siteID",
+       coalesce(substr(site1, 1, 3), 'NA') || coalesce(CAST(block1 AS VARCHAR), 'NA') AS "blockID",
+       coalesce(substr(site1, 1, 3), 'NA') || coalesce(CAST(block1 AS VARCHAR), 'NA') || trt1 AS "plotID",
+       trt1 AS treatment, soilmoisture, "Weather" AS weather, "Recorder" AS recorder, "turfID" FROM s"""
+
+
+@register("soil_moisture_2017_chain", _sm2017_sql())
+def soil_moisture_2017_chain(spark, sf):
+    from . import soil_moisture as SMP
+    out = SMP.sm_2017(_sm2017_raw(spark, sf))
+    return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+_TTC_NUMS = [t.split(" ")[0] for t, _ in __import__("plotwise.plans.dictionaries", fromlist=["x"]).TTC_TURF]
+
+
+def _sm2018_raw(spark, sf):
+    e = _ev(spark, sf, ["error"])
+    eid, uid = F.col("event_id"), F.col("user_id")
+    old = _pick(uid % 12, _SM_OLD)
+    v2 = F.when(uid % 50 == 0, F.lit("XXX")).otherwise(_pick(uid % 12, _SM_V2))
+    block = uid % 4 + 1
+    trt = _pick(eid % 8, _BIO_TREATMENTS)
+    fc = F.concat(old, block.cast("string"), trt)
+    turf = (F.when(eid % 9 == 0, F.concat(F.lit("TTC "), _pick(uid % 31, _TTC_NUMS)))
+            .when(eid % 13 == 0, F.concat(fc, F.lit("P"))).otherwise(fc))
+    ts = F.to_timestamp(F.concat(_july(2018), F.lit(" 10:00:00")))
+    return e.select(
+        F.when(eid % 7 != 0, ts).alias("Date"), v2.alias("Site"), block.cast("double").alias("FCBlock"),
+        turf.alias("turfID"), F.when(eid % 11 != 0, trt).alias("Treatment"),
+        F.when((eid % 9 == 0) & (eid % 27 == 0), F.lit(None).cast("string"))
+         .when(eid % 5 == 0, F.lit("u")).otherwise((eid % 6).cast("string")).alias("Measurement1"),
+        F.floor("value").cast("string").alias("Measurement2"),
+        F.when(eid % 4 != 0, (uid % 7).cast("string")).alias("Measurement3"),
+        (uid % 10).cast("string").alias("Measurement4"),
+        F.col("event_type").alias("Weather"), F.concat(F.lit("R"), (uid % 3).cast("string")).alias("Recorder"))
+
+
+def _sm2018_sql() -> str:
+    from . import dictionaries as DD
+    old = _sql_list_pick("user_id % 12", _SM_OLD)
+    v2 = _sql_list_pick("user_id % 12", _SM_V2)
+    trt = _sql_list_pick("event_id % 8", _BIO_TREATMENTS)
+    nums = _sql_list_pick("user_id % 31", _TTC_NUMS)
+    sites = ", ".join(f"('{v}', '{n}')" for _, v, _, n in DD.SITE_CODES)
+    ttc = ", ".join(f"('{a}', '{b}')" for a, b in DD.TTC_TURF)
+    fixes = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_NAME_FIXES.items())
+    cols = '"Date", "blockID", "turfID", "Treatment", m1, m2, m3, m4, "Weather", "Recorder", "siteID"'
+    return f"""WITH e AS (SELECT *, {old} AS old, {v2} AS v2c, user_id % 4 + 1 AS block, {trt} AS trt FROM events
+           WHERE event_type = 'error'),
+raw AS (SELECT CASE WHEN event_id % 7 <> 0
+                    THEN CAST('2018-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') || ' 10:00:00' AS TIMESTAMP) END AS "Date",
+               CASE WHEN user_id % 50 = 0 THEN 'XXX' ELSE v2c END AS "Site", CAST(block AS DOUBLE) AS "FCBlock",
+               CASE WHEN event_id % 9 = 0 THEN 'TTC ' || {nums}
+                    WHEN event_id % 13 = 0 THEN old || CAST(block AS VARCHAR) || trt || 'P'
+                    ELSE old || CAST(block AS VARCHAR) || trt END AS "turfID",
+               CASE WHEN event_id % 11 <> 0 THEN trt END AS "Treatment",
+               CASE WHEN event_id % 9 = 0 AND event_id % 27 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'u'
+                    ELSE CAST(event_id % 6 AS VARCHAR) END AS m1,
+               CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS m2,
+               CASE WHEN event_id % 4 <> 0 THEN CAST(user_id % 7 AS VARCHAR) END AS m3,
+               CAST(user_id % 10 AS VARCHAR) AS m4, event_type AS "Weather", 'R' || CAST(user_id % 3 AS VARCHAR) AS "Recorder"
+        FROM e),
+sites AS (SELECT * FROM (VALUES {sites}) t(v2, new)),
+ttc AS (SELECT * FROM (VALUES {ttc}) t("TTtreat", "turfID")),
+t1 AS (SELECT *, CASE WHEN length(replace("turfID", 'TTC ', '')) < 4 THEN replace("turfID", 'TTC ', '') || ' TTC'
+                      ELSE replace("turfID", 'TTC ', '') END AS ttreat, 'C' AS trtc
+       FROM raw WHERE coalesce(regexp_matches("turfID", 'TTC'), false)),
+t2 AS (SELECT t1."Date", t1."FCBlock" AS "blockID", t1.ttreat AS "TTtreat",
+              t1.trtc AS "Treatment",
+              t1.m1, t1.m2, t1.m3, t1.m4, t1."Weather", t1."Recorder", s.new AS "siteID"
+       FROM t1 RIGHT JOIN sites s ON t1."Site" IS NOT DISTINCT FROM s.v2),
+t3 AS (SELECT t2."Date", t2."blockID", d."turfID", t2."Treatment", t2.m1, t2.m2, t2.m3, t2.m4, t2."Weather",
+              t2."Recorder", t2."siteID"
+       FROM t2 RIGHT JOIN ttc d ON t2."TTtreat" IS NOT DISTINCT FROM d."TTtreat" WHERE t2.m1 IS NOT NULL),
+m0 AS (SELECT r."Date", r."FCBlock" AS "blockID", r."turfID", r."Treatment", r.m1, r.m2, r.m3, r.m4, r."Weather",
+              r."Recorder", s.new AS "siteID"
+       FROM raw r RIGHT JOIN sites s ON r."Site" IS NOT DISTINCT FROM s.v2),
+u AS (SELECT {cols} FROM m0 WHERE NOT coalesce(regexp_matches("turfID", 'T'), false)
+                              AND NOT coalesce(regexp_matches("turfID", 'P'), false)
+      UNION ALL SELECT {cols} FROM t3),
+v AS (SELECT *, TRY_CAST(replace(m1, 'u', '0') AS DOUBLE) AS d1, TRY_CAST(replace(m2, 'u', '0') AS DOUBLE) AS d2,
+             TRY_CAST(replace(m3, 'u', '0') AS DOUBLE) AS d3, TRY_CAST(replace(m4, 'u', '0') AS DOUBLE) AS d4 FROM u),
+w AS (SELECT *, (coalesce(d1, 0) + coalesce(d2, 0) + coalesce(d3, 0) + coalesce(d4, 0))
+                / nullif(CAST(CAST(d1 IS NOT NULL AS INT) + CAST(d2 IS NOT NULL AS INT) + CAST(d3 IS NOT NULL AS INT)
+                              + CAST(d4 IS NOT NULL AS INT) AS DOUBLE), 0) AS sm
+      FROM v WHERE "Treatment" IS NOT NULL),
+x AS (SELECT *, CASE WHEN "Date" IS NULL AND "siteID" = 'Arhelleren' THEN TIMESTAMP '2018-07-02 00:00:00'
+                     ELSE "Date" END AS dt1 FROM w),
+y AS (SELECT *, CASE WHEN dt1 IS NULL AND "siteID" = 'Ovstedal' THEN TIMESTAMP '2018-07-02 00:00:00'
+                     ELSE dt1 END AS dt2 FROM x)
+SELECT strftime(dt2, '%Y-%m-%d %H:%M:%S') AS date, CASE "siteID" {fixes} ELSE "siteID" END AS "siteID",
+       substr("siteID", 1, 3) AS "blockID", "Treatment" AS treatment, sm AS soilmoisture, "Weather" AS weather,
+       "Recorder" AS recorder, "turfID" FROM y"""
+
+
+@register("soil_moisture_2018_chain", _sm2018_sql())
+def soil_moisture_2018_chain(spark, sf):
+    from . import soil_moisture as SMP
+    out = SMP.sm_2018(_sm2018_raw(spark, sf))
+    return out.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
