@@ -1663,3 +1663,78 @@ def soil_moisture_2018_chain(spark, sf):
     from . import soil_moisture as SMP
     out = SMP.sm_2018(_sm2018_raw(spark, sf))
     return out.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
+
+
+# lineitem rows become greenness readings: supplier nation -> site as spelled
+# in the field files (with Norwegian letters), line number -> block, part ->
+# treatment, discount / tax -> readings, ship day -> survey day.
+
+_RF19 = list(__import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_SITES_2019)
+_RF21 = list(__import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_SITES_2021)
+
+
+def _rf_base(spark, sf):
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount",
+                                          "l_tax", "l_shipdate")
+    s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return J.join(li, s, [("l_suppkey", "s_suppkey")], "left")
+
+
+@register("reflectance_2019_chain", f"""
+WITH b AS (SELECT l.*, s.s_nationkey FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.s_suppkey),
+raw AS (SELECT {_sql_list_pick('s_nationkey % 12', _RF19)} AS site, l_linenumber AS block,
+               {_sql_list_pick('l_partkey % 8', _BIO_TREATMENTS)} AS treatment, CAST(l_orderkey AS VARCHAR) AS ttc_id,
+               CAST(l_linenumber AS VARCHAR) || ':00' AS "Time", CAST(NULL AS VARCHAR) AS notes,
+               strftime(CAST('2019-07-' || lpad(CAST(day(l_shipdate) AS VARCHAR), 2, '0') AS DATE), '%-m/%-d/%y') AS dtext,
+               l_discount * 5 AS v1, l_tax * 5 AS v2 FROM b),
+c AS (SELECT *, CASE site {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in __import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_SITES_2019.items())} ELSE site END AS "siteID" FROM raw),
+d AS (SELECT *, CASE "siteID" {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in __import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_CODES.items())} ELSE "siteID" END AS code FROM c)
+SELECT "siteID", coalesce(code, 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') AS "blockID",
+       coalesce(code, 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') || coalesce(treatment, 'NA') AS "plotID",
+       treatment AS "Treatment", ttc_id AS "TTC_ID", 'post_cut' AS pre_post_cut,
+       strftime(CAST(try_strptime(dtext, '%m/%d/%y') AS DATE), '%Y-%m-%d') AS date, "Time",
+       (v1 + v2) / 2 AS m_ndvi, notes FROM d
+""")
+def reflectance_2019_chain(spark, sf):
+    from . import reflectance as RFP
+    b = _rf_base(spark, sf)
+    d = F.to_date(F.concat(F.lit("2019-07-"), F.lpad(F.dayofmonth("l_shipdate").cast("string"), 2, "0")))
+    raw = b.select(_pick(F.col("s_nationkey") % 12, _RF19).alias("Site"), F.col("l_linenumber").alias("Block"),
+                   _pick(F.col("l_partkey") % 8, _BIO_TREATMENTS).alias("Treatment"),
+                   F.col("l_orderkey").cast("string").alias("TTC_ID"),
+                   F.concat(F.col("l_linenumber").cast("string"), F.lit(":00")).alias("Time"),
+                   F.lit(None).cast("string").alias("notes"), F.date_format(d, "M/d/yy").alias("Date"),
+                   (F.col("l_discount") * 5).alias("Value1"), (F.col("l_tax") * 5).alias("Value2"))
+    return RFP.ndvi_2019(raw).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@register("reflectance_2021_chain", f"""
+WITH b AS (SELECT l.*, s.s_nationkey FROM lineitem l LEFT JOIN supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.s_suppkey),
+raw AS (SELECT {_sql_list_pick('s_nationkey % 12', _RF21)} AS site, l_linenumber AS block,
+               {_sql_list_pick('l_partkey % 8', _BIO_TREATMENTS)} AS plot,
+               CAST(l_linenumber AS VARCHAR) || ':00' AS "Time", CAST(NULL AS VARCHAR) AS notes,
+               strftime(CAST('2021-07-' || lpad(CAST(day(l_shipdate) AS VARCHAR), 2, '0') AS DATE), '%-d.%-m.%Y') AS dtext,
+               l_discount * 5 AS a1, l_tax * 5 AS a2, (l_discount + l_tax) * 4 AS b1 FROM b),
+c AS (SELECT *, CASE site {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in __import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_SITES_2021.items())} ELSE site END AS "siteID" FROM raw),
+d AS (SELECT *, CASE "siteID" {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in __import__("plotwise.plans.dictionaries", fromlist=["x"]).REFLECTANCE_CODES.items())} ELSE "siteID" END AS code,
+             strftime(CAST(try_strptime(dtext, '%d.%m.%Y') AS DATE), '%Y-%m-%d') AS date FROM c),
+e AS (SELECT "siteID", coalesce(code, 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') AS "blockID",
+             coalesce(code, 'NA') || coalesce(CAST(block AS VARCHAR), 'NA') || coalesce(plot, 'NA') AS "plotID",
+             plot AS "Treatment", date, "Time", notes, (b1 + b1) / 2 AS before, (a1 + a2) / 2 AS after FROM d)
+SELECT "siteID", "blockID", "plotID", "Treatment", 'pre_cut' AS pre_post_cut, date, "Time", before AS m_ndvi, notes FROM e
+UNION ALL
+SELECT "siteID", "blockID", "plotID", "Treatment", 'post_cut', date, "Time", after, notes FROM e
+""")
+def reflectance_2021_chain(spark, sf):
+    from . import reflectance as RFP
+    b = _rf_base(spark, sf)
+    d = F.to_date(F.concat(F.lit("2021-07-"), F.lpad(F.dayofmonth("l_shipdate").cast("string"), 2, "0")))
+    raw = b.select(_pick(F.col("s_nationkey") % 12, _RF21).alias("Site"), F.col("l_linenumber").alias("Block"),
+                   _pick(F.col("l_partkey") % 8, _BIO_TREATMENTS).alias("Plot"),
+                   F.concat(F.col("l_linenumber").cast("string"), F.lit(":00")).alias("Time"),
+                   F.lit(None).cast("string").alias("notes"), F.date_format(d, "d.M.yyyy").alias("Date"),
+                   (F.col("l_discount") * 5).alias("After.1"), (F.col("l_tax") * 5).alias("After.2"),
+                   ((F.col("l_discount") + F.col("l_tax")) * 4).alias("Before.1"),
+                   (F.col("l_tax") * 3).alias("Before.2"), (F.dayofmonth("l_shipdate") <= 15).alias("__first"))
+    # two weekly files (first and second half of the month), bound back together by the chain
+    return RFP.ndvi_2021(raw.filter("__first").drop("__first"), raw.filter(~F.col("__first")).drop("__first"))
