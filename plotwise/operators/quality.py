@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions import semantics as S
 from . import joins
 from .grouped import group_mutate
+from ..sources.inline import inline_table
 
 
 def duplicate_value_check(df: DataFrame, keys: Sequence[str], value: str, out: str = "n") -> DataFrame:
@@ -117,10 +118,10 @@ def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
             for c in ranged])
         rng = rng.unpivot([], [F.col(f"`{c}`") for c in ranged], VAR, VRANGE)
     else:
-        rng = spark.createDataFrame([], f"`{VAR}` string, `{VRANGE}` string")
+        rng = inline_table(spark, [], f"`{VAR}` string, `{VRANGE}` string")
 
     rows = [(f.name, _TYPE_NAME.get(k), table_id) for f in fields for k in _classes(f.dataType)]
-    cls = spark.createDataFrame(rows, f"`{VAR}` string, `{VTYPE}` string, TableID string")
+    cls = inline_table(spark, rows, f"`{VAR}` string, `{VTYPE}` string, TableID string")
     cls = joins.join(cls, rng, VAR, "left")
 
     d = descriptions

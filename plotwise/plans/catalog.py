@@ -33,6 +33,7 @@ from ..operators import quality as Q
 from ..operators import reshape as R
 from ..session import materialize
 from ..sources.io import table
+from ..sources.inline import inline_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -242,7 +243,7 @@ FROM customer c RIGHT JOIN d ON c.c_nationkey IS NOT DISTINCT FROM d.n_nationkey
 def right_join_dictionary(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     d = (_t(spark, sf, "nation").filter(F.col("n_regionkey").isin(1, 3)).select("n_nationkey", "n_name")
-         .unionByName(spark.createDataFrame([(99, "NATION_99")], "n_nationkey int, n_name string")))
+         .unionByName(inline_table(spark, [(99, "NATION_99")], "n_nationkey int, n_name string")))
     return J.join(c, d, [("c_nationkey", "n_nationkey")], "right")
 
 
@@ -254,7 +255,7 @@ SELECT * FROM p WHERE EXISTS (SELECT 1 FROM d WHERE p.p_brand IS NOT DISTINCT FR
 def semi_join_dictionary(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") != 1, F.col("p_brand")).alias("p_brand"),
                                      "p_size")
-    d = spark.createDataFrame([("Brand#1",), ("Brand#12",), ("Brand#25",), (None,)], "brand string")
+    d = inline_table(spark, [("Brand#1",), ("Brand#12",), ("Brand#25",), (None,)], "brand string")
     return J.semi_join(p, d, [("p_brand", "brand")], broadcast=True)
 
 
@@ -269,7 +270,7 @@ def lookup_fanout(spark, sf):
     e = _t(spark, sf, "events").select(
         "event_id", "event_type", F.when(F.col("event_id") % 10 != 0, F.col("value")).alias("value"))
     # fixed lookup with a duplicated row: matching rows are doubled, as in the source
-    lk = spark.createDataFrame([("purchase", 1.5), ("click", 0.5), ("purchase", 1.5), ("view", None)],
+    lk = inline_table(spark, [("purchase", 1.5), ("click", 0.5), ("purchase", 1.5), ("view", None)],
                                "event_type string, default_value double")
     return I.lookup_fill(e, lk, "event_type", "value", "default_value")
 
@@ -491,9 +492,9 @@ def point_corrections(spark, sf):
     o = _t(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", _year("o_orderdate").alias("Year"), F.col("o_totalprice").alias("price"),
         F.col("o_orderstatus").alias("status"), "o_orderpriority")
-    fixes = spark.createDataFrame(_FIXES, "o_custkey long, Year int, column string, value string")
+    fixes = inline_table(spark, _FIXES, "o_custkey long, Year int, column string, value string")
     out = C.point_corrections(o, fixes, ["o_custkey", "Year"], ["price", "status"])
-    fixes2 = spark.createDataFrame(  # fixed second-stage rows keyed by (customer, year, priority)
+    fixes2 = inline_table(spark,   # fixed second-stage rows keyed by (customer, year, priority)
         [(5, 1996, "1-URGENT", "status", "U"), (6, 1997, "5-LOW", "status", "L")],
         "o_custkey long, Year int, o_orderpriority string, column string, value string")
     out = C.point_corrections(out, fixes2, ["o_custkey", "Year", "o_orderpriority"], ["status"])
@@ -542,11 +543,11 @@ FROM a LEFT JOIN gm ON a.species IS NOT DISTINCT FROM gm.old
 def dictionary_override(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_brand", F.col("p_name").alias("species"),
                                      F.col("p_retailprice").alias("cover"))
-    keyed = spark.createDataFrame(  # fixed keyed corrections: (brand, old name) -> new name, new cover
+    keyed = inline_table(spark,   # fixed keyed corrections: (brand, old name) -> new name, new cover
         [("Brand#1", "small ring", "ring.small", 1000.0), ("Brand#2", "red widget", "widget.red", None),
          ("Brand#3", "blue bolt", "bolt.blue", 5.0)],
         "p_brand string, old string, new string, cover_new double")
-    gmap = spark.createDataFrame(  # fixed global name map, applied after the keyed stage
+    gmap = inline_table(spark,   # fixed global name map, applied after the keyed stage
         [("hot gear", "gear.hot"), ("ring.small", "ring.tiny"), ("small gizmo", "gizmo")], "old string, new string")
     return C.dictionary_override(p, keyed, ["p_brand", ("species", "old")], "species", "cover", gmap,
                                  new_name="new", new_value="cover_new", old_name="old", broadcast=True)
@@ -725,7 +726,7 @@ def explode_lookup_fill(spark, sf):
                    F.col("l_returnflag").alias("site"), F.col("l_linenumber").alias("block"),
                    F.when(~((F.col("l_linenumber") > 4) & (F.col("l_returnflag") != "N")),
                           S.str_sub_from(F.concat(F.lit("Round "), F.col("l_linestatus")), -1)).alias("round"))
-    lookup = spark.createDataFrame(  # fixed rounds to impute: (year, site, blocks, round)
+    lookup = inline_table(spark,   # fixed rounds to impute: (year, site, blocks, round)
         [(1996, "A", [5], "2"), (1996, "R", [5, 6, 7], "1"), (1997, "A", [5, 6], "1"), (1998, "R", [5, 6, 7], "3")],
         "year int, site string, block array<int>, round_new string")
     return I.explode_lookup_fill(li, lookup, "block", ["year", "site", "block"], "round", "round_new")
@@ -1136,7 +1137,7 @@ def data_dictionary(spark, sf):
     o = _t(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("o_date"), "o_orderpriority",
         (F.col("o_orderstatus") == "F").alias("is_final"), "o_orderdate", F.col("o_custkey").cast("int").alias("cust"))
-    desc = spark.createDataFrame(
+    desc = inline_table(spark, 
         _DESCRIPTIONS, "TableID string, `Variable name` string, Description string, "
                        "`Units/treatment level` string, `How measured` string")
     return Q.data_dictionary(o, desc, "orders")

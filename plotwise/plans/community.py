@@ -41,6 +41,7 @@ from ..operators import quality as Q
 from ..operators import reshape as R
 from ..session import materialize
 from . import dictionaries as D
+from ..sources.inline import inline_table
 
 KEYS6 = ["siteID", "blockID", "Treatment", "turfID", "species", "Year"]
 
@@ -297,13 +298,13 @@ def finalize(c2: DataFrame, fg: DataFrame) -> DataFrame:
     c2 = C.class_rollup(c2, fg, "species", "species", "functionalGroup", "functionalGroup",
                         merge_patterns=GROUP_MERGE, key_overrides=GROUP_OVERRIDES)
     c2 = G.group_sum_strict(c2, ["turfID", "Year", "functionalGroup"], "cover", "sumcover")
-    fixes = spark.createDataFrame(POINT_FIXES, "turfID string, Year int, column string, value double")
+    fixes = inline_table(spark, POINT_FIXES, "turfID string, Year int, column string, value double")
     cols = ["mossHeight", "vegetationHeight", "totalBryophytes", "totalForbs", "totalGraminoids"]
     c2 = C.point_corrections(c2, fixes, ["turfID", "Year"], cols)
     c2 = c2.withColumnsRenamed({"totalForbs": "forbCov", "totalBryophytes": "mossCov",
                                 "totalGraminoids": "graminoidCov"})
     c2 = c2.drop("acro", "pleuro")
-    sp = spark.createDataFrame(SPECIES_FIXES, "turfID string, Year int, species string, column string, value double")
+    sp = inline_table(spark, SPECIES_FIXES, "turfID string, Year int, species string, column string, value double")
     c2 = C.point_corrections(c2, sp, ["turfID", "Year", "species"], ["graminoidCov", "forbCov"])
     out = c2.select("siteID", "blockID", "Treatment", "turfID", "Year", "graminoidCov", "forbCov", "mossCov",
                     "vegetationHeight", "mossHeight", "litter", "cover", "species", "functionalGroup",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 from ..operators import reshape as R
 from . import dictionaries as D
+from ..sources.inline import inline_table
 
 
 def design_grid(spark: SparkSession, sites: Sequence[str] = tuple(D.DESIGN_SITES),
@@ -17,7 +18,7 @@ def design_grid(spark: SparkSession, sites: Sequence[str] = tuple(D.DESIGN_SITES
                 treatments: Sequence[str] = tuple(D.DESIGN_TREATMENTS)) -> DataFrame:
     """12 x 4 x 8 = 384 plots; ``blockID`` = site code + block,
     ``plotID`` = blockID + treatment. Sorted like a crossing (at the sink)."""
-    s = spark.createDataFrame([(x,) for x in sites], "siteID string")
+    s = inline_table(spark, [(x,) for x in sites], "siteID string")
     return grid_from_sites(s, blocks, treatments).orderBy("siteID", "blockID", "treatment")
 
 

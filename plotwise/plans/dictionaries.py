@@ -9,6 +9,7 @@ so joins against it may broadcast).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from ..sources.inline import inline_table
 
 # --- fixed values: site codes (old, v2, v3, new) ---------------------------
 SITE_CODES = [
@@ -106,22 +107,22 @@ DESIGN_TREATMENTS = ["C", "F", "G", "B", "FB", "GB", "GF", "FGB"]
 
 
 def site_codes_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITE_CODES, "old string, v2 string, v3 string, new string")
+    return inline_table(spark, SITE_CODES, "old string, v2 string, v3 string, new string")
 
 
 def ttc_turf_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TTC_TURF, "TTtreat string, turfID string")
+    return inline_table(spark, TTC_TURF, "TTtreat string, turfID string")
 
 
 def biomass_rounds_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BIOMASS_ROUNDS, "year int, site string, block array<int>, round_new string")
+    return inline_table(spark, BIOMASS_ROUNDS, "year int, site string, block array<int>, round_new string")
 
 
 def biomass_dates_df(spark: SparkSession) -> DataFrame:
     from pyspark.sql import functions as F
-    return (spark.createDataFrame(BIOMASS_DATES, "year int, site string, newdate string")
+    return (inline_table(spark, BIOMASS_DATES, "year int, site string, newdate string")
             .withColumn("newdate", F.to_date("newdate")))
 
 
 def climate_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CLIMATE, "siteID string, biogeographic_zone string, prep_level int")
+    return inline_table(spark, CLIMATE, "siteID string, biogeographic_zone string, prep_level int")

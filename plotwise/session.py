@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # fall back from whole-stage code generation when a fused stage's method
+    # exceeds what the JVM will JIT-compile (8000 bytes of bytecode): long
+    # chains of rule projections would otherwise run interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
