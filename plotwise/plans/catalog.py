@@ -1739,3 +1739,24 @@ def reflectance_2021_chain(spark, sf):
                    (F.col("l_tax") * 3).alias("Before.2"), (F.dayofmonth("l_shipdate") <= 15).alias("__first"))
     # two weekly files (first and second half of the month), bound back together by the chain
     return RFP.ndvi_2021(raw.filter("__first").drop("__first"), raw.filter(~F.col("__first")).drop("__first"))
+
+
+def _biomass_totals_sql() -> str:
+    from . import dictionaries as DD
+    chain = _biomass_sql()
+    climate = ", ".join(f"('{s}', '{z}', {lv})" for s, z, lv in DD.CLIMATE)
+    levels = " ".join(f"WHEN '{x}' THEN {i + 1}" for i, x in enumerate(DD.CLIMATE_LEVELS))
+    tlev = ", ".join(f"'{x}'" for x in DD.PLOT_TREATMENT_LEVELS)
+    return f"""WITH chain AS ({chain}),
+cl AS (SELECT * FROM (VALUES {climate}) t("siteID", zone, lvl)),
+j AS (SELECT c.*, zone || CAST(lvl AS VARCHAR) AS lab FROM chain c LEFT JOIN cl ON c."siteID" IS NOT DISTINCT FROM cl."siteID"),
+k AS (SELECT year, CASE WHEN (CASE lab {levels} END) IS NOT NULL THEN lab END AS climate,
+             CASE WHEN treatment IN ({tlev}) THEN treatment END AS treatment, removed_fg, biomass FROM j)
+SELECT year, climate, treatment, removed_fg, round(sum(biomass), 6) AS biomass FROM k GROUP BY 1, 2, 3, 4"""
+
+
+@register("biomass_plot_totals", _biomass_totals_sql())
+def biomass_plot_totals(spark, sf):
+    from . import biomass as BM
+    t = BM.plot_totals(BM.clean_biomass(_biomass_raw(spark, sf)))
+    return t.withColumn("biomass", F.round("biomass", 6))

@@ -33,4 +33,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() > 0 and df.columns == ["year", "zone", "treatment", "removed_fg", "biomass", "n_plots"]
+    assert df.count() > 0 and df.columns == ["year", "climate", "treatment", "removed_fg", "biomass"]
