@@ -1760,3 +1760,138 @@ def biomass_plot_totals(spark, sf):
     from . import biomass as BM
     t = BM.plot_totals(BM.clean_biomass(_biomass_raw(spark, sf)))
     return t.withColumn("biomass", F.round("biomass", 6))
+
+
+# Relational plot database from the driver tables: supplier -> turf (31 of 40
+# turf indices are transplant controls of the fixed dictionary), ship year +
+# 19 -> year (2014-2020), part -> species, line -> subplot, quantities ->
+# covers. On a third of the turf-years one species is recorded in subplots
+# only (missing cover); recorders and reference totals vary by turf-year so
+# that every recorder gate fires somewhere.
+
+_REC = ["Siri", "Owen", "PM", None, "Anna"]
+
+
+def _turf_sql(t: str) -> str:
+    return (f"CASE WHEN {t} < 31 THEN {_sql_list_pick(t, _TTC_NUMS)} || ' TTC' "
+            f"ELSE 'X' || CAST({t} AS VARCHAR) || ' TTC' END")
+
+
+def _turf_col(t):
+    return F.when(t < 31, F.concat(_pick(t, _TTC_NUMS), F.lit(" TTC"))).otherwise(
+        F.concat(F.lit("X"), t.cast("string"), F.lit(" TTC")))
+
+
+def _community_db(spark, sf):
+    from .community import CommunityInputs  # noqa: F401 - documents the target layout
+    li = _t(spark, sf, "lineitem")
+    t = F.col("l_suppkey") % 40
+    base = li.select(_turf_col(t).alias("turfID"), (_year("l_shipdate") + 19).alias("year"),
+                     F.concat(F.lit("Sp."), (F.col("l_partkey") % 40).cast("string")).alias("species"),
+                     F.col("l_linenumber").alias("subTurf"), F.col("l_quantity").alias("q"), t.alias("t"),
+                     (F.col("l_partkey") % 40).alias("p"))
+    sub = base.select("turfID", "year", "species", "subTurf")
+    cov = (base.filter(~((F.col("p") == 39) & ((F.col("t") + F.col("year")) % 3 == 0)))
+           .groupBy("turfID", "year", "species").agg(F.sum("q").alias("cover")))
+    part = _t(spark, sf, "part")
+    taxon = (part.select(F.concat(F.lit("Sp."), (F.col("p_partkey") % 40).cast("string")).alias("species"))
+             .distinct().withColumn("speciesName", F.upper("species")))
+    ts = _t(spark, sf, "supplier").select((F.col("s_suppkey") % 40).alias("t")).distinct()
+    turfs = ts.select(_turf_col(F.col("t")).alias("turfID"),
+                      F.when(F.col("t") % 3 == 0, F.lit("")).otherwise(F.lit("TTC")).alias("TTtreat"),
+                      F.when(F.col("t") % 3 == 0, F.lit("TTC")).alias("GRtreat"),
+                      F.concat(F.lit("P"), F.col("t").cast("string")).alias("destinationPlotID"))
+    plots = ts.select(F.concat(F.lit("P"), F.col("t").cast("string")).alias("plotID"),
+                      F.concat(F.lit("B"), (F.col("t") % 5).cast("string")).alias("blockID"))
+    blocks = ts.select(F.concat(F.lit("B"), (F.col("t") % 5).cast("string")).alias("blockID"),
+                       F.concat(F.lit("S"), (F.col("t") % 5).cast("string")).alias("siteID")).distinct()
+    sites = blocks.select("siteID").distinct().select(
+        "siteID", F.substring("siteID", 2, 1).cast("int").alias("temperature_level"),
+        (F.substring("siteID", 2, 1).cast("int") % 4).alias("precipitation_level"))
+    env = base.groupBy("turfID", "year", "t").agg(F.count(F.lit(1)).alias("n"), F.max("q").alias("mq"))
+    k = (F.col("t") + F.col("year")) % 5
+    env = env.select(
+        "turfID", "year", _pick(k, _REC).alias("recorder"),
+        (F.col("n") * _pick(F.col("t") % 4, [10.0, 25.0, 60.0, 0.0])).alias("totalVascular"),
+        (F.col("mq") * 2).alias("totalBryophytes"), (F.col("n") % 30).cast("double").alias("vegetationHeight"),
+        (F.col("n") % 7).cast("double").alias("mossHeight"), F.col("mq").alias("litter"))
+    return dict(character_traits=None, sub_turf_community=sub, turf_community=cov, taxon=taxon, turfs=turfs,
+                plots=plots, blocks=blocks, sites=sites, turf_environment=env)
+
+
+def _community_relational_sql() -> str:
+    rec = _sql_list_pick("(t + year) % 5", _REC)
+    tv = _sql_list_pick("t % 4", [10.0, 25.0, 60.0, 0.0])
+    ttc = ", ".join(f"('{a}', '{b}')" for a, b in __import__("plotwise.plans.dictionaries", fromlist=["x"]).TTC_TURF)
+    sidx = "s_suppkey % 40"
+    return f"""WITH base AS (SELECT {_turf_sql('l_suppkey % 40')} AS "turfID", CAST(year(l_shipdate) + 19 AS INTEGER) AS year,
+                     'Sp.' || CAST(l_partkey % 40 AS VARCHAR) AS species, l_linenumber AS "subTurf", l_quantity AS q,
+                     l_suppkey % 40 AS t, l_partkey % 40 AS p FROM lineitem),
+sub AS (SELECT "turfID", year, species, count(*) AS n_subturf FROM base GROUP BY 1, 2, 3),
+cov AS (SELECT "turfID", year, species, sum(q) AS cover FROM base
+        WHERE NOT (p = 39 AND (t + year) % 3 = 0) GROUP BY 1, 2, 3),
+ts AS (SELECT DISTINCT {sidx} AS t FROM supplier),
+turfs AS (SELECT {_turf_sql('t')} AS "turfID", CASE WHEN t % 3 = 0 THEN '' ELSE 'TTC' END AS "TTtreat",
+                 CASE WHEN t % 3 = 0 THEN 'TTC' END AS "GRtreat", 'P' || CAST(t AS VARCHAR) AS "destinationPlotID" FROM ts),
+plots AS (SELECT 'P' || CAST(t AS VARCHAR) AS "plotID", 'B' || CAST(t % 5 AS VARCHAR) AS "blockID" FROM ts),
+blocks AS (SELECT DISTINCT 'B' || CAST(t % 5 AS VARCHAR) AS "blockID", 'S' || CAST(t % 5 AS VARCHAR) AS "siteID" FROM ts),
+env AS (SELECT "turfID", year, {rec} AS recorder, count(*) * {tv} AS "totalVascular",
+               max(q) * 2 AS "totalBryophytes", CAST(count(*) % 30 AS DOUBLE) AS "vegetationHeight",
+               CAST(count(*) % 7 AS DOUBLE) AS "mossHeight", max(q) AS litter FROM base GROUP BY "turfID", year, t),
+d0 AS (SELECT coalesce(sub."turfID", cov."turfID") AS "turfID", coalesce(sub.year, cov.year) AS year,
+              coalesce(sub.species, cov.species) AS species, cov.cover
+       FROM sub FULL JOIN cov ON sub."turfID" IS NOT DISTINCT FROM cov."turfID" AND sub.year IS NOT DISTINCT FROM cov.year
+                             AND sub.species IS NOT DISTINCT FROM cov.species),
+d1 AS (SELECT b."siteID", p."blockID", tu."destinationPlotID" AS "plotID", d0."turfID", tu."TTtreat", tu."GRtreat",
+              d0.year AS "Year", d0.species, d0.cover, e.recorder, e."totalVascular", e."totalBryophytes",
+              e."vegetationHeight", e."mossHeight"
+       FROM d0 LEFT JOIN turfs tu ON d0."turfID" IS NOT DISTINCT FROM tu."turfID"
+       LEFT JOIN plots p ON tu."destinationPlotID" IS NOT DISTINCT FROM p."plotID"
+       LEFT JOIN blocks b ON p."blockID" IS NOT DISTINCT FROM b."blockID"
+       LEFT JOIN env e ON d0."turfID" IS NOT DISTINCT FROM e."turfID" AND d0.year IS NOT DISTINCT FROM e.year
+       WHERE d0.year > 2014 AND (tu."TTtreat" = 'TTC' OR tu."GRtreat" = 'TTC')),
+d2 AS (SELECT * REPLACE (
+         CASE WHEN "Year" IN (2015, 2017) THEN "vegetationHeight" * 10 ELSE "vegetationHeight" END AS "vegetationHeight",
+         CASE WHEN "Year" = 2017 AND "turfID" = '301 TTC' THEN CAST(7.5 AS DOUBLE)
+              WHEN "Year" IN (2015, 2017) THEN "mossHeight" * 10 ELSE "mossHeight" END AS "mossHeight",
+         CASE WHEN "TTtreat" IS NULL OR "TTtreat" = '' THEN "GRtreat" ELSE "TTtreat" END AS "TTtreat",
+         coalesce(recorder, 'unknown botanist') AS recorder) FROM d1),
+d3 AS (SELECT * REPLACE (CASE WHEN coalesce(recorder = 'PM', false) THEN cover * CAST(1.2 AS DOUBLE) ELSE cover END AS cover)
+       FROM d2),
+g AS (SELECT "turfID", "Year",
+         coalesce(count(CASE WHEN recorder = 'Siri' THEN cover END) = count(CASE WHEN recorder = 'Siri' THEN 1 END)
+                  AND sum(CASE WHEN recorder = 'Siri' THEN cover END)
+                      < CAST(1.35 AS DOUBLE) * max(CASE WHEN recorder = 'Siri' THEN "totalVascular" END), false) AS g1,
+         count(CASE WHEN recorder = 'Owen' THEN cover END) = count(CASE WHEN recorder = 'Owen' THEN 1 END) AS owen_strict,
+         sum(CASE WHEN recorder = 'Owen' THEN cover END) AS s2_0,
+         sum(CASE WHEN recorder = 'Owen' THEN cover * CAST(1.3 AS DOUBLE) END) AS s2_1,
+         min(CASE WHEN recorder = 'Owen' THEN "totalVascular" END) AS t2
+       FROM d3 GROUP BY 1, 2),
+g2 AS (SELECT "turfID", "Year", g1,
+         coalesce(owen_strict AND (CASE WHEN g1 THEN s2_1 ELSE s2_0 END) > CAST(1.5 AS DOUBLE) * t2, false) AS g2 FROM g),
+d4 AS (SELECT d3.* REPLACE (
+         CASE WHEN coalesce(g2.g2, false)
+              THEN (CASE WHEN coalesce(g2.g1, false) THEN d3.cover * CAST(1.3 AS DOUBLE) ELSE d3.cover END) / CAST(1.5 AS DOUBLE)
+              ELSE (CASE WHEN coalesce(g2.g1, false) THEN d3.cover * CAST(1.3 AS DOUBLE) ELSE d3.cover END) END AS cover)
+       FROM d3 LEFT JOIN g2 ON d3."turfID" IS NOT DISTINCT FROM g2."turfID" AND d3."Year" IS NOT DISTINCT FROM g2."Year"),
+dict AS (SELECT * FROM (VALUES {ttc}) t("TTtreat", "turfID")),
+d5 AS (SELECT d4."siteID", d4."Year", d4.species, d4.cover, d4.recorder, d4."totalBryophytes", d4."vegetationHeight",
+              d4."mossHeight", 'C' AS "Treatment", d4."turfID" AS "TTtreat", dict."turfID" AS "turfID"
+       FROM d4 LEFT JOIN dict ON d4."turfID" IS NOT DISTINCT FROM dict."TTtreat"
+       WHERE d4."turfID" IN (SELECT "TTtreat" FROM dict)),
+d6 AS (SELECT *, substr("turfID", 4, 1) AS "blockID" FROM d5
+       WHERE cover IS NOT NULL AND NOT ("TTtreat" = '37 TTC' AND "Year" > 2015))
+SELECT "siteID", "blockID", "TTtreat", "Year", species, cover, recorder, "totalBryophytes", "vegetationHeight",
+       "mossHeight", "Treatment", "turfID" FROM d6
+UNION ALL
+SELECT "siteID", "blockID", "TTtreat", 2017, species, cover, recorder, "totalBryophytes", "vegetationHeight",
+       "mossHeight", "Treatment", "turfID" FROM d6 WHERE "TTtreat" IN ('297 TTC', '246 TTC') AND "Year" = 2016"""
+
+
+@register("community_relational_chain", _community_relational_sql())
+def community_relational_chain(spark, sf):
+    from . import community as CM
+    db = _community_db(spark, sf)
+    inp = CM.CommunityInputs(**db, sheets=[], sheet_2018=None, bryophytes_2017=None, species_corrections=None,
+                             merge_dictionary=None)
+    return CM.relational_covers(inp)
