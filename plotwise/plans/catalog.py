@@ -1895,3 +1895,159 @@ def community_relational_chain(spark, sf):
     inp = CM.CommunityInputs(**db, sheets=[], sheet_2018=None, bryophytes_2017=None, species_corrections=None,
                              merge_dictionary=None)
     return CM.relational_covers(inp)
+
+
+# Composition sheets from lineitem: order -> turf (site, block, treatment),
+# ship year + 20 -> year, line number -> subplot code ('%' cover rows, 'T'
+# presence rows, a numbered subplot otherwise), part -> species column, summed
+# quantities -> cover text. Three sheets (years 2015-16, 2017-18, 2019-21) with
+# different column sets are bound by name, as the yearly files are.
+
+_CSITES = ["Ulvhaugen", "Lavisdalen", "Gudmedalen", "Skjellingahaugen", "Alrust", "Hogsete", "Rambera", "Veskre",
+           "Fauske", "Vikesland", "Arhelleren", "Ovstedal"]
+_SPECIES_COLS = ["Sp 0", "Sp 1", "Sp 2", "Sp 3", "Sp 4", "Sp 5", "Sp 5x", "Sp 6", "Sp 7", "Sp 8", "Sp 9"]
+_CREC = ["A", "B", "Siri", None]
+_CORRECTIONS = [  # fixed species corrections: old, new, siteID, turfID, Year, cover, functionalGroup
+    ("Sp.3", "Sp.3b", "Alrust", "Alr2F", 2016, "5", None),
+    ("Sp.2", "Sp.2b", "Fauske", "Fau1C", 2017, None, None),
+    ("Sp.1", "Sp.1b", "Veskre", "Ves3GB", 2018, "WHAT HAPPENED", None),
+    ("Sp.4", "Sp.4x", None, None, None, "", None),
+    ("Sp.6", "Sp.6x", None, None, None, "", None),
+    ("Vio.can", "Vio.x", None, None, None, "", None),
+]
+_MERGE = [("Sp.4x", "Sp.44"), ("Sp.7", "Sp.77")]  # fixed merge dictionary: old, new
+
+
+def _community_sheets(spark, sf):
+    li = _t(spark, sf, "lineitem")
+    g = F.col("l_orderkey") % 600
+    yr = _year("l_shipdate") + 20
+    site = _pick(g % 12, _CSITES)
+    block = F.when((site == "Gudmedalen") & (g % 7 == 0), F.lit("16")).otherwise((g % 5 + 1).cast("string"))
+    trt = _pick(g % 9, _BIO_TREATMENTS + ["XC"])
+    turf = F.when(g % 31 == 0, F.concat(_pick(g % 31, _TTC_NUMS), F.lit(" TTC"))).otherwise(
+        F.concat(F.substring(site, 1, 3), block, trt))
+    sub = (F.when(F.col("l_linenumber") <= 4, F.lit("%")).when(F.col("l_linenumber") <= 6, F.lit("T"))
+           .otherwise(F.lit("3")))
+    k = g * 7 + yr
+
+    def num(expr, null_when):
+        return F.when(~null_when, expr.cast("string"))
+
+    base = li.select(
+        g.alias("g"), yr.alias("yr"), site.alias("siteID"), block.alias("blockID"), trt.alias("Treatment"),
+        turf.alias("turfID"), F.when(g % 11 == 0, F.lit("TT2")).alias("TTtreat"), sub.alias("subPlot"),
+        yr.cast("string").alias("year"), _pick((g + yr) % 4, _CREC).alias("recorder"),
+        num(k % 60, (g + yr) % 5 == 0).alias("totalGraminoids"), num(k % 70, (g + yr) % 6 == 0).alias("totalForbs"),
+        num(k % 40, (g + yr) % 7 == 0).alias("totalBryophytes"), num(k % 30, g % 13 == 0).alias("vegetationHeight"),
+        num(k % 9, g % 17 == 0).alias("mossHeight"), num(k % 11, g % 19 == 0).alias("litter"),
+        num(k % 5, (g + yr) % 3 == 0).alias("acro"), num(k % 4, (g + yr) % 4 == 1).alias("pleuro"),
+        F.concat(F.lit("Sp "), (F.col("l_partkey") % 10).cast("string")).alias("sp"), F.col("l_quantity").alias("q"))
+    ids = [c for c in base.columns if c not in ("sp", "q")]
+    wide = base.groupBy(*ids).pivot("sp", _SPECIES_COLS).agg(F.sum("q").cast("bigint").cast("string")).drop("g")
+    y = F.col("yr")
+    s1 = wide.filter(y <= 2016).drop("yr")
+    s2 = wide.filter((y >= 2017) & (y <= 2018)).drop("yr", "acro", "pleuro")
+    s3 = wide.filter(y >= 2019).drop("yr", "TTtreat")
+    return [s2, s1, s3]
+
+
+@register("community_composition_chain")
+def community_composition_chain(spark, sf):
+    from . import community as CM
+    corr = inline_table(spark, _CORRECTIONS, "old string, new string, siteID string, turfID string, Year int, "
+                                             "cover string, functionalGroup string")
+    merge = inline_table(spark, _MERGE, "old string, new string")
+    layout = CM.SheetLayout(species_first="Sp 0", species_last_kept="Sp 9", species_last_long="Sp 8")
+    inp = CM.CommunityInputs(character_traits=None, sub_turf_community=None, turf_community=None, taxon=None,
+                             turfs=None, plots=None, blocks=None, sites=None, turf_environment=None,
+                             sheets=_community_sheets(spark, sf), sheet_2018=None, bryophytes_2017=None,
+                             species_corrections=corr, merge_dictionary=merge, layout=layout)
+    return CM.composition_long(inp)
+
+
+def _community_composition_sql() -> str:
+    site = _sql_list_pick("g % 12", _CSITES)
+    trt = _sql_list_pick("g % 9", _BIO_TREATMENTS + ["XC"])
+    rec = _sql_list_pick("(g + yr) % 4", _CREC)
+    ttc = ", ".join(f"('{a}', '{b}')" for a, b in __import__("plotwise.plans.dictionaries", fromlist=["x"]).TTC_TURF)
+
+    def q(v):
+        return "NULL" if v is None else ("'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v))
+    corr = ", ".join("(" + ", ".join(q(v) for v in r) + ")" for r in _CORRECTIONS)
+    merge = ", ".join(f"('{a}', '{b}')" for a, b in _MERGE)
+    levels = ", ".join(f"('{s}')" for s in _SPECIES_COLS if s not in ("Sp 5x", "Sp 9"))
+    tot = ["totalGraminoids", "totalForbs", "totalBryophytes", "vegetationHeight", "mossHeight", "litter", "acro",
+           "pleuro"]
+    tot_cast = ", ".join(f'TRY_CAST("{c}" AS DOUBLE) AS "{c}"' for c in tot)
+    tot_cols = ", ".join(f'"{c}"' for c in tot)
+    return f"""WITH l0 AS (SELECT l_orderkey % 600 AS g, CAST(year(l_shipdate) + 20 AS BIGINT) AS yr, l_linenumber, l_partkey,
+                   l_quantity FROM lineitem),
+l1 AS (SELECT *, {site} AS site FROM l0),
+l2 AS (SELECT *, CASE WHEN site = 'Gudmedalen' AND g % 7 = 0 THEN '16' ELSE CAST(g % 5 + 1 AS VARCHAR) END AS block,
+              {trt} AS trt, g * 7 + yr AS k FROM l1),
+base AS (SELECT g, yr, site AS "siteID", block AS "blockID", trt AS "Treatment",
+           CASE WHEN g % 31 = 0 THEN {_sql_list_pick('g % 31', _TTC_NUMS)} || ' TTC' ELSE substr(site, 1, 3) || block || trt END AS "turfID",
+           CASE WHEN g % 11 = 0 AND yr < 2019 THEN 'TT2' END AS "TTtreat",
+           CASE WHEN l_linenumber <= 4 THEN '%' WHEN l_linenumber <= 6 THEN 'T' ELSE '3' END AS "subPlot",
+           CAST(yr AS VARCHAR) AS "Year", {rec} AS recorder,
+           CASE WHEN NOT ((g + yr) % 5 = 0) THEN CAST(k % 60 AS VARCHAR) END AS "totalGraminoids",
+           CASE WHEN NOT ((g + yr) % 6 = 0) THEN CAST(k % 70 AS VARCHAR) END AS "totalForbs",
+           CASE WHEN NOT ((g + yr) % 7 = 0) THEN CAST(k % 40 AS VARCHAR) END AS "totalBryophytes",
+           CASE WHEN NOT (g % 13 = 0) THEN CAST(k % 30 AS VARCHAR) END AS "vegetationHeight",
+           CASE WHEN NOT (g % 17 = 0) THEN CAST(k % 9 AS VARCHAR) END AS "mossHeight",
+           CASE WHEN NOT (g % 19 = 0) THEN CAST(k % 11 AS VARCHAR) END AS litter,
+           CASE WHEN NOT ((g + yr) % 3 = 0) AND NOT (yr BETWEEN 2017 AND 2018) THEN CAST(k % 5 AS VARCHAR) END AS acro,
+           CASE WHEN NOT ((g + yr) % 4 = 1) AND NOT (yr BETWEEN 2017 AND 2018) THEN CAST(k % 4 AS VARCHAR) END AS pleuro,
+           'Sp ' || CAST(l_partkey % 10 AS VARCHAR) AS sp, l_quantity AS q FROM l2),
+cells AS (SELECT g, yr, "subPlot", sp, CAST(CAST(sum(q) AS BIGINT) AS VARCHAR) AS v FROM base GROUP BY 1, 2, 3, 4),
+sheet AS (SELECT DISTINCT g, yr, "siteID", "blockID", "Treatment", "turfID", "TTtreat", "subPlot", "Year", recorder,
+                 {tot_cols} FROM base WHERE "subPlot" IN ('%', 'T')),
+lv AS (SELECT * FROM (VALUES {levels}) t(species)),
+long AS (SELECT s.*, lv.species, c.v AS cover, c9.v AS "Sp 9"
+         FROM sheet s CROSS JOIN lv
+         LEFT JOIN cells c ON s.g = c.g AND s.yr = c.yr AND s."subPlot" = c."subPlot" AND lv.species = c.sp
+         LEFT JOIN cells c9 ON s.g = c9.g AND s.yr = c9.yr AND s."subPlot" = c9."subPlot" AND c9.sp = 'Sp 9'),
+pres AS (SELECT DISTINCT "siteID", "Treatment", "turfID", "Year", species, CAST(1.0 AS DOUBLE) AS presence
+         FROM long WHERE "subPlot" = 'T' AND cover IS NOT NULL),
+comp AS (SELECT l."siteID", l."blockID", l."Treatment", l."turfID", l."TTtreat", l."Year", l.recorder, {", ".join(f'l."{c}"' for c in tot)},
+                l."Sp 9", l.species, l.cover, p.presence
+         FROM long l LEFT JOIN pres p ON l."siteID" IS NOT DISTINCT FROM p."siteID"
+              AND l."Treatment" IS NOT DISTINCT FROM p."Treatment" AND l."turfID" IS NOT DISTINCT FROM p."turfID"
+              AND l."Year" IS NOT DISTINCT FROM p."Year" AND l.species IS NOT DISTINCT FROM p.species
+         WHERE l."subPlot" = '%'),
+num AS (SELECT "siteID", "blockID", "Treatment", "turfID", "TTtreat", CAST(TRY_CAST("Year" AS DOUBLE) AS INTEGER) AS "Year",
+               recorder, {tot_cast}, "Sp 9", regexp_replace(species, '[ _]', '.', 'g') AS species,
+               TRY_CAST(cover AS DOUBLE) AS cover, presence FROM comp),
+corr AS (SELECT * FROM (VALUES {corr}) t(old, new, "siteID", "turfID", "Year", cover, "functionalGroup")),
+p AS (SELECT old, new, "siteID", "turfID", "Year", TRY_CAST(cover AS DOUBLE) AS cover FROM corr
+      WHERE NOT coalesce(old IN ('Vio.can', 'Com.ten', 'Sel.sel'), false) AND cover <> 'WHAT HAPPENED'),
+keyed AS (SELECT * FROM p WHERE "Year" IS NOT NULL),
+names AS (SELECT old, new FROM p WHERE "Year" IS NULL AND NOT coalesce(old IN ('Eri.bor'), false)
+          UNION ALL SELECT * FROM (VALUES {merge}) t(old, new)),
+k1 AS (SELECT n.* REPLACE (coalesce(k.new, n.species) AS species, coalesce(k.cover, n.cover) AS cover)
+       FROM num n LEFT JOIN keyed k ON n."Year" IS NOT DISTINCT FROM k."Year" AND n."turfID" IS NOT DISTINCT FROM k."turfID"
+            AND n."siteID" IS NOT DISTINCT FROM k."siteID" AND n.species IS NOT DISTINCT FROM k.old),
+k2 AS (SELECT k1.* REPLACE (CASE WHEN nm.new IS NOT NULL THEN nm.new ELSE k1.species END AS species)
+       FROM k1 LEFT JOIN names nm ON k1.species IS NOT DISTINCT FROM nm.old),
+dict AS (SELECT * FROM (VALUES {ttc}) t("TTtreat", "turfID")),
+i0 AS (SELECT k2.*, d."turfID" AS "turfID.new" FROM k2 LEFT JOIN dict d ON k2."turfID" IS NOT DISTINCT FROM d."TTtreat"),
+i1 AS (SELECT * REPLACE (CASE WHEN "turfID.new" IS NOT NULL THEN "turfID.new" ELSE "turfID" END AS "turfID") FROM i0),
+i2 AS (SELECT * REPLACE (CASE WHEN ("blockID" = '16' AND "siteID" = 'Gudmedalen') IS NULL THEN NULL
+                              WHEN "blockID" = '16' AND "siteID" = 'Gudmedalen' THEN replace("turfID", '16', '5')
+                              ELSE "turfID" END AS "turfID") FROM i1),
+i3 AS (SELECT * REPLACE (CASE WHEN ("siteID" = 'Alrust' AND "blockID" = '3' AND "Year" = 2015 AND "Treatment" = 'C') IS NULL THEN NULL
+                              WHEN "siteID" = 'Alrust' AND "blockID" = '3' AND "Year" = 2015 AND "Treatment" = 'C' THEN 'Alr3C'
+                              ELSE "turfID" END AS "turfID") FROM i2),
+i4 AS (SELECT * REPLACE (CASE "turfID" WHEN 'Alr4FGB' THEN 'Alr5C' WHEN 'Lav1G ' THEN 'Lav1G' ELSE "turfID" END AS "turfID") FROM i3),
+i5 AS (SELECT * REPLACE (CASE WHEN ("blockID" = '16' AND "siteID" = 'Gudmedalen') IS NULL THEN NULL
+                              WHEN "blockID" = '16' AND "siteID" = 'Gudmedalen' THEN replace("blockID", '16', '5')
+                              ELSE "blockID" END AS "blockID") FROM i4),
+i6 AS (SELECT * REPLACE (CASE WHEN ("turfID" = 'Gud12C') IS NULL THEN NULL WHEN "turfID" = 'Gud12C' THEN '12'
+                              ELSE "blockID" END AS "blockID") FROM i5)
+SELECT * FROM i6
+WHERE NOT ("blockID" = '4' AND "Year" = 2015 AND "siteID" = 'Alrust') AND NOT ("turfID" = 'Gud12C' AND "Year" = 2015)
+  AND NOT ("turfID" = 'Alr3C' AND recorder = 'Siri') AND "turfID" IS NOT NULL"""
+
+
+ORACLE["community_composition_chain"] = _community_composition_sql().strip()
