@@ -1897,7 +1897,8 @@ def community_relational_chain(spark, sf):
     return CM.relational_covers(inp)
 
 
-# Composition sheets from lineitem: order -> turf (site, block, treatment),
+# Composition sheets from lineitem: order -> turf (site, block, treatment; one
+# turf per order, so the sheets grow with the data),
 # ship year + 20 -> year, line number -> subplot code ('%' cover rows, 'T'
 # presence rows, a numbered subplot otherwise), part -> species column, summed
 # quantities -> cover text. Three sheets (years 2015-16, 2017-18, 2019-21) with
@@ -1920,31 +1921,35 @@ _MERGE = [("Sp.4x", "Sp.44"), ("Sp.7", "Sp.77")]  # fixed merge dictionary: old,
 
 def _community_sheets(spark, sf):
     li = _t(spark, sf, "lineitem")
-    g = F.col("l_orderkey") % 600
-    yr = _year("l_shipdate") + 20
+    sub = (F.when(F.col("l_linenumber") <= 4, F.lit("%")).when(F.col("l_linenumber") <= 6, F.lit("T"))
+           .otherwise(F.lit("3")))
+    cells = li.select(F.col("l_orderkey").alias("g"), (_year("l_shipdate") + 20).alias("yr"), sub.alias("subPlot"),
+                      F.concat(F.lit("Sp "), (F.col("l_partkey") % 10).cast("string")).alias("sp"),
+                      F.col("l_quantity").alias("q"))
+    # one sheet row per (turf, year, subplot): aggregate on those three keys,
+    # then derive the row's descriptive columns from them
+    wide = (cells.groupBy("g", "yr", "subPlot").pivot("sp", _SPECIES_COLS)
+            .agg(F.sum("q").cast("bigint").cast("string")))
+    g, yr = F.col("g"), F.col("yr")
     site = _pick(g % 12, _CSITES)
     block = F.when((site == "Gudmedalen") & (g % 7 == 0), F.lit("16")).otherwise((g % 5 + 1).cast("string"))
     trt = _pick(g % 9, _BIO_TREATMENTS + ["XC"])
     turf = F.when(g % 31 == 0, F.concat(_pick(g % 31, _TTC_NUMS), F.lit(" TTC"))).otherwise(
         F.concat(F.substring(site, 1, 3), block, trt))
-    sub = (F.when(F.col("l_linenumber") <= 4, F.lit("%")).when(F.col("l_linenumber") <= 6, F.lit("T"))
-           .otherwise(F.lit("3")))
     k = g * 7 + yr
 
     def num(expr, null_when):
         return F.when(~null_when, expr.cast("string"))
 
-    base = li.select(
-        g.alias("g"), yr.alias("yr"), site.alias("siteID"), block.alias("blockID"), trt.alias("Treatment"),
-        turf.alias("turfID"), F.when(g % 11 == 0, F.lit("TT2")).alias("TTtreat"), sub.alias("subPlot"),
-        yr.cast("string").alias("year"), _pick((g + yr) % 4, _CREC).alias("recorder"),
+    wide = wide.select(
+        "yr", site.alias("siteID"), block.alias("blockID"), trt.alias("Treatment"), turf.alias("turfID"),
+        F.when(g % 11 == 0, F.lit("TT2")).alias("TTtreat"), "subPlot", yr.cast("string").alias("year"),
+        _pick((g + yr) % 4, _CREC).alias("recorder"),
         num(k % 60, (g + yr) % 5 == 0).alias("totalGraminoids"), num(k % 70, (g + yr) % 6 == 0).alias("totalForbs"),
         num(k % 40, (g + yr) % 7 == 0).alias("totalBryophytes"), num(k % 30, g % 13 == 0).alias("vegetationHeight"),
         num(k % 9, g % 17 == 0).alias("mossHeight"), num(k % 11, g % 19 == 0).alias("litter"),
         num(k % 5, (g + yr) % 3 == 0).alias("acro"), num(k % 4, (g + yr) % 4 == 1).alias("pleuro"),
-        F.concat(F.lit("Sp "), (F.col("l_partkey") % 10).cast("string")).alias("sp"), F.col("l_quantity").alias("q"))
-    ids = [c for c in base.columns if c not in ("sp", "q")]
-    wide = base.groupBy(*ids).pivot("sp", _SPECIES_COLS).agg(F.sum("q").cast("bigint").cast("string")).drop("g")
+        *[F.col(f"`{c}`") for c in _SPECIES_COLS])
     y = F.col("yr")
     s1 = wide.filter(y <= 2016).drop("yr")
     s2 = wide.filter((y >= 2017) & (y <= 2018)).drop("yr", "acro", "pleuro")
@@ -1981,7 +1986,7 @@ def _community_composition_sql() -> str:
            "pleuro"]
     tot_cast = ", ".join(f'TRY_CAST("{c}" AS DOUBLE) AS "{c}"' for c in tot)
     tot_cols = ", ".join(f'"{c}"' for c in tot)
-    return f"""WITH l0 AS (SELECT l_orderkey % 600 AS g, CAST(year(l_shipdate) + 20 AS BIGINT) AS yr, l_linenumber, l_partkey,
+    return f"""WITH l0 AS (SELECT l_orderkey AS g, CAST(year(l_shipdate) + 20 AS BIGINT) AS yr, l_linenumber, l_partkey,
                    l_quantity FROM lineitem),
 l1 AS (SELECT *, {site} AS site FROM l0),
 l2 AS (SELECT *, CASE WHEN site = 'Gudmedalen' AND g % 7 = 0 THEN '16' ELSE CAST(g % 5 + 1 AS VARCHAR) END AS block,

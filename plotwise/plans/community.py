@@ -188,17 +188,24 @@ def composition_long(inp: CommunityInputs) -> DataFrame:
             + R.col_range(c, lay.totals_first, lay.totals_last) + ["litter", "acro", "pleuro"]
             + R.col_range(c, lay.species_first, lay.species_last_kept))
     c = c.select(*[F.col(f"`{x}`").alias("Year" if x == "year" else x) for x in keep])
-    c = R.drop_all_null_columns(c)
+    c = R.drop_all_null_columns(materialize(c, fallback="none"))
     if lay.species_first not in c.columns or lay.species_last_long not in c.columns:
         raise ValueError("species range endpoints must hold data in some sheet")
     long_cols = R.col_range(c, lay.species_first, lay.species_last_long)
     ids = [x for x in c.columns if x not in long_cols]
-    c = R.to_long(c, ids, long_cols, "species", "cover")
 
-    pres = (c.filter((F.col("subPlot") == "T") & F.col("cover").isNotNull())
-            .select("siteID", "Treatment", "turfID", "Year", "species").distinct()
-            .withColumn("presence", F.lit(1.0)))
-    c = J.natural_join(c.filter(F.col("subPlot") == "%"), pres, "left")
+    # presence: a species is present in a turf-year when some presence ('T')
+    # row holds a value for it. Decided on the wide rows (one per sheet row,
+    # not one per species) and joined to the cover ('%') rows before they are
+    # turned long, so the join moves 1/len(species) of the long data.
+    keys = ["siteID", "Treatment", "turfID", "Year"]
+    pres = (c.filter(F.col("subPlot") == "T").groupBy(*keys)
+            .agg(*[F.max(F.when(F.col(f"`{sp}`").isNotNull(), F.lit(1.0))).alias(f"__p{i}")
+                   for i, sp in enumerate(long_cols)]))
+    c = J.join(c.filter(F.col("subPlot") == "%"), pres, keys, "left")
+    cells = F.array(*[F.struct(F.lit(sp).alias("species"), F.col(f"`{sp}`").alias("cover"),
+                               F.col(f"__p{i}").alias("presence")) for i, sp in enumerate(long_cols)])
+    c = c.select(*[F.col(f"`{x}`") for x in ids], F.inline(cells))
 
     c = c.withColumn("species", C.normalise_names("species"))
     nums = ["cover", "Year"] + [x for x in R.col_range(c, lay.totals_first, "pleuro") if x in lay.numeric]
