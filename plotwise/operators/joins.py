@@ -11,7 +11,9 @@ No strategy is forced: Spark/AQE picks broadcast-hash when the runtime size
 of a side is under ``spark.sql.autoBroadcastJoinThreshold`` and falls back to
 sort-merge (with skewed partitions split by AQE) beyond it. ``broadcast=True``
 is for lookup tables whose size is fixed by construction (inline dictionaries,
-rule tables), never for tables that grow with the data.
+rule tables, tables restricted to such a dictionary), never for tables that
+grow with the data. A full join with ``broadcast=True`` never shuffles the
+left side (left join + the right rows nothing matched).
 """
 
 from __future__ import annotations
@@ -66,7 +68,21 @@ def join(left: DataFrame, right: DataFrame, by: Keys = None, how: str = "left",
         e = F.col(f"`{a}`").eqNullSafe(F.col(rmap[b]))
         cond = e if cond is None else cond & e
 
-    joined = left.join(r, cond, how_spark)
+    if how_spark == "full" and broadcast:
+        # full join with a right side of bounded size: the left side is never
+        # shuffled. Left rows meet the broadcast right side in a left join; the
+        # right rows no left row matched are found by probing the left side
+        # with the (broadcast) right keys and appended with missing left columns.
+        rkey_cols = [rmap[b] for b in rkeys]
+        matched = (left.join(F.broadcast(r.select(*rkey_cols).distinct()), cond, "left_semi")
+                   .select(*[F.col(f"`{a}`").alias(rmap[b]) for a, b in pairs]).distinct())
+        unmatched = _anti_on(r, matched, rkey_cols)
+        lj = left.join(r, cond, "left")
+        extra = unmatched.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns],
+                                 *[F.col(c) for c in r.columns])
+        joined = lj.unionByName(extra)
+    else:
+        joined = left.join(r, cond, how_spark)
     if how_spark in ("left_semi", "left_anti"):
         return joined
 
@@ -90,6 +106,16 @@ def join(left: DataFrame, right: DataFrame, by: Keys = None, how: str = "left",
     return joined.select(out)
 
 
+def _anti_on(r: DataFrame, matched: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows of ``r`` whose key columns (null-safe) are not in ``matched``."""
+    m = matched.select(*[F.col(c).alias(f"__m{i}") for i, c in enumerate(cols)])
+    cond = None
+    for i, c in enumerate(cols):
+        e = F.col(c).eqNullSafe(F.col(f"__m{i}"))
+        cond = e if cond is None else cond & e
+    return r.join(F.broadcast(m), cond, "left_anti")
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left", **kw) -> DataFrame:
     return join(left, right, None, how, **kw)
 

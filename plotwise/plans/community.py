@@ -265,8 +265,11 @@ def side_tables(comp: DataFrame, bryo: DataFrame) -> tuple[DataFrame, DataFrame,
 def merge_and_impute(comp: DataFrame, gr: DataFrame) -> DataFrame:
     comp = comp.withColumn("blockID", S.if_else_na(F.char_length("blockID") > 1,
                                                    F.regexp_replace("blockID", "[^0-9]", ""), F.col("blockID")))
+    # the database rows are restricted to the control-turf dictionary (bounded):
+    # broadcast them so the composition rows are not shuffled for the full join
     c2 = J.patch_join(comp, gr, ["siteID", "blockID", "turfID", "Treatment", "Year", "species"],
-                      ["cover", "recorder", "totalBryophytes", "vegetationHeight", "mossHeight"], "full")
+                      ["cover", "recorder", "totalBryophytes", "vegetationHeight", "mossHeight"], "full",
+                      broadcast=True)
     c2 = materialize(c2)
 
     idx = G.sampling_index(c2, "turfID", "Year")

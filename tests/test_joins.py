@@ -55,3 +55,19 @@ def test_null_safe_join_stays_equi_join(spark):
     r = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     plan = J.join(l, r, "k", "left")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_full_join_with_bounded_right_equals_shuffled_full_join(spark):
+    l = spark.createDataFrame([("a", 1, 1.0), ("b", None, 2.0), (None, 3, 3.0), ("a", 1, 4.0)],
+                              "k string, j int, x double")
+    r = spark.createDataFrame([("a", 1, "A"), (None, 3, "N"), ("z", 9, "Z"), ("z", 9, "Z2"), (None, None, "NN")],
+                              "k string, j int, y string")
+    for by in (["k", "j"], [("k", "k"), ("j", "j")]):
+        a = J.join(l, r, by, "full", broadcast=True)
+        b = J.join(l, r, by, "full")
+        assert a.columns == b.columns and rows(a) == rows(b)
+    pa = J.patch_join(l.withColumnRenamed("x", "v"), r.withColumnRenamed("y", "v").withColumn("v", F.lit(7.0)),
+                      ["k", "j"], ["v"], "full", broadcast=True)
+    pb = J.patch_join(l.withColumnRenamed("x", "v"), r.withColumnRenamed("y", "v").withColumn("v", F.lit(7.0)),
+                      ["k", "j"], ["v"], "full")
+    assert rows(pa) == rows(pb)
