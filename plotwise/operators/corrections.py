@@ -60,7 +60,7 @@ def apply_first_match(df: DataFrame, target: str, rules: Sequence[tuple[Column,
 
 def point_corrections(df: DataFrame, fixes: DataFrame, keys: Sequence[str],
                       columns: Sequence[str], column_col: str = "column",
-                      value_col: str = "value", broadcast: bool = True) -> DataFrame:
+                      value_col: str = "value", broadcast: bool = False) -> DataFrame:
     """Apply a correction table ``(keys..., column, value)``: a fix replaces
     the value of ``column`` on matching rows, even a known one.
 

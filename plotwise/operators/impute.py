@@ -178,7 +178,7 @@ def apply_imputations(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def lookup_fill(df: DataFrame, lookup: DataFrame, by, target: str, new_col: str,
-                broadcast: bool = True) -> DataFrame:
+                broadcast: bool = False) -> DataFrame:
     """Missing ``target`` takes the lookup's ``new_col`` (left join, so a
     duplicated lookup row duplicates the matching rows)."""
     j = joins.join(df, lookup, by, "left", broadcast=broadcast)
@@ -186,7 +186,7 @@ def lookup_fill(df: DataFrame, lookup: DataFrame, by, target: str, new_col: str,
 
 
 def explode_lookup_fill(df: DataFrame, lookup: DataFrame, list_col: str, by: Sequence[str],
-                        target: str, new_col: str, broadcast: bool = True) -> DataFrame:
+                        target: str, new_col: str, broadcast: bool = False) -> DataFrame:
     """Lookup rows that hold a list of key values are exploded to one row per
     value, then used as in :func:`lookup_fill`."""
     lk = lookup.withColumn(list_col, F.explode(F.col(list_col)))

@@ -81,11 +81,12 @@ def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFr
                        "date": F.to_date("date")})
     rounds = rounds.withColumns({"year": F.col("year").cast("double"),
                                  "block": F.transform("block", lambda x: x.cast("double"))})
-    b = I.explode_lookup_fill(b, rounds, "block", ["year", "site", "block"], "round", "round_new")
+    b = I.explode_lookup_fill(b, rounds, "block", ["year", "site", "block"], "round", "round_new",
+                              broadcast=True)  # fixed table
     b = b.filter(F.col("treatment") != "RTC")
     b = apply_repairs(b)
     dates = dates.withColumn("year", F.col("year").cast("double"))
-    b = I.lookup_fill(b, dates, ["year", "site"], "date", "newdate")  # duplicated OVS row doubles those rows
+    b = I.lookup_fill(b, dates, ["year", "site"], "date", "newdate", broadcast=True)  # duplicated OVS row doubles rows
     b = b.withColumn("site", S.recode("site", D.SITE_FROM_FIELD_CODE))
     b = b.withColumn("block", S.paste(S.r_substr("site", 1, 3), S.r_str("block")))
     b = b.withColumn("plotID", S.paste("block", "treatment"))

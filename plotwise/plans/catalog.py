@@ -273,7 +273,7 @@ def lookup_fanout(spark, sf):
     # fixed lookup with a duplicated row: matching rows are doubled, as in the source
     lk = inline_table(spark, [("purchase", 1.5), ("click", 0.5), ("purchase", 1.5), ("view", None)],
                                "event_type string, default_value double")
-    return I.lookup_fill(e, lk, "event_type", "value", "default_value")
+    return I.lookup_fill(e, lk, "event_type", "value", "default_value", broadcast=True)
 
 
 @register("presence_flag_join", """
@@ -494,11 +494,11 @@ def point_corrections(spark, sf):
         "o_orderkey", "o_custkey", _year("o_orderdate").alias("Year"), F.col("o_totalprice").alias("price"),
         F.col("o_orderstatus").alias("status"), "o_orderpriority")
     fixes = inline_table(spark, _FIXES, "o_custkey long, Year int, column string, value string")
-    out = C.point_corrections(o, fixes, ["o_custkey", "Year"], ["price", "status"])
+    out = C.point_corrections(o, fixes, ["o_custkey", "Year"], ["price", "status"], broadcast=True)
     fixes2 = inline_table(spark,   # fixed second-stage rows keyed by (customer, year, priority)
         [(5, 1996, "1-URGENT", "status", "U"), (6, 1997, "5-LOW", "status", "L")],
         "o_custkey long, Year int, o_orderpriority string, column string, value string")
-    out = C.point_corrections(out, fixes2, ["o_custkey", "Year", "o_orderpriority"], ["status"])
+    out = C.point_corrections(out, fixes2, ["o_custkey", "Year", "o_orderpriority"], ["status"], broadcast=True)
     return out.select("o_orderkey", "o_custkey", "Year", "o_orderpriority", "price", "status")
 
 
@@ -730,7 +730,8 @@ def explode_lookup_fill(spark, sf):
     lookup = inline_table(spark,   # fixed rounds to impute: (year, site, blocks, round)
         [(1996, "A", [5], "2"), (1996, "R", [5, 6, 7], "1"), (1997, "A", [5, 6], "1"), (1998, "R", [5, 6, 7], "3")],
         "year int, site string, block array<int>, round_new string")
-    return I.explode_lookup_fill(li, lookup, "block", ["year", "site", "block"], "round", "round_new")
+    return I.explode_lookup_fill(li, lookup, "block", ["year", "site", "block"], "round", "round_new",
+                                 broadcast=True)
 
 
 _TREATMENTS = ["C", "F", "G", "B", "FB", "GB", "GF", "FGB"]  # fixed values: design treatments in order

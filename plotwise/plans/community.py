@@ -310,12 +310,12 @@ def finalize(c2: DataFrame, fg: DataFrame) -> DataFrame:
     c2 = G.group_sum_strict(c2, ["turfID", "Year", "functionalGroup"], "cover", "sumcover")
     fixes = inline_table(spark, POINT_FIXES, "turfID string, Year int, column string, value double")
     cols = ["mossHeight", "vegetationHeight", "totalBryophytes", "totalForbs", "totalGraminoids"]
-    c2 = C.point_corrections(c2, fixes, ["turfID", "Year"], cols)
+    c2 = C.point_corrections(c2, fixes, ["turfID", "Year"], cols, broadcast=True)
     c2 = c2.withColumnsRenamed({"totalForbs": "forbCov", "totalBryophytes": "mossCov",
                                 "totalGraminoids": "graminoidCov"})
     c2 = c2.drop("acro", "pleuro")
     sp = inline_table(spark, SPECIES_FIXES, "turfID string, Year int, species string, column string, value double")
-    c2 = C.point_corrections(c2, sp, ["turfID", "Year", "species"], ["graminoidCov", "forbCov"])
+    c2 = C.point_corrections(c2, sp, ["turfID", "Year", "species"], ["graminoidCov", "forbCov"], broadcast=True)
     out = c2.select("siteID", "blockID", "Treatment", "turfID", "Year", "graminoidCov", "forbCov", "mossCov",
                     "vegetationHeight", "mossHeight", "litter", "cover", "species", "functionalGroup",
                     "sumcover").distinct()
