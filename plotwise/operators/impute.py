@@ -135,11 +135,12 @@ def adjacent_impute(df: DataFrame, unit: Sequence[str], item: Sequence[str], per
     miss = joins.join(miss, idx, unit + [period], "left")
 
     known = df.filter(F.col(value).isNotNull())
-    known = joins.join(known, idx, unit + [period], "left")
     if distinct_neighbours:
-        known = known.select(*unit, *item, "__s", value).distinct()
-    nb = known.groupBy(*unit, *item, "__s").agg(F.count(F.lit(1)).alias("__n"),
-                                                   F.sum(value).alias("__sum"))
+        known = known.select(*unit, *item, period, value).distinct()
+    # reduce to (count, sum) per occasion first, then look up the occasion's
+    # index (one index row per unit and period)
+    nb = known.groupBy(*unit, *item, period).agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__sum"))
+    nb = joins.join(nb, idx, unit + [period], "inner").drop(period)
     probes = miss.withColumn("__nb", F.explode(F.array(F.col("__s") - 1, F.col("__s") + 1)))
     nb = nb.withColumnRenamed("__s", "__nb")
     m = joins.join(probes, nb, unit + item + ["__nb"], "inner")

@@ -189,3 +189,9 @@ def test_results_do_not_depend_on_partitioning(spark):
         assert res[1] == res[13]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_preview_is_ordered_top_n(spark):
+    df = spark.createDataFrame([(3, "c"), (None, "n"), (1, "a"), (2, "b")], "k int, v string")
+    assert [tuple(r) for r in Q.preview(df, ["k"], n=2).collect()] == [(1, "a"), (2, "b")]
+    assert Q.preview(df, ["k"]).count() == 4
