@@ -107,6 +107,8 @@ GROUP_MERGE = {"pteridophyte": "forb", "woody": "forb"}
 GROUP_OVERRIDES = {"graminoid": ["Jun.sp", "Phl.sp", "Luz.tri"],
                    "forb": ["Ped.pal", "Pop.tre", "Ste.als", "Ste.sp", "Porub", "Arenaria", "Pilosella"]}
 CARRY_TURFS = ["297 TTC", "246 TTC"]  # fixed values: turfs copied from 2016 into 2017
+FGB_TREATMENTS = ["FGB", "GF"]  # fixed values: full-removal plots re-added after 2015
+FGB_AFTER = 2015
 
 
 def functional_groups(traits: DataFrame) -> DataFrame:
@@ -177,7 +179,10 @@ def corrections_tables(inp: CommunityInputs) -> tuple[DataFrame, DataFrame]:
     return keyed, names
 
 
-def composition_long(inp: CommunityInputs) -> DataFrame:
+def composition_long(inp: CommunityInputs, keep_sheets: str = "none") -> DataFrame:
+    """Sheets -> long cover table. ``keep_sheets`` is the ``materialize``
+    fallback for the bound sheets, which are read twice (the empty-column
+    count, then the reshaping) when no checkpoint folder is configured."""
     lay = inp.layout
     sheets = list(inp.sheets)
     if inp.sheet_2018 is not None:
@@ -188,7 +193,7 @@ def composition_long(inp: CommunityInputs) -> DataFrame:
             + R.col_range(c, lay.totals_first, lay.totals_last) + ["litter", "acro", "pleuro"]
             + R.col_range(c, lay.species_first, lay.species_last_kept))
     c = c.select(*[F.col(f"`{x}`").alias("Year" if x == "year" else x) for x in keep])
-    c = R.drop_all_null_columns(materialize(c, fallback="none"))
+    c = R.drop_all_null_columns(materialize(c, fallback=keep_sheets))
     if lay.species_first not in c.columns or lay.species_last_long not in c.columns:
         raise ValueError("species range endpoints must hold data in some sheet")
     long_cols = R.col_range(c, lay.species_first, lay.species_last_long)
@@ -250,8 +255,8 @@ def identity_fixes(c: DataFrame) -> DataFrame:
 
 def side_tables(comp: DataFrame, bryo: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     ttc = D.ttc_turf_df(comp.sparkSession)
-    fgbs = (comp.filter(S.is_in("Treatment", ["FGB", "GF"])).drop("species", "cover", "turfID.new")
-            .distinct().filter(F.col("Year") > 2015))
+    fgbs = (comp.filter(S.is_in("Treatment", FGB_TREATMENTS)).drop("species", "cover", "turfID.new")
+            .distinct().filter(F.col("Year") > FGB_AFTER))
     t1516 = (comp.filter((F.col("Treatment") == "C") & S.not_in("Year", [2017, 2018]) & F.col("Year").isNotNull()))
     t1516 = J.natural_join(t1516, ttc, "right", broadcast=True)
     t1516 = t1516.drop("species", "cover", "pleuro", "acro", "litter", "presence", "turfID.new", "recorder").distinct()
@@ -291,7 +296,14 @@ def rejoin_attributes(c2: DataFrame, t1516: DataFrame, t17: DataFrame, fgbs: Dat
     c2 = J.patch_join(c2, t17.select(*k17, *[x for x in cols if x in t17.columns]), k17,
                       [x for x in cols if x in t17.columns], "left")
     c2 = c2.drop("TTtreat")
-    c2 = J.natural_join(c2, fgbs.drop(*[x for x in fgbs.columns if x not in c2.columns]), "full")
+    # natural full join with the FGB plot rows (T11: a repeated FGB row
+    # repeats the rows it matches). Only rows of FGB/GF plots after 2015 can
+    # match one, so only that slice of the long table takes part in the join;
+    # the rest is passed through untouched.
+    f = fgbs.drop(*[x for x in fgbs.columns if x not in c2.columns])
+    can_match = S.is_in("Treatment", FGB_TREATMENTS) & F.coalesce(F.col("Year") > FGB_AFTER, F.lit(False))
+    joined = J.natural_join(c2.filter(can_match), f, "full")
+    c2 = c2.filter(~can_match).unionByName(joined)
     c2 = C.paired_zero_fill(c2, "acro", "pleuro", "totalBryophytes")
     c2 = c2.withColumn("turfID", S.if_else_na(S.matches("turfID", "TTC"), F.col("turfID"),
                                               F.substring("turfID", 4, 2147483647)))
@@ -324,7 +336,7 @@ def finalize(c2: DataFrame, fg: DataFrame) -> DataFrame:
 
 def community(inp: CommunityInputs) -> DataFrame:
     gr = relational_covers(inp)
-    comp = materialize(composition_long(inp))
+    comp = materialize(composition_long(inp, keep_sheets="persist"))
     fgbs, t1516, t17 = side_tables(comp, inp.bryophytes_2017)
     c2 = merge_and_impute(comp, gr)
     c2 = rejoin_attributes(c2, t1516, t17, fgbs)
