@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     # exceeds what the JVM will JIT-compile (8000 bytes of bytecode): long
     # chains of rule projections would otherwise run interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # checkpoint files of frames that went out of scope are removed from the
+    # shared checkpoint folder instead of accumulating run after run
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
