@@ -68,7 +68,11 @@ def apply_repairs(df: DataFrame, repairs=REPAIRS) -> DataFrame:
     return C.apply_ordered_many(df, [(t, rule_condition(cs), F.lit(v)) for t, cs, v in repairs])
 
 
-def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFrame | None = None) -> DataFrame:
+def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFrame | None = None,
+                  corrected: bool = False) -> DataFrame:
+    """Raw sheets -> clean biomass table. ``corrected=True`` drops the
+    duplicated row of the date lookup, which otherwise doubles the affected
+    rows (kept by default, as recorded)."""
     spark = raw.sparkSession
     rounds = rounds if rounds is not None else D.biomass_rounds_df(spark)
     dates = dates if dates is not None else D.biomass_dates_df(spark)
@@ -86,6 +90,8 @@ def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFr
     b = b.filter(F.col("treatment") != "RTC")
     b = apply_repairs(b)
     dates = dates.withColumn("year", F.col("year").cast("double"))
+    if corrected:
+        dates = dates.distinct()
     b = I.lookup_fill(b, dates, ["year", "site"], "date", "newdate", broadcast=True)  # duplicated OVS row doubles rows
     b = b.withColumn("site", S.recode("site", D.SITE_FROM_FIELD_CODE))
     b = b.withColumn("block", S.paste(S.r_substr("site", 1, 3), S.r_str("block")))

@@ -116,7 +116,10 @@ def functional_groups(traits: DataFrame) -> DataFrame:
             .select("species", F.col("value").alias("functionalGroup")))
 
 
-def relational_covers(inp: CommunityInputs) -> DataFrame:
+def relational_covers(inp: CommunityInputs, corrected: bool = False) -> DataFrame:
+    """Database stage. The recorded chain takes the block as the 4th
+    character of the turf id (``Gud12C`` -> ``1``); ``corrected=True`` takes
+    all digits after the site code."""
     n_sub = (inp.sub_turf_community.groupBy("turfID", "year", "species")
              .agg(F.count(F.lit(1)).alias("n_subturf")))
     d = J.natural_join(n_sub, inp.turf_community, "full")  # keeps subplot-only species (NA cover)
@@ -146,7 +149,10 @@ def relational_covers(inp: CommunityInputs) -> DataFrame:
     d = J.semi_join(d, ttc.select(F.col("TTtreat").alias("__t")), [("turfID", "__t")], broadcast=True)
     d = d.withColumns({"Treatment": F.lit("C"), "TTtreat": F.col("turfID")})
     d = J.join(d, ttc, "TTtreat", "left", suffix=(".new", ""), broadcast=True)
-    d = d.withColumn("blockID", S.r_substr("turfID", 4, 4))
+    if corrected:
+        d = d.withColumn("blockID", F.regexp_extract("turfID", "^...([0-9]+)", 1))
+    else:
+        d = d.withColumn("blockID", S.r_substr("turfID", 4, 4))
     d = d.drop("plotID", "temperature_level", "precipitation_level", "totalVascular", "litter", "turfID.new")
     d = d.filter(F.col("cover").isNotNull() & ~((F.col("TTtreat") == "37 TTC") & (F.col("Year") > 2015)))
     return C.carry_rows_forward(d, S.is_in("TTtreat", CARRY_TURFS) & (F.col("Year") == 2016), "Year", 2017)

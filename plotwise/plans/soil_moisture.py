@@ -68,7 +68,10 @@ def sm_2017(raw: DataFrame) -> DataFrame:
                     F.col("Recorder").alias("recorder"), "turfID")
 
 
-def sm_2018(raw: DataFrame) -> DataFrame:
+def sm_2018(raw: DataFrame, corrected: bool = False) -> DataFrame:
+    """``corrected=True`` keeps the plot id and the block number (the
+    recorded chain computes the plot id but drops it, and keeps only the site
+    code as block)."""
     spark = raw.sparkSession
     m = ["Measurement1", "Measurement2", "Measurement3", "Measurement4"]
     sites = D.site_codes_df(spark).select("v2", "new")
@@ -90,17 +93,22 @@ def sm_2018(raw: DataFrame) -> DataFrame:
     d = d.withColumn("SM", S.row_mean(*m))
     d = d.withColumn("blockID", S.case_when([(F.col("turfID") == "Fau4C", 4.0), (F.col("turfID") == "Ulv2C", 2.0),
                                              (F.col("turfID") == "Gud12C", 12.0)], default=F.col("blockID")))
-    # plotID is computed but not kept (the output has no plotID for 2018)
-    d = d.withColumn("blockID", S.r_substr("siteID", 1, 3))
+    plot = S.if_else_na(S.is_in("turfID", ["C", "B", "G", "F", "GF", "GB", "FB", "FGB"]),
+                        S.paste(S.r_substr("siteID", 1, 3), S.r_str("blockID"), F.col("Treatment")), F.col("turfID"))
+    if corrected:
+        d = d.withColumn("plotID", plot).withColumn("blockID", S.paste(S.r_substr("siteID", 1, 3), S.r_str("blockID")))
+    else:
+        # plotID is computed but not kept (the output has no plotID for 2018)
+        d = d.withColumn("blockID", S.r_substr("siteID", 1, 3))
     d = d.filter(F.col("Treatment").isNotNull())
     default = F.to_timestamp(F.lit("2018-07-02 00:00:00"))
     for site in ("Arhelleren", "Ovstedal"):  # tested before the site-name fix below
         d = d.withColumn("Date", S.if_else_na(F.col("Date").isNull() & (F.col("siteID") == site), default,
                                               F.col("Date")))
     d = d.withColumn("siteID", S.recode("siteID", D.SITE_NAME_FIXES))
-    return d.select(F.col("Date").alias("date"), "siteID", "blockID", F.col("Treatment").alias("treatment"),
-                    F.col("SM").alias("soilmoisture"), F.col("Weather").alias("weather"),
-                    F.col("Recorder").alias("recorder"), "turfID")
+    return d.select(F.col("Date").alias("date"), "siteID", "blockID", *(["plotID"] if corrected else []),
+                    F.col("Treatment").alias("treatment"), F.col("SM").alias("soilmoisture"),
+                    F.col("Weather").alias("weather"), F.col("Recorder").alias("recorder"), "turfID")
 
 
 def soil_moisture(raw1516: DataFrame, raw2017: DataFrame, raw2018: DataFrame) -> DataFrame:

@@ -72,3 +72,22 @@ def test_identity_fixes(spark):
     # Gud16C -> Gud5C with block 5; Alrust block 3 C in 2015 -> Alr3C; Alrust block 4 2015 dropped;
     # NA block at Gudmedalen -> NA turf -> dropped (T4); 37 TTC -> Alr3C by Siri -> dropped; Alr4FGB -> Alr5C
     assert got == [("Alr3C", "3", 2015), ("Alr5C", "4", 2016), ("Gud5C", "5", 2016)]
+
+
+def test_corrected_modes(spark):
+    import datetime as dt
+    from plotwise.plans import biomass as B
+    from plotwise.plans import reflectance as RF
+    from plotwise.plans import soil_moisture as SM
+    raw = spark.createDataFrame([(2018.0, "OVS", 2.0, "B", "B", None, "R2", 3.0, "x", None)], B.RAW_SCHEMA)
+    assert B.clean_biomass(raw).count() == 2 and B.clean_biomass(raw, corrected=True).count() == 1  # T5
+    w = spark.createDataFrame([("Fauske", 2, "FB", "9:00", None, "13.7.2021", 0.5, 0.7, 0.4, 0.8)],
+                              "Site string, Block int, Plot string, Time string, notes string, Date string, "
+                              "`After.1` double, `After.2` double, `Before.1` double, `Before.2` double")
+    got = {r.pre_post_cut: (r.m_ndvi, r.plotID) for r in RF.ndvi_2021(w, corrected=True).collect()}
+    assert abs(got["pre_cut"][0] - 0.6) < 1e-12 and got["pre_cut"][1] == "Fau2FB"  # T6, T7
+    cols = ("Date timestamp, Site string, FCBlock double, turfID string, Treatment string, Measurement1 string, "
+            "Measurement2 string, Measurement3 string, Measurement4 string, Weather string, Recorder string")
+    r18 = spark.createDataFrame([(dt.datetime(2018, 7, 5), "FAU", 4.0, "C", "C", "1", "1", "1", "1", "s", "A")], cols)
+    r = SM.sm_2018(r18, corrected=True).first()
+    assert (r.blockID, r.plotID) == ("Fau4", "Fau4C")  # T9
