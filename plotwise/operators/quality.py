@@ -56,11 +56,12 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
 def logit_histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int,
                     bucket: str = "bucket", out: str = "n") -> DataFrame:
     """Histogram counts of logit(value) over ``bins`` equal-width buckets of
-    [lo, hi) (0 = below, bins + 1 = at or above; values outside (0, 1) give
-    a NULL bucket)."""
+    [lo, hi) (0 = below, bins + 1 = at or above). Values outside (0, 1) have
+    no finite logit and, as in a histogram of the scripts, are left out."""
     lg = S.logit(value)
     b = F.width_bucket(lg, F.lit(lo), F.lit(hi), F.lit(bins))
-    return df.select(b.alias(bucket)).groupBy(bucket).agg(F.count(F.lit(1)).alias(out))
+    return (df.select(lg.alias("__lg"), b.alias(bucket)).filter(F.col("__lg").isNotNull())
+            .groupBy(bucket).agg(F.count(F.lit(1)).alias(out)))
 
 
 # --------------------------------------------------------------------------
