@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import mixing, secret_scan, topk, toxicity, url_filter
+from plotwise.llm import mixing, ngram_join, secret_scan, topk, toxicity, url_filter
 from plotwise.llm.tables import read, ship
 
 QUERIES, ORACLE = {}, {}
@@ -44,6 +44,11 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5).select("query_id", "rank", "vec_id", "score")
 
 
+@query()
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(read(spark, sf_dir, "documents"), n_words=4, percent=85)
+
+
 @query()
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
