@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import mixing, ngram_join, secret_scan, suffix_dedup, topk, toxicity, url_filter
+from plotwise.llm import decontam, mixing, ngram_join, secret_scan, suffix_dedup, topk, toxicity, url_filter
 from plotwise.llm.tables import read, ship
 
 QUERIES, ORACLE = {}, {}
@@ -88,6 +88,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+@query()
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def _code(text: Column) -> Column:
     """A number from a text, the same in both engines."""
     return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int")
