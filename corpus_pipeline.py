@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plotwise.llm import mixing, toxicity
+from plotwise.llm import decontam, mixing, ngram_join, token_shards, toxicity
 from plotwise.llm.tables import new_path, read, ship
 
 
@@ -14,12 +14,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    ship(spark)
+    return ngram_join.keep_one(docs, n_words=5, percent=80)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    ship(spark)
+    return decontam.drop(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixing.mix(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("mix", mix_sources)]
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training-order shards of the mix; a row for each sequence."""
+    ship(spark)
+    return token_shards.materialise(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
+]
 
 #: No SQL learns the classifier of the first stage.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import decontam, mixing, ngram_join, secret_scan, suffix_dedup, topk, toxicity, url_filter
+from plotwise.llm import decontam, mixing, ngram_join, secret_scan, suffix_dedup, token_shards, topk, toxicity, url_filter
 from plotwise.llm.tables import read, ship
 
 QUERIES, ORACLE = {}, {}
@@ -44,6 +44,11 @@ def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5).select("query_id", "rank", "vec_id", "score")
 
 
+@query()
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialise(read(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(read(spark, sf_dir, "documents"), length=100)
