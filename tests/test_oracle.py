@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 import check_oracle as CO  # noqa: E402
+from plotwise.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,10 +23,12 @@ def con():
 
 # registered without SQL: composites whose stages each have an oracle
 ROWS_ONLY = {"community_chain"}
+NAMES = set(catalog.QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) - ROWS_ONLY == set(E.oracle_sql())
+    assert NAMES - ROWS_ONLY == set(catalog.ORACLE)
+    assert NAMES <= set(E.queries())
 
 
 def test_rows_only_queries_run(spark):
@@ -33,7 +36,7 @@ def test_rows_only_queries_run(spark):
     assert df.count() > 0 and "sumcover" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(NAMES - ROWS_ONLY))
 def test_query_matches_oracle(spark, con, name):
     sp = CO.spark_pandas(E.queries()[name](spark, SF))
     dk = con.execute(E.oracle_sql()[name]).df()

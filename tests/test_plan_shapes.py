@@ -5,13 +5,14 @@ only where a distinct step has already reduced the rows (sampling index)."""
 import pytest
 
 import __spark_entry__ as E
+from plotwise.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 WINDOW_OK = {"sampling_index", "adjacent_impute", "adjacent_impute_totals", "imputation_precedence",
              "cover_over_time", "community_chain"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
