@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import decontam, mixing, ngram_join, secret_scan, suffix_dedup, token_shards, topk, toxicity, url_filter
+from plotwise.llm import decontam, licenses, mixing, ngram_join, secret_scan, suffix_dedup, token_shards, topk, toxicity, url_filter
 from plotwise.llm.tables import read, ship
 
 QUERIES, ORACLE = {}, {}
@@ -88,6 +88,23 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents"), weights=(3, 1, 2), budget=1.5, cap=2.0).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: source/lang/groups of 4096 and of 64 ids. A document that opens with a
+    license line is a license file, of its group of 4096 (even ids) or of the whole language (odd ids)."""
+    opens = F.lower(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)).contains("licen")
+    group = lambda n: F.floor(F.col("doc_id") / n).cast("string")
+    name = F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string"))
+    path = (F.when(opens & (F.col("doc_id") % 2 == 1), F.concat_ws("/", "source", "lang", name))
+            .when(opens, F.concat_ws("/", "source", "lang", group(4096), name))
+            .otherwise(F.concat_ws("/", "source", "lang", group(4096), group(64), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+    return docs.select("doc_id", "text", path.alias("path"))
+
+
+@query()
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.inherit(licenses.own_licenses(_files(read(spark, sf_dir, "documents"))))
+
+
 @query()
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -161,10 +178,11 @@ b AS (
       AND g.d > coalesce((SELECT max(z.d) FROM g z WHERE z.key = a.key AND z.verdict = a.verdict AND z.d <= a.fetched_on AND z.adds = 0), DATE '1900-01-01')) AS since
   FROM a JOIN g ON g.key = a.key AND g.verdict = a.verdict AND g.d = a.latest AND g.adds = 1),
 r AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n, row_number() OVER (PARTITION BY page_id ORDER BY spec DESC, since DESC, verdict DESC) AS rn FROM b)
-SELECT p.page_id, p.url, p.fetched_on, CAST(coalesce(r.verdict = 'block', false) AS INTEGER) AS blocked, coalesce(r.n, 0) AS n_active,
-  r.key AS matched_key, r.verdict, r.since AS listed_on
+SELECT p.page_id, p.url, strftime(p.fetched_on, '%Y-%m-%d') AS fetched_on, CAST(coalesce(r.verdict = 'block', false) AS INTEGER) AS blocked, coalesce(r.n, 0) AS n_active,
+  r.key AS matched_key, r.verdict, strftime(r.since, '%Y-%m-%d') AS listed_on
 FROM p LEFT JOIN r ON r.page_id = p.page_id AND r.rn = 1
 """)
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.judge(_captures(pages), _list_entries(pages))
+    judged = url_filter.judge(_captures(pages), _list_entries(pages))
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "listed_on")})
