@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -132,10 +132,15 @@ def n_distinct(c: ColumnOrName) -> Column:
 # conversions and text
 # --------------------------------------------------------------------------
 
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
+
+
 def to_num(c: ColumnOrName) -> Column:
     """Text to number; unparseable text becomes NULL instead of failing the
-    job, and NaN is treated as missing."""
-    v = col(c).cast("string").try_cast("double")
+    job, and NaN is treated as missing. Only plain decimal or exponent
+    notation (or infinity) counts as a number: a type suffix (``5d``) does not."""
+    text = col(c).cast("string")
+    v = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(~F.isnan(v), v)
 
 
@@ -153,7 +158,8 @@ def r_str(c: ColumnOrName) -> Column:
 
 
 def paste(*parts: ColumnOrName | str, sep: str = "", literal: bool = False) -> Column:
-    """String building where a missing part is written ``NA``.
+    """String building where a missing part is written ``NA`` and a whole
+    double is written without its decimals (a block read as 1.0 gives ``1``).
 
     Plain ``str`` arguments are column names unless ``literal=True``; use
     ``F.lit`` for literal text mixed with columns.
@@ -162,17 +168,15 @@ def paste(*parts: ColumnOrName | str, sep: str = "", literal: bool = False) -> C
     for p in parts:
         if isinstance(p, str):
             p = F.lit(p) if literal else F.col(p)
-        cols.append(F.coalesce(p.cast("string"), F.lit("NA")))
+        # typeof is folded when the plan is optimised: text parts keep their text
+        number = F.typeof(p).isin("double", "float")
+        text = F.when(number, r_str(p.cast("string").try_cast("double"))).otherwise(p.cast("string"))
+        cols.append(F.coalesce(text, F.lit("NA")))
     if sep:
         return F.concat_ws(sep, *cols)
     return F.concat(*cols)
 
 
-def blank_to_null(c: ColumnOrName) -> Column:
-    """Empty text counts as missing."""
-    return F.nullif(col(c), F.lit(""))
-
-
 def na_text_to_null(c: ColumnOrName) -> Column:
     """Delimited-text readers that treat the text ``NA`` as missing."""
     return F.nullif(col(c), F.lit("NA"))
@@ -234,15 +238,3 @@ def level_rank(c: ColumnOrName, levels: Sequence[str]) -> Column:
     m = F.create_map(*[F.lit(x) for i, lv in enumerate(levels) for x in (lv, i + 1)])
     return F.try_element_at(m, col(c))
 
-
-def coalesce_all(*cols: ColumnOrName) -> Column:
-    return F.coalesce(*[col(c) for c in cols])
-
-
-def all_of(conds: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)
-
-
-def whole_partition(*keys: str) -> WindowSpec:
-    """Window over a whole group (no ordering, no frame)."""
-    return Window.partitionBy(*keys)

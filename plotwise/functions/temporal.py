@@ -32,10 +32,11 @@ def from_serial_day(c: Column | str, origin: str = SPREADSHEET_ORIGIN) -> Column
 
 
 def mixed_date(c: Column | str, fmt: str = "d.M.yyyy", marker: str = ".") -> Column:
-    """Text holding either a formatted date (it contains ``marker``) or a
-    spreadsheet serial day number."""
+    """Text holding either a formatted date (it contains ``marker``; its year
+    may have two digits) or a spreadsheet serial day number."""
     c = col(c)
-    return F.when(c.contains(marker), parse_date(c, fmt)).otherwise(from_serial_day(c))
+    written = F.coalesce(parse_date(c, fmt), parse_date_2digit_year(c, fmt.replace("yyyy", "yy")))
+    return F.when(c.contains(marker), written).otherwise(from_serial_day(c))
 
 
 def parse_ymd_h(c: Column | str) -> Column:

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from ..functions import semantics as S
 
 
-def affinity(df: DataFrame, key: str, zone_col: str, lowland: Sequence[str], alpine: Sequence[str],
-             out: str = "affinity") -> DataFrame:
-    """Zone affinity of each key from where it occurs: only in ``lowland``
-    zones -> "lowland", only in ``alpine`` zones -> "alpine", anything else
-    (both, or neither) -> "generalist". One aggregation with map-side
-    combine: a key seen in many rows costs one partial row per task."""
-    g = df.groupBy(key).agg(F.bool_or(S.is_in(zone_col, lowland)).alias("__low"),
-                            F.bool_or(S.is_in(zone_col, alpine)).alias("__alp"))
-    low, alp = F.col("__low"), F.col("__alp")
-    cls = (F.when(low & ~alp, F.lit("lowland")).when(alp & ~low, F.lit("alpine"))
+def affinity(df: DataFrame, key: str, zone_col: str, nemoral: Sequence[str], boreal: Sequence[str],
+             alpine: Sequence[str], out: str = "affinity") -> DataFrame:
+    """Zone affinity of each key from where it occurs: in a ``nemoral`` zone
+    and in no ``alpine`` one -> "lowland"; in an ``alpine`` zone and in none
+    from nemoral to ``boreal`` (the southern boreal zones) -> "alpine";
+    anything else -> "generalist" (a key seen only in ``boreal`` zones too).
+    One aggregation with map-side combine: a key seen in many rows costs one
+    partial row per task."""
+    seen = lambda zones: F.bool_or(S.is_in(zone_col, zones))
+    g = df.groupBy(key).agg(seen(nemoral).alias("__nem"), seen(boreal).alias("__bor"), seen(alpine).alias("__alp"))
+    nem, bor, alp = F.col("__nem"), F.col("__bor"), F.col("__alp")
+    cls = (F.when(nem & ~alp, F.lit("lowland")).when(alp & ~nem & ~bor, F.lit("alpine"))
            .otherwise(F.lit("generalist")))
     return g.select(key, cls.alias(out))
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import semantics as S
-from . import joins
+from . import joins, reshape
 
 Rule = tuple[Column | Callable[[Column], Column], object]
 
@@ -65,11 +65,12 @@ def point_corrections(df: DataFrame, fixes: DataFrame, keys: Sequence[str],
     the value of ``column`` on matching rows, even a known one.
 
     The table is pivoted to one fix column per target (explicit level list)
-    and left-joined on the keys with null-safe equality; (key, column) must
-    be unique in the table. ``broadcast`` is for rule tables of bounded size.
+    and left-joined on the keys with null-safe equality. Two different fixes
+    for one (key, column) fail the job; a repeated one counts once.
+    ``broadcast`` is for rule tables of bounded size.
     """
     keys, columns = list(keys), list(columns)
-    wide = fixes.groupBy(*keys).pivot(column_col, columns).agg(F.first(value_col))
+    wide = reshape.to_wide(fixes.select(*keys, column_col, value_col), column_col, value_col, columns, ids=keys)
     wide = wide.select(*keys, *[F.col(f"`{c}`").alias(f"__fix_{c}") for c in columns])
     j = joins.join(df, wide, keys, "left", broadcast=broadcast)
     out = j.withColumns({c: F.coalesce(F.col(f"__fix_{c}").cast(df.schema[c].dataType), F.col(f"`{c}`"))
@@ -149,6 +150,20 @@ def class_rollup(df: DataFrame, traits: DataFrame, key: str, trait_key: str, tra
     return j.withColumn(out, ov)
 
 
+def presence_join(cover: DataFrame, marks: DataFrame, keys: Sequence[str], out: str = "presence") -> DataFrame:
+    """Left join of cover rows to presence marks: a cover row is repeated for
+    every mark of its keys (``out`` is 1.0 there, NULL without a mark).
+
+    Marks are counted per key first, and each cover row is repeated that
+    often, so a key of many marks is one row in the join.
+    """
+    counts = marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    j = joins.join(cover, counts, list(keys), "left")
+    j = j.withColumn(out, F.when(F.col("__n").isNotNull(), F.lit(1.0)))
+    times = F.array_repeat(F.lit(1), F.coalesce(F.col("__n"), F.lit(1)).cast("int"))
+    return j.withColumn("__n", F.explode(times)).drop("__n")
+
+
 def rebuild_ids(df: DataFrame, id_col: str, site_col: str, keep_pattern: str,
                 strip: int = 3, stop: int | None = None) -> DataFrame:
     """Rebuild unit ids: unless the id matches ``keep_pattern``, drop its

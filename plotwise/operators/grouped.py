@@ -46,14 +46,22 @@ def group_size(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
     return group_mutate(df, keys, {out: F.count(F.lit(1))})
 
 
-def targeted_group_sum(df: DataFrame, keys: Sequence[str], value: str, pred: Column) -> DataFrame:
+def targeted_group_sum(df: DataFrame, keys: Sequence[str], value: str, pred: Column,
+                       key_pred: bool = False) -> DataFrame:
     """Replace ``value`` by its strict group sum on the rows where ``pred``
     holds (an unknown ``pred`` falls through); other rows keep their value.
 
-    Only groups that contain a targeted row are aggregated.
+    Only groups that contain a targeted row are aggregated. With
+    ``key_pred=True`` the predicate must use key columns alone: targeted groups
+    are then whole, and one filter replaces the search for them.
     """
     keys = list(keys)
     tmp = "__tgs"
+    if key_pred:
+        sums = df.filter(pred).groupBy(*keys).agg(S.sum_strict(value).alias(tmp))
+        hit = F.coalesce(pred, F.lit(False))
+        return joins.join(df.withColumn("__pred", hit), sums, keys, "left").withColumn(
+            value, F.when(F.col("__pred"), F.col(tmp)).otherwise(F.col(value))).drop(tmp, "__pred")
     flagged = df.withColumn("__pred", F.coalesce(pred, F.lit(False)))
     targets = flagged.filter("__pred").select(*keys).distinct()
     sums = (joins.semi_join(flagged, targets, keys)

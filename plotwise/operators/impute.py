@@ -40,7 +40,7 @@ def _scale(v: Column, rule: GateRule) -> Column:
 
 
 def ratio_gated_rescale(df: DataFrame, keys: Sequence[str], value: str, recorder_col: str,
-                        total_col: str, rules: Sequence[GateRule]) -> DataFrame:
+                        total_col: str, rules: Sequence[GateRule], joint_rules: int = 4) -> DataFrame:
     """Observer-bias fix: per group, the strict sum of one recorder's values
     relative to the row's reference total decides whether *all* rows of the
     group are rescaled. Rules run in order; each sees the previous result.
@@ -54,13 +54,16 @@ def ratio_gated_rescale(df: DataFrame, keys: Sequence[str], value: str, recorder
     One aggregation pass computes, per group, every sum a later rule could
     need (one per on/off combination of the earlier gates, each summing the
     row values rescaled exactly as the sequential rules would); the gates are
-    then decided on the small per-group table and joined back once.
+    then decided on the small per-group table and joined back once. The
+    number of sums doubles with each rule, so at most ``joint_rules`` rules
+    share a pass; longer lists take one pass per ``joint_rules`` rules, with
+    the same result.
     """
     keys = list(keys)
     rules = list(rules)
-    if len(rules) > 4:  # 2^(k-1) sums per rule: beyond a few rules go rule by rule
-        for r in rules:
-            df = ratio_gated_rescale(df, keys, value, recorder_col, total_col, [r])
+    if len(rules) > joint_rules:
+        for i in range(0, len(rules), joint_rules):
+            df = ratio_gated_rescale(df, keys, value, recorder_col, total_col, rules[i:i + joint_rules], joint_rules)
         return df
     v = F.col(value)
     aggs = []

@@ -106,7 +106,8 @@ def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
       date-time column yields one row per class, both with NULL type);
     * range ``"min - max"`` for text, numeric and date columns, computed in
       one aggregation pass over ``data`` and turned into rows with
-      ``unpivot`` (no collect);
+      ``unpivot`` (no collect); a column without a known value has no range
+      (NULL);
     * descriptions: general rows (``TableID`` NULL) joined on the variable
       name, plus rows specific to ``table_id`` joined on name and table.
     """
@@ -115,7 +116,7 @@ def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
     ranged = [f.name for f in fields if _classes(f.dataType)[0] in _RANGED]
     if ranged:
         rng = data.agg(*[
-            F.concat_ws(" - ", F.min(F.col(f"`{c}`")).cast("string"), F.max(F.col(f"`{c}`")).cast("string")).alias(c)
+            F.concat(F.min(F.col(f"`{c}`")).cast("string"), F.lit(" - "), F.max(F.col(f"`{c}`")).cast("string")).alias(c)
             for c in ranged])
         rng = rng.unpivot([], [F.col(f"`{c}`") for c in ranged], VAR, VRANGE)
     else:

@@ -52,10 +52,15 @@ def to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
 def to_wide(df: DataFrame, names_from: str, values_from: str,
             levels: Sequence[str], ids: Sequence[str] | None = None) -> DataFrame:
     """Long to wide with an explicit level list (no extra job to discover
-    levels). One aggregation on the id columns; a duplicated (id, level)
-    cell keeps one value."""
+    levels). One aggregation on the id columns. A repeated row counts once; a
+    cell with two different values (a missing one counts as a value) fails
+    the job, it is never resolved silently."""
     ids = list(ids) if ids is not None else [c for c in df.columns if c not in (names_from, values_from)]
-    return df.groupBy(*ids).pivot(names_from, list(levels)).agg(F.first(values_from))
+    v = F.col(f"`{values_from}`")
+    # min = max over all rows of a cell: one pass, combined before the shuffle
+    several = (F.min(v) != F.max(v)) | ((F.count(v) > 0) & (F.count(v) < F.count(F.lit(1))))
+    cell = F.when(several, F.raise_error(F.lit(f"several values of {values_from} in one cell")).cast(df.schema[values_from].dataType))
+    return df.groupBy(*ids).pivot(names_from, list(levels)).agg(cell.otherwise(F.min(v)))
 
 
 def bind_rows(*dfs: DataFrame) -> DataFrame:
@@ -76,8 +81,3 @@ def expand_levels(df: DataFrame, levels: Mapping[str, Sequence]) -> DataFrame:
         out = out.withColumn(name, F.explode(F.array(*[F.lit(v) for v in vals])))
     return out
 
-
-def explode_list(df: DataFrame, list_col: str, out_col: str | None = None) -> DataFrame:
-    """List column to rows (one row per element, element type kept)."""
-    out_col = out_col or list_col
-    return df.withColumn(out_col, F.explode(F.col(list_col)))

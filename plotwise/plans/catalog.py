@@ -31,7 +31,7 @@ from ..operators import classify as K
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
-from ..session import materialize
+from ..session import stage, staging_dir
 from ..sources.io import table
 from ..sources.inline import inline_table
 from . import dictionaries as DD
@@ -143,7 +143,7 @@ def try_numeric_columns(spark, sf):
 WITH cnt AS (SELECT CASE WHEN l_orderkey % 50 <> 0 THEN 'O' || CAST(l_orderkey AS VARCHAR) END AS orderkey, count(*) AS n_lines
              FROM lineitem GROUP BY 1),
 o AS (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN 'O' || CAST(o_orderkey AS VARCHAR) END AS orderkey, o_totalprice
-      FROM orders WHERE o_orderstatus = 'F')
+      FROM (SELECT o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderkey ELSE -1 - o_orderkey END AS o_orderkey FROM orders) z)
 SELECT coalesce(cnt.orderkey, o.orderkey) AS orderkey, CAST(cnt.n_lines AS DOUBLE) AS n_lines, o.o_totalprice
 FROM cnt FULL JOIN o ON cnt.orderkey IS NOT DISTINCT FROM o.orderkey
 """)
@@ -151,7 +151,9 @@ def group_count_full_join(spark, sf):
     li = _t(spark, sf, "lineitem").select(
         F.when(F.col("l_orderkey") % 50 != 0, F.concat(F.lit("O"), F.col("l_orderkey").cast("string"))).alias("orderkey"))
     cnt = li.groupBy("orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    o = (_t(spark, sf, "orders").filter(F.col("o_orderstatus") == "F")
+    # orders of other states get keys that no line has
+    key = F.when(F.col("o_orderstatus") == "F", F.col("o_orderkey")).otherwise(-1 - F.col("o_orderkey"))
+    o = (_t(spark, sf, "orders").withColumn("o_orderkey", key)
          .select(F.when(F.col("o_orderkey") % 50 != 0, F.concat(F.lit("O"), F.col("o_orderkey").cast("string")))
                  .alias("orderkey"), "o_totalprice"))
     # n_lines is missing for orders without lines; reported as a double so a
@@ -221,20 +223,22 @@ def left_patch_join(spark, sf):
 
 
 @register("full_patch_join", """
-WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'O'),
+WITH b AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice FROM orders),
 p AS (SELECT o_orderkey, o_custkey, o_totalprice + CAST(1.0 AS DOUBLE) AS o_totalprice, o_orderpriority
       FROM orders WHERE o_orderpriority = '1-URGENT')
-SELECT coalesce(b.o_orderkey, p.o_orderkey) AS o_orderkey, coalesce(b.o_custkey, p.o_custkey) AS o_custkey,
+SELECT coalesce(b.o_orderkey, p.o_orderkey) AS o_orderkey, CAST(coalesce(b.o_custkey, p.o_custkey) AS DOUBLE) AS o_custkey,
        b.o_orderstatus, coalesce(p.o_totalprice, b.o_totalprice) AS o_totalprice, p.o_orderpriority
 FROM b FULL JOIN p ON b.o_orderkey IS NOT DISTINCT FROM p.o_orderkey AND b.o_custkey IS NOT DISTINCT FROM p.o_custkey
 """)
 def full_patch_join(spark, sf):
     o = _t(spark, sf, "orders")
-    base = o.filter(F.col("o_orderstatus") != "O").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    base = o.select("o_orderkey", F.when(F.col("o_orderstatus") != "O", F.col("o_custkey")).alias("o_custkey"), "o_orderstatus",
+                    "o_totalprice")
     patch = (o.filter(F.col("o_orderpriority") == "1-URGENT")
              .select("o_orderkey", "o_custkey", (F.col("o_totalprice") + F.lit(1.0)).alias("o_totalprice"),
                      "o_orderpriority"))
-    return J.patch_join(base, patch, ["o_orderkey", "o_custkey"], ["o_totalprice"], "full")
+    out = J.patch_join(base, patch, ["o_orderkey", "o_custkey"], ["o_totalprice"], "full")
+    return out.withColumn("o_custkey", F.col("o_custkey").cast("double"))  # nullable: reported as a double
 
 
 @register("right_join_dictionary", """
@@ -282,20 +286,17 @@ def lookup_fanout(spark, sf):
 
 @register("presence_flag_join", """
 WITH ev AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, event_type, event_id, value FROM events),
-p AS (SELECT DISTINCT user_id, day, CAST(1 AS DOUBLE) AS presence FROM ev WHERE event_type = 'view')
+p AS (SELECT user_id, day, CAST(1 AS DOUBLE) AS presence FROM ev WHERE event_type IN ('view', 'click'))
 SELECT c.user_id, c.day, c.event_id, c.value, p.presence
-FROM (SELECT user_id, day, event_id, value FROM ev WHERE event_type = 'purchase') c
+FROM (SELECT user_id, day, event_id, value FROM ev WHERE event_type NOT IN ('view', 'click')) c
 LEFT JOIN p ON c.user_id IS NOT DISTINCT FROM p.user_id AND c.day IS NOT DISTINCT FROM p.day
 """)
 def presence_flag_join(spark, sf):
     e = _t(spark, sf, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"),
                                        "event_type", "event_id", "value")
-    # presence rows are reduced to distinct keys: a repeated presence row
-    # would otherwise multiply the cover rows of its key pairwise
-    pres = (e.filter(F.col("event_type") == "view").select("user_id", "day").distinct()
-            .withColumn("presence", F.lit(1.0)))
-    cover = e.filter(F.col("event_type") == "purchase").select("user_id", "day", "event_id", "value")
-    return J.natural_join(cover, pres, "left")
+    marks = F.col("event_type").isin("view", "click")
+    cover = e.filter(~marks).select("user_id", "day", "event_id", "value")
+    return C.presence_join(cover, e.filter(marks), ["user_id", "day"])
 
 
 # ==========================================================================
@@ -679,8 +680,7 @@ def long_fill_spread(spark, sf):
     ids = ["o_orderkey", "o_custkey", "sumcover"]
     long = R.to_long(base, ids, ["totalGraminoids", "totalForbs"], "totFunctionalGroup", "totCov")
     long = long.withColumn("totCov", S.if_else_na(F.col("totCov").isNull(), F.col("sumcover"), F.col("totCov")))
-    # the scripts take distinct rows before spreading; spreading keeps one
-    # value per (ids, level) either way, so the extra distinct shuffle is skipped
+    # repeated rows count once in the spread, two values in one cell fail it
     return R.to_wide(long, "totFunctionalGroup", "totCov", ["totalForbs", "totalGraminoids"], ids=ids)
 
 
@@ -943,9 +943,9 @@ def _comp(spark, sf):
     cust = _t(spark, sf, "customer").select(F.col("c_custkey").alias("turfID"),
                                             F.col("c_nationkey").alias("siteID"),
                                             F.col("c_mktsegment").alias("Treatment"))
-    # read by several branches: written once to the shared checkpoint folder
-    # when the cluster names one, otherwise each branch recomputes it
-    return materialize(J.join(comp, cust, "turfID", "left"), fallback="none")
+    # read by several branches: staged once in the shared folder when the
+    # cluster names one, otherwise each branch recomputes it
+    return stage(J.join(comp, cust, "turfID", "left"), staging_dir(spark), "covers")
 
 
 _COMP_SQL = """WITH comp0 AS (SELECT o_custkey AS "turfID", o_orderstatus AS species, CAST(year(o_orderdate) AS INTEGER) AS "Year",
@@ -1156,19 +1156,20 @@ def data_dictionary(spark, sf):
 
 def _matched(spark, sf):
     ev = _t(spark, sf, "events")
-    readings = ev.select("event_id", "ts", "value")
+    # one logger per user: a reading only meets the windows of its own logger
+    readings = ev.select("event_id", "user_id", "ts", "value")
     windows = (ev.filter(F.col("event_type") == "signup")
-               .select(F.col("event_id").alias("measurement_id"), F.col("ts").alias("start"),
-                       (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("end")))
-    m = FX.match_windows(readings, windows, "ts", "start", "end", bucket_seconds=60)
+               .select(F.col("event_id").alias("measurement_id"), "user_id", F.col("ts").alias("start"),
+                       (F.col("ts") + F.expr("INTERVAL 12 HOURS")).alias("end")))
+    m = FX.match_windows(readings, windows, "ts", "start", "end", bucket_seconds=14_400, extra_keys=["user_id"])
     return m.withColumn("seconds", FX.elapsed_seconds("ts", "start"))
 
 
-_MATCH_SQL = """WITH w AS (SELECT event_id AS measurement_id, ts AS start, ts + INTERVAL 10 MINUTE AS "end" FROM events
+_MATCH_SQL = """WITH w AS (SELECT event_id AS measurement_id, user_id, ts AS start, ts + INTERVAL 12 HOUR AS "end" FROM events
            WHERE event_type = 'signup'),
 m AS (SELECT w.measurement_id, r.event_id, r.value,
              CAST(epoch_us(r.ts) - epoch_us(w.start) AS DOUBLE) / 1000000.0 AS seconds
-      FROM events r JOIN w ON r.ts >= w.start AND r.ts < w."end")"""
+      FROM events r JOIN w ON r.user_id = w.user_id AND r.ts >= w.start AND r.ts < w."end")"""
 
 
 @register("flux_window_match", _MATCH_SQL + " SELECT measurement_id, event_id, seconds FROM m")
@@ -1180,26 +1181,29 @@ def flux_window_match(spark, sf):
 SELECT measurement_id, count(*) AS n_readings,
        round(CASE WHEN count(*) >= 2 AND var_pop(seconds) > 0 THEN regr_slope(value, seconds) END, 6) AS slope,
        round(CASE WHEN count(*) >= 2 AND var_pop(seconds) > 0 THEN regr_slope(value, seconds) END
-             * CAST(25.0 AS DOUBLE) / (CAST(0.082057 AS DOUBLE) * CAST(293.15 AS DOUBLE) * CAST(0.0625 AS DOUBLE)), 6) AS flux
-FROM m GROUP BY 1
+             * (25.0::DOUBLE + 60.0::DOUBLE * pi() * 0.0004::DOUBLE) * 3.6::DOUBLE / (0.082057::DOUBLE * temp_k * 0.0625::DOUBLE), 6) AS flux
+FROM m JOIN (SELECT event_id AS mid, CAST(283.15 + event_id % 20 AS DOUBLE) AS temp_k FROM events) t ON t.mid = m.measurement_id GROUP BY 1, temp_k
 """)
 def flux_slope(spark, sf):
     s = FX.measurement_slopes(_matched(spark, sf), ["measurement_id"], "value", "seconds")
+    # the air temperature of each measurement is an input
+    temp_k = (F.col("measurement_id") % 20 + 283.15).cast("double")
     return s.select("measurement_id", "n_readings", F.round("slope", 6).alias("slope"),
-                    F.round(FX.flux_from_slope("slope", 293.15), 6).alias("flux"))
+                    F.round(FX.flux_from_slope("slope", temp_k), 6).alias("flux"))
 
 
 @register("flux_gep", """
-WITH f AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, CASE event_type WHEN 'purchase' THEN 'NEE' ELSE 'ER' END AS kind,
-                  value FROM events WHERE event_type IN ('purchase', 'view')),
-p AS (SELECT user_id, day, max(CASE WHEN kind = 'NEE' THEN value END) AS "NEE", max(CASE WHEN kind = 'ER' THEN value END) AS "ER"
-      FROM f GROUP BY 1, 2)
-SELECT user_id, day, "NEE", "ER", "NEE" - "ER" AS "GEP" FROM p
+WITH f AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type IN ('purchase', 'click') THEN 'NEE' ELSE 'ER' END AS kind,
+                  floor(value) AS value FROM events),
+p AS (SELECT user_id, day, avg(value) FILTER (kind = 'NEE') AS "NEE", avg(value) FILTER (kind = 'ER') AS "ER",
+             count(value) FILTER (kind = 'NEE') AS "n_NEE", count(value) FILTER (kind = 'ER') AS "n_ER" FROM f GROUP BY 1, 2)
+SELECT user_id, day, "NEE", "ER", "n_NEE", "n_ER", "NEE" - "ER" AS "GEP" FROM p
 """)
 def flux_gep(spark, sf):
-    ev = _t(spark, sf, "events").filter(F.col("event_type").isin("purchase", "view"))
-    f = ev.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"),
-                  F.when(F.col("event_type") == "purchase", F.lit("NEE")).otherwise(F.lit("ER")).alias("kind"), "value")
+    f = _t(spark, sf, "events").select(
+        "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(F.col("event_type").isin("purchase", "click"), F.lit("NEE")).otherwise(F.lit("ER")).alias("kind"),
+        F.floor("value").cast("double").alias("value"))  # whole values: sums don't depend on their order
     return FX.gep(f, ["user_id", "day"], "kind", "value")
 
 
@@ -1208,9 +1212,9 @@ WITH j AS (SELECT l.l_partkey, r.r_name FROM lineitem l
            LEFT JOIN supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.s_suppkey
            LEFT JOIN nation n ON s.s_nationkey IS NOT DISTINCT FROM n.n_nationkey
            LEFT JOIN region r ON n.n_regionkey IS NOT DISTINCT FROM r.r_regionkey),
-a AS (SELECT l_partkey, bool_or(coalesce(r_name IN ('AFRICA', 'AMERICA'), false)) AS low,
+a AS (SELECT l_partkey, bool_or(coalesce(r_name = 'AFRICA', false)) AS nem, bool_or(coalesce(r_name = 'AMERICA', false)) AS bor,
              bool_or(coalesce(r_name IN ('EUROPE', 'ASIA'), false)) AS alp FROM j GROUP BY 1)
-SELECT l_partkey, CASE WHEN low AND NOT alp THEN 'lowland' WHEN alp AND NOT low THEN 'alpine' ELSE 'generalist' END AS affinity
+SELECT l_partkey, CASE WHEN nem AND NOT alp THEN 'lowland' WHEN alp AND NOT nem AND NOT bor THEN 'alpine' ELSE 'generalist' END AS affinity
 FROM a
 """)
 def affinity_class(spark, sf):
@@ -1219,7 +1223,7 @@ def affinity_class(spark, sf):
     j = J.join(li, s, [("l_suppkey", "s_suppkey")], "left")
     j = J.join(j, _t(spark, sf, "nation"), [("s_nationkey", "n_nationkey")], "left", broadcast=True)
     j = J.join(j, _t(spark, sf, "region"), [("n_regionkey", "r_regionkey")], "left", broadcast=True)
-    return K.affinity(j, "l_partkey", "r_name", lowland=["AFRICA", "AMERICA"], alpine=["EUROPE", "ASIA"])
+    return K.affinity(j, "l_partkey", "r_name", nemoral=["AFRICA"], boreal=["AMERICA"], alpine=["EUROPE", "ASIA"])
 
 
 _STATUS_LEVELS = ["S", "J", "1", "F", "D"]  # fixed values: presence codes from lowest to highest
@@ -1426,8 +1430,9 @@ _SM_OLD = [old for old, _, _, _ in DD.SITE_CODES]
 _SM_V2 = [v2 for _, v2, _, _ in DD.SITE_CODES]
 
 
-def _ev(spark, sf, types):
-    return _t(spark, sf, "events").filter(F.col("event_type").isin(*types))
+def _ev(spark, sf, year: int):
+    """Every event is a reading of one of the survey years 2016, 2017, 2018, by its day."""
+    return _t(spark, sf, "events").filter(F.dayofmonth("ts") % 3 == year - 2016)
 
 
 def _july(year: int):
@@ -1435,7 +1440,7 @@ def _july(year: int):
 
 
 def _sm1516_raw(spark, sf):
-    e = _ev(spark, sf, ["click", "view"])
+    e = _ev(spark, sf, 2016)
     eid = F.col("event_id")
     site = _pick(F.col("user_id") % 12, _SM_OLD)
     block = (F.col("user_id") % 4 + 1).cast("int")
@@ -1445,7 +1450,7 @@ def _sm1516_raw(spark, sf):
             .when(eid % 31 == 0, F.concat(turf, F.lit("P"))).otherwise(turf))
     date = F.when(eid % 2 == 0, _july(2015)).otherwise(_july(2016))
     return e.select(
-        date.alias("date"), site.alias("site"), block.alias("block"), turf.alias("turfID"),
+        date.alias("date"), site.alias("site"), block.cast("double").alias("block"), turf.alias("turfID"),
         F.when(eid % 37 == 0, F.lit(None).cast("string")).when(eid % 41 == 0, F.lit("XC")).otherwise(trt)
          .alias("treatment"),
         F.when(eid % 5 != 0, trt).alias("removal"),
@@ -1464,7 +1469,7 @@ def _sm1516_sql() -> str:
     trt = _sql_list_pick("event_id % 8", _BIO_TREATMENTS)
     july = "'-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0')"
     return f"""WITH e AS (SELECT *, {site} AS site, CAST(user_id % 4 + 1 AS INTEGER) AS block, {trt} AS trt FROM events
-           WHERE event_type IN ('click', 'view')),
+           WHERE day(ts) % 3 = 0),
 r0 AS (SELECT *, site || CAST(block AS VARCHAR) || trt AS t0 FROM e),
 raw AS (SELECT CASE WHEN event_id % 2 = 0 THEN '2015' || {july} ELSE '2016' || {july} END AS date, site, block,
           CASE WHEN event_id % 23 = 0 THEN t0 || 'TT1' WHEN event_id % 29 = 0 THEN t0 || 'RTC'
@@ -1507,10 +1512,10 @@ def soil_moisture_2015_16_chain(spark, sf):
 
 
 def _sm2017_raw(spark, sf):
-    e = _ev(spark, sf, ["purchase", "signup"])
+    e = _ev(spark, sf, 2017)
     eid = F.col("event_id")
     d = F.to_date(_july(2017))
-    date = (F.when(eid % 53 == 0, F.lit("n.a."))
+    date = (F.when(eid % 53 == 0, F.lit("n.a.")).when(eid % 10 == 4, F.date_format(d, "d.M.yy"))
             .when(eid % 2 == 0, F.date_format(d, "d.M.yyyy"))
             .otherwise(F.datediff(d, F.lit("1899-12-30").cast("date")).cast("string")))
     code = _pick(F.col("user_id") % 12, _FIELD_CODES)
@@ -1522,8 +1527,8 @@ def _sm2017_raw(spark, sf):
             .otherwise(turf))
     allnull = eid % 47 == 0
     return e.select(
-        date.alias("Date"), code.alias("Site"), F.when(eid % 3 != 0, block).alias("SCBlock...5"),
-        F.when(eid % 3 == 0, block).alias("SCBlock...6"), turf.alias("Turf ID"),
+        date.alias("Date"), code.alias("Site"), F.when(eid % 3 != 0, block.cast("double")).alias("SCBlock...5"),
+        F.when(eid % 3 == 0, block.cast("double")).alias("SCBlock...6"), turf.alias("Turf ID"),
         F.when((eid % 19 == 0) | (eid % 43 == 0), F.lit(None).cast("string")).otherwise(trt).alias("Treatment"),
         F.when(~allnull, F.floor("value").cast("string")).alias("Measurement1"),
         F.when(~allnull & (eid % 4 != 0), (F.col("user_id") % 10).cast("string")).alias("Measurement2"),
@@ -1538,8 +1543,8 @@ def _sm2017_sql() -> str:
     sites = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_FROM_FIELD_CODE.items())
     return f"""WITH e AS (SELECT *, {code} AS code, CAST(user_id % 4 + 1 AS INTEGER) AS block, {trt} AS trt,
                   CAST('2017-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS DATE) AS d,
-                  event_id % 47 = 0 AS allnull FROM events WHERE event_type IN ('purchase', 'signup')),
-raw AS (SELECT CASE WHEN event_id % 53 = 0 THEN 'n.a.' WHEN event_id % 2 = 0 THEN strftime(d, '%-d.%-m.%Y')
+                  event_id % 47 = 0 AS allnull FROM events WHERE day(ts) % 3 = 1),
+raw AS (SELECT CASE WHEN event_id % 53 = 0 THEN 'n.a.' WHEN event_id % 10 = 4 THEN strftime(d, '%-d.%-m.%y') WHEN event_id % 2 = 0 THEN strftime(d, '%-d.%-m.%Y')
                     ELSE CAST(datediff('day', DATE '1899-12-30', d) AS VARCHAR) END AS "Date",
                code AS "Site", CASE WHEN event_id % 3 <> 0 THEN block END AS b5,
                CASE WHEN event_id % 3 = 0 THEN block END AS b6,
@@ -1553,7 +1558,8 @@ raw AS (SELECT CASE WHEN event_id % 53 = 0 THEN 'n.a.' WHEN event_id % 2 = 0 THE
                CASE WHEN NOT allnull THEN CASE WHEN event_id % 3 = 0 THEN 'x' ELSE CAST(event_id % 7 AS VARCHAR) END END AS m3,
                CAST(NULL AS VARCHAR) AS m4, event_type AS "Weather", 'R' || CAST(user_id % 3 AS VARCHAR) AS "Recorder"
         FROM e),
-p AS (SELECT *, CASE WHEN contains("Date", '.') THEN CAST(try_strptime("Date", '%d.%m.%Y') AS DATE)
+p AS (SELECT *, CASE WHEN regexp_matches("Date", '[.][0-9][0-9]$') THEN CAST(try_strptime("Date", '%d.%m.%y') AS DATE)
+                     WHEN contains("Date", '.') THEN CAST(try_strptime("Date", '%d.%m.%Y') AS DATE)
                      ELSE DATE '1899-12-30' + CAST(floor(TRY_CAST("Date" AS DOUBLE)) AS INTEGER) END AS pdate,
              TRY_CAST(m1 AS DOUBLE) AS d1, TRY_CAST(m2 AS DOUBLE) AS d2, TRY_CAST(m3 AS DOUBLE) AS d3,
              TRY_CAST(m4 AS DOUBLE) AS d4 FROM raw
@@ -1586,7 +1592,7 @@ _TTC_SITES = [{o: n for o, _, _, n in DD.SITE_CODES}[f[:3]]
 
 
 def _sm2018_raw(spark, sf):
-    e = _ev(spark, sf, ["error"])
+    e = _ev(spark, sf, 2018)
     eid, uid = F.col("event_id"), F.col("user_id")
     old = _pick(uid % 12, _SM_OLD)
     v2 = F.when(uid % 50 == 0, F.lit("XXX")).otherwise(_pick(uid % 12, _SM_V2))
@@ -1617,7 +1623,7 @@ def _sm2018_sql() -> str:
     fixes = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_NAME_FIXES.items())
     cols = '"Date", "blockID", "turfID", "Treatment", m1, m2, m3, m4, "Weather", "Recorder", "siteID"'
     return f"""WITH e AS (SELECT *, {old} AS old, {v2} AS v2c, user_id % 4 + 1 AS block, {trt} AS trt FROM events
-           WHERE event_type = 'error'),
+           WHERE day(ts) % 3 = 2),
 raw AS (SELECT CASE WHEN event_id % 7 <> 0
                     THEN CAST('2018-07-' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') || ' 10:00:00' AS TIMESTAMP) END AS "Date",
                CASE WHEN user_id % 50 = 0 THEN 'XXX' ELSE v2c END AS "Site", CAST(block AS DOUBLE) AS "FCBlock",
@@ -1671,6 +1677,31 @@ def soil_moisture_2018_chain(spark, sf):
     return out.withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _soil_moisture_sql() -> str:
+    """The union of the three surveys, with zones and levels written out."""
+    return f"""WITH u AS (
+  SELECT date || ' 00:00:00' AS date, "siteID", "blockID", "plotID", treatment, soilmoisture, weather, recorder, "turfID" FROM ({_sm1516_sql()})
+  UNION ALL SELECT date || ' 00:00:00', "siteID", "blockID", "plotID", treatment, soilmoisture, weather, recorder, "turfID" FROM ({_sm2017_sql()})
+  UNION ALL SELECT date, "siteID", "blockID", NULL, treatment, soilmoisture, weather, recorder, "turfID" FROM ({_sm2018_sql()})),
+c AS (SELECT *, CASE WHEN "siteID" IN ('Ulvehaugen', 'Lavisdalen', 'Gudmedalen', 'Skjelingahaugen') THEN 'alpine'
+        WHEN "siteID" IN ('Alrust', 'Hogsete', 'Rambera', 'Veskre') THEN 'sub.alpine'
+        WHEN "siteID" IN ('Fauske', 'Vikesland', 'Arhelleren', 'Ovstedalen') THEN 'boreal' END AS biogeographic_zone,
+      CASE WHEN "siteID" IN ('Ulvehaugen', 'Alrust', 'Fauske') THEN 1 WHEN "siteID" IN ('Lavisdalen', 'Hogsete', 'Vikesland') THEN 2
+        WHEN "siteID" IN ('Gudmedalen', 'Rambera', 'Arhelleren') THEN 3 WHEN "siteID" IN ('Skjelingahaugen', 'Veskre', 'Ovstedalen') THEN 4 END AS level FROM u)
+SELECT date, "siteID", "blockID", "plotID", treatment, soilmoisture, weather, recorder, "turfID", biogeographic_zone,
+  CAST(level AS DOUBLE) AS prep_level, biogeographic_zone || CAST(level AS VARCHAR) AS climate,
+  CAST(CASE biogeographic_zone WHEN 'boreal' THEN 0 WHEN 'sub.alpine' THEN 4 WHEN 'alpine' THEN 8 END + level AS DOUBLE) AS climate_rank FROM c"""
+
+
+@register("soil_moisture_union", _soil_moisture_sql())
+def soil_moisture_union(spark, sf):
+    from . import soil_moisture as SMP
+    out = SMP.soil_moisture(_sm1516_raw(spark, sf), _sm2017_raw(spark, sf), _sm2018_raw(spark, sf))
+    out = SMP.with_climate(out)
+    return out.withColumns({"date": F.date_format("date", "yyyy-MM-dd HH:mm:ss"), "prep_level": F.col("prep_level").cast("double"),
+                            "climate_rank": F.col("climate_rank").cast("double")})
+
+
 # lineitem rows become greenness readings: supplier nation -> site as spelled
 # in the field files (with Norwegian letters), line number -> block, part ->
 # treatment, discount / tax -> readings, ship day -> survey day.
@@ -1705,7 +1736,7 @@ def reflectance_2019_chain(spark, sf):
     from . import reflectance as RFP
     b = _rf_base(spark, sf)
     d = F.to_date(F.concat(F.lit("2019-07-"), F.lpad(F.dayofmonth("l_shipdate").cast("string"), 2, "0")))
-    raw = b.select(_pick(F.col("s_nationkey") % 12, _RF19).alias("Site"), F.col("l_linenumber").alias("Block"),
+    raw = b.select(_pick(F.col("s_nationkey") % 12, _RF19).alias("Site"), F.col("l_linenumber").cast("double").alias("Block"),
                    _pick(F.col("l_partkey") % 8, _BIO_TREATMENTS).alias("Treatment"),
                    F.col("l_orderkey").cast("string").alias("TTC_ID"),
                    F.concat(F.col("l_linenumber").cast("string"), F.lit(":00")).alias("Time"),
@@ -1912,7 +1943,13 @@ def community_relational_chain(spark, sf):
 
 _CSITES = ["Ulvhaugen", "Lavisdalen", "Gudmedalen", "Skjellingahaugen", "Alrust", "Hogsete", "Rambera", "Veskre",
            "Fauske", "Vikesland", "Arhelleren", "Ovstedal"]
-_SPECIES_COLS = ["Sp 0", "Sp 1", "Sp 2", "Sp 3", "Sp 4", "Sp 5", "Sp 5x", "Sp 6", "Sp 7", "Sp 8", "Sp 9"]
+_SPECIES_COLS = ["Sp 0", "Agr cap", "Hol lan", "Jun sp", "Sp 1", "Sp 2", "Sp 3", "Sp 4", "Sp 5", "Sp 5x", "Sp 6", "Sp 7",
+                 "Sp 8", "Sp 9"]
+_NAMED = {10: "Agr cap", 11: "Hol lan", 12: "Jun sp"}
+# Orders below this number share turf names (so dictionaries, corrections and
+# fixes find their turfs); later turfs carry a running suffix, so turfs grow
+# with the data. Every 31st of them is a transplant control, in dictionary order.
+_SHARED_TURFS = 6000
 _CREC = ["A", "B", "Siri", None]
 _CORRECTIONS = [  # fixed species corrections: old, new, siteID, turfID, Year, cover, functionalGroup
     ("Sp.3", "Sp.3b", "Alrust", "Alr2F", 2016, "5", None),
@@ -1930,7 +1967,8 @@ def _community_sheets(spark, sf):
     sub = (F.when(F.col("l_linenumber") <= 4, F.lit("%")).when(F.col("l_linenumber") <= 6, F.lit("T"))
            .otherwise(F.lit("3")))
     cells = li.select(F.col("l_orderkey").alias("g"), (_year("l_shipdate") + 20).alias("yr"), sub.alias("subPlot"),
-                      F.concat(F.lit("Sp "), (F.col("l_partkey") % 10).cast("string")).alias("sp"),
+                      F.coalesce(_pick(F.col("l_partkey") % 13 - 10, list(_NAMED.values())),
+                                 F.concat(F.lit("Sp "), (F.col("l_partkey") % 13).cast("string"))).alias("sp"),
                       F.col("l_quantity").alias("q"))
     # one sheet row per (turf, year, subplot): aggregate on those three keys,
     # then derive the row's descriptive columns from them
@@ -1938,10 +1976,16 @@ def _community_sheets(spark, sf):
             .agg(F.sum("q").cast("bigint").cast("string")))
     g, yr = F.col("g"), F.col("yr")
     site = _pick(g % 12, _CSITES)
-    block = F.when((site == "Gudmedalen") & (g % 7 == 0), F.lit("16")).otherwise((g % 5 + 1).cast("string"))
-    trt = _pick(g % 9, _BIO_TREATMENTS + ["XC"])
-    turf = F.when(g % 31 == 0, F.concat(_pick(g % 31, _TTC_NUMS), F.lit(" TTC"))).otherwise(
-        F.concat(F.substring(site, 1, 3), block, trt))
+    shared, control, xc = g < _SHARED_TURFS, g % 31 == 0, g % 23 == 3
+    number = F.concat(_pick(F.floor(g / 31) % 31, _TTC_NUMS), F.lit(" TTC"))
+    site = (F.when(shared & control, _pick(F.floor(g / 31) % 31, _TTC_SITES))
+            .when(shared & xc, F.lit("Alrust")).otherwise(site))
+    block = (F.when(shared & xc, F.lit("2")).when((site == "Gudmedalen") & (g % 7 == 0), F.lit("16"))
+             .otherwise((g % 5 + 1).cast("string")))
+    trt = F.when(shared & control, F.lit("C")).when(shared & xc, F.lit("XC")).otherwise(_pick(g % 9, _BIO_TREATMENTS + ["XC"]))
+    turf = (F.when(shared & control, number)
+            .otherwise(F.concat(F.substring(site, 1, 3), block, trt,
+                                F.when(shared, F.lit("")).otherwise(F.concat(F.lit("."), F.floor(g / 180).cast("string"))))))
     k = g * 7 + yr
 
     def num(expr, null_when):
@@ -1949,7 +1993,7 @@ def _community_sheets(spark, sf):
 
     wide = wide.select(
         "yr", site.alias("siteID"), block.alias("blockID"), trt.alias("Treatment"), turf.alias("turfID"),
-        F.when(g % 11 == 0, F.lit("TT2")).alias("TTtreat"), "subPlot", yr.cast("string").alias("year"),
+        F.when(shared & control, number).when(g % 11 == 0, F.lit("TT2")).alias("TTtreat"), "subPlot", yr.cast("string").alias("year"),
         _pick((g + yr) % 4, _CREC).alias("recorder"),
         num(k % 60, (g + yr) % 5 == 0).alias("totalGraminoids"), num(k % 70, (g + yr) % 6 == 0).alias("totalForbs"),
         num(k % 40, (g + yr) % 7 == 0).alias("totalBryophytes"), num(k % 30, g % 13 == 0).alias("vegetationHeight"),
@@ -1994,12 +2038,15 @@ def _community_composition_sql() -> str:
     tot_cols = ", ".join(f'"{c}"' for c in tot)
     return f"""WITH l0 AS (SELECT l_orderkey AS g, CAST(year(l_shipdate) + 20 AS BIGINT) AS yr, l_linenumber, l_partkey,
                    l_quantity FROM lineitem),
-l1 AS (SELECT *, {site} AS site FROM l0),
-l2 AS (SELECT *, CASE WHEN site = 'Gudmedalen' AND g % 7 = 0 THEN '16' ELSE CAST(g % 5 + 1 AS VARCHAR) END AS block,
-              {trt} AS trt, g * 7 + yr AS k FROM l1),
+l1 AS (SELECT *, g < {_SHARED_TURFS} AS shared, g % 31 = 0 AS control, g % 23 = 3 AS xc, {_sql_list_pick('g // 31 % 31', _TTC_NUMS)} || ' TTC' AS number,
+              CASE WHEN g < {_SHARED_TURFS} AND g % 31 = 0 THEN {_sql_list_pick('g // 31 % 31', _TTC_SITES)}
+                   WHEN g < {_SHARED_TURFS} AND g % 23 = 3 THEN 'Alrust' ELSE {site} END AS site FROM l0),
+l2 AS (SELECT *, CASE WHEN shared AND xc THEN '2' WHEN site = 'Gudmedalen' AND g % 7 = 0 THEN '16' ELSE CAST(g % 5 + 1 AS VARCHAR) END AS block,
+              CASE WHEN shared AND control THEN 'C' WHEN shared AND xc THEN 'XC' ELSE {trt} END AS trt, g * 7 + yr AS k FROM l1),
 base AS (SELECT g, yr, site AS "siteID", block AS "blockID", trt AS "Treatment",
-           CASE WHEN g % 31 = 0 THEN {_sql_list_pick('g % 31', _TTC_NUMS)} || ' TTC' ELSE substr(site, 1, 3) || block || trt END AS "turfID",
-           CASE WHEN g % 11 = 0 AND yr < 2019 THEN 'TT2' END AS "TTtreat",
+           CASE WHEN shared AND control THEN number
+                ELSE substr(site, 1, 3) || block || trt || CASE WHEN shared THEN '' ELSE '.' || CAST(g // 180 AS VARCHAR) END END AS "turfID",
+           CASE WHEN yr >= 2019 THEN NULL WHEN shared AND control THEN number WHEN g % 11 = 0 THEN 'TT2' END AS "TTtreat",
            CASE WHEN l_linenumber <= 4 THEN '%' WHEN l_linenumber <= 6 THEN 'T' ELSE '3' END AS "subPlot",
            CAST(yr AS VARCHAR) AS "Year", {rec} AS recorder,
            CASE WHEN NOT ((g + yr) % 5 = 0) THEN CAST(k % 60 AS VARCHAR) END AS "totalGraminoids",
@@ -2010,7 +2057,8 @@ base AS (SELECT g, yr, site AS "siteID", block AS "blockID", trt AS "Treatment",
            CASE WHEN NOT (g % 19 = 0) THEN CAST(k % 11 AS VARCHAR) END AS litter,
            CASE WHEN NOT ((g + yr) % 3 = 0) AND NOT (yr BETWEEN 2017 AND 2018) THEN CAST(k % 5 AS VARCHAR) END AS acro,
            CASE WHEN NOT ((g + yr) % 4 = 1) AND NOT (yr BETWEEN 2017 AND 2018) THEN CAST(k % 4 AS VARCHAR) END AS pleuro,
-           'Sp ' || CAST(l_partkey % 10 AS VARCHAR) AS sp, l_quantity AS q FROM l2),
+           CASE l_partkey % 13 WHEN 10 THEN 'Agr cap' WHEN 11 THEN 'Hol lan' WHEN 12 THEN 'Jun sp' ELSE 'Sp ' || CAST(l_partkey % 13 AS VARCHAR) END AS sp,
+           l_quantity AS q FROM l2),
 cells AS (SELECT g, yr, "subPlot", sp, CAST(CAST(sum(q) AS BIGINT) AS VARCHAR) AS v FROM base GROUP BY 1, 2, 3, 4),
 sheet AS (SELECT DISTINCT g, yr, "siteID", "blockID", "Treatment", "turfID", "TTtreat", "subPlot", "Year", recorder,
                  {tot_cols} FROM base WHERE "subPlot" IN ('%', 'T')),
@@ -2019,7 +2067,7 @@ long AS (SELECT s.*, lv.species, c.v AS cover, c9.v AS "Sp 9"
          FROM sheet s CROSS JOIN lv
          LEFT JOIN cells c ON s.g = c.g AND s.yr = c.yr AND s."subPlot" = c."subPlot" AND lv.species = c.sp
          LEFT JOIN cells c9 ON s.g = c9.g AND s.yr = c9.yr AND s."subPlot" = c9."subPlot" AND c9.sp = 'Sp 9'),
-pres AS (SELECT DISTINCT "siteID", "Treatment", "turfID", "Year", species, CAST(1.0 AS DOUBLE) AS presence
+pres AS (SELECT "siteID", "Treatment", "turfID", "Year", species, CAST(1.0 AS DOUBLE) AS presence
          FROM long WHERE "subPlot" = 'T' AND cover IS NOT NULL),
 comp AS (SELECT l."siteID", l."blockID", l."Treatment", l."turfID", l."TTtreat", l."Year", l.recorder, {", ".join(f'l."{c}"' for c in tot)},
                 l."Sp 9", l.species, l.cover, p.presence
@@ -2065,6 +2113,7 @@ ORACLE["community_composition_chain"] = _community_composition_sql().strip()
 
 
 _GROUPS = ["forb", "graminoid", "pteridophyte", "woody"]
+_NAMED_GROUPS = [("Agr.cap", "graminoid"), ("Hol.lan", "graminoid"), ("Jun.sp", "woody")]
 
 
 def _community_inputs(spark, sf):
@@ -2073,11 +2122,12 @@ def _community_inputs(spark, sf):
     part = _t(spark, sf, "part")
     n = F.col("p_partkey") % 40
     traits = (part.select(F.concat(F.lit("Sp."), n.cast("string")).alias("species"), _pick(n % 4, _GROUPS).alias("value"))
-              .distinct().withColumn("trait", F.lit("functionalGroup")).select("species", "trait", "value"))
-    t = F.col("s_suppkey") % 40
-    bryo = (_t(spark, sf, "supplier").filter(t < 31)
-            .groupBy(_pick(t, [f for _, f in DD.TTC_TURF]).alias("turfID"))
-            .agg(F.lit("TTC").alias("TTtreat"), F.round(F.max("s_acctbal") / 100).alias("totalBryophytes"),
+              .distinct().unionByName(inline_table(spark, _NAMED_GROUPS, "species string, value string"))
+              .withColumn("trait", F.lit("functionalGroup")).select("species", "trait", "value"))
+    t = F.col("s_suppkey") % 31
+    bryo = (_t(spark, sf, "supplier")
+            .groupBy(_pick(t, [f for _, f in DD.TTC_TURF]).alias("turfID"), _pick(t, [n for n, _ in DD.TTC_TURF]).alias("TTtreat"))
+            .agg(F.round(F.max("s_acctbal") / 100).alias("totalBryophytes"),
                  F.count(F.lit(1)).cast("double").alias("mossHeight"),
                  F.round(F.min("s_acctbal") / 100).alias("vegetationHeight")))
     corr = inline_table(spark, _CORRECTIONS, "old string, new string, siteID string, turfID string, Year int, "
@@ -2089,11 +2139,109 @@ def _community_inputs(spark, sf):
                               species_corrections=corr, merge_dictionary=merge, layout=layout)
 
 
-# The whole chain (both stages above, then side tables, merge, imputation,
-# attribute re-join, roll-up, strict sums, point corrections). Its stages are
-# each checked against SQL above and the chain end to end on a fixture
-# (tests/test_community.py); registered without an SQL oracle.
-@register("community_chain")
+def _community_chain_sql() -> str:
+    """The chain after its two input stages, written out from the rules of the field scripts."""
+    ttc = ", ".join(f"('{a}', '{b}')" for a, b in DD.TTC_TURF)
+    nums = _sql_list_pick("s_suppkey % 31", [n for n, _ in DD.TTC_TURF])
+    turfs = _sql_list_pick("s_suppkey % 31", [f for _, f in DD.TTC_TURF])
+    five = ["mossHeight", "vegetationHeight", "totalBryophytes", "totalGraminoids", "totalForbs"]
+    same = lambda a, b, cols: " AND ".join(f'{a}."{c}" IS NOT DISTINCT FROM {b}."{c}"' for c in cols)
+    patch = lambda t, cols: ", ".join(f'coalesce({t}."{c}", x."{c}") AS "{c}"' for c in cols)
+    k6 = ["siteID", "blockID", "turfID", "Treatment", "Year", "species"]
+    k = ["siteID", "blockID", "Treatment", "turfID", "Year", "TTtreat"]
+    fcols = ["siteID", "blockID", "Treatment", "turfID", "Year", "recorder", "totalGraminoids", "totalForbs", "totalBryophytes",
+             "vegetationHeight", "mossHeight", "litter", "acro", "pleuro", "Sp 9"]
+    fsel = ", ".join(f'"{c}"' for c in fcols)
+    return f"""WITH comp AS ({_community_composition_sql()}),
+gr AS ({_community_relational_sql()}),
+traits AS (SELECT DISTINCT 'Sp.' || CAST(p_partkey % 40 AS VARCHAR) AS species,
+                  CASE p_partkey % 40 % 4 WHEN 0 THEN 'forb' WHEN 1 THEN 'graminoid' WHEN 2 THEN 'pteridophyte' ELSE 'woody' END AS fg FROM part
+           UNION ALL SELECT * FROM (VALUES ('Agr.cap', 'graminoid'), ('Hol.lan', 'graminoid'), ('Jun.sp', 'woody')) t(species, fg)),
+bryo AS (SELECT {turfs} AS "turfID", {nums} AS "TTtreat", round(max(s_acctbal) / 100) AS "totalBryophytes",
+                CAST(count(*) AS DOUBLE) AS "mossHeight", round(min(s_acctbal) / 100) AS "vegetationHeight" FROM supplier GROUP BY s_suppkey % 31),
+ttc AS (SELECT * FROM (VALUES {ttc}) t("TTtreat", "turfID")),
+fgbs AS (SELECT {fsel} FROM (SELECT DISTINCT {fsel}, "TTtreat", presence FROM comp WHERE "Treatment" IN ('FGB', 'GF') AND "Year" > 2015)),
+t1516 AS (SELECT DISTINCT c."siteID", c."blockID", c."Treatment", t."turfID", t."TTtreat", c."Year", c."totalGraminoids", c."totalForbs",
+                 c."totalBryophytes", c."vegetationHeight", c."mossHeight", c."Sp 9"
+          FROM (SELECT * FROM comp WHERE "Treatment" = 'C' AND "Year" NOT IN (2017, 2018)) c
+          RIGHT JOIN ttc t ON c."TTtreat" IS NOT DISTINCT FROM t."TTtreat" AND c."turfID" IS NOT DISTINCT FROM t."turfID"),
+t17a AS (SELECT DISTINCT c."siteID", c."blockID", c."Treatment", t."turfID", c."Year", c.recorder, c."totalGraminoids", c."totalForbs", c.acro, c.pleuro,
+                t."TTtreat", c."totalBryophytes", c."vegetationHeight", c."mossHeight", c.litter, c."Sp 9"
+         FROM (SELECT * FROM comp WHERE "Treatment" = 'C' AND "Year" = 2017) c
+         RIGHT JOIN ttc t ON c."TTtreat" IS NOT DISTINCT FROM t."TTtreat" AND c."turfID" IS NOT DISTINCT FROM t."turfID"),
+t17 AS (SELECT a."siteID", a."blockID", a."Treatment", coalesce(a."turfID", b."turfID") AS "turfID", a."Year", a.recorder, a."totalGraminoids",
+               a."totalForbs", a.acro, a.pleuro, b."TTtreat", b."totalBryophytes", b."vegetationHeight", b."mossHeight"
+        FROM t17a a FULL JOIN bryo b ON a."turfID" IS NOT DISTINCT FROM b."turfID"),
+m0 AS (SELECT * REPLACE (CASE WHEN length("blockID") IS NULL THEN NULL WHEN length("blockID") > 1 THEN regexp_replace("blockID", '[^0-9]', '', 'g')
+                              ELSE "blockID" END AS "blockID") FROM comp),
+m1 AS (SELECT {", ".join(f'coalesce(c."{c}", g."{c}") AS "{c}"' for c in k6)},
+              {", ".join(f'coalesce(g."{c}", c."{c}") AS "{c}"' for c in ["cover", "recorder", "totalBryophytes", "vegetationHeight", "mossHeight"])},
+              c."TTtreat", c."totalGraminoids", c."totalForbs", c.litter, c.acro, c.pleuro, c."Sp 9", c.presence
+       FROM m0 c FULL JOIN gr g ON {same("c", "g", k6)}),
+yrs AS (SELECT "turfID", "Year", row_number() OVER (PARTITION BY "turfID" ORDER BY "Year" NULLS LAST) AS s
+        FROM (SELECT DISTINCT "turfID", "Year" FROM m1)),
+miss AS (SELECT m1.*, yrs.s FROM m1 JOIN yrs ON {same("m1", "yrs", ["turfID", "Year"])} WHERE m1.cover IS NULL AND m1.presence IS NOT NULL),
+near AS (SELECT "turfID", species, s, count(*) AS n, sum(cover) AS total FROM (
+           SELECT m1."turfID", m1.species, m1.cover, yrs.s FROM m1 JOIN yrs ON {same("m1", "yrs", ["turfID", "Year"])} WHERE m1.cover IS NOT NULL) z GROUP BY 1, 2, 3),
+-- one row for each missing row and each known row one occasion before or after; exactly two make a mean
+mkeys AS (SELECT {", ".join(f'"{c}"' for c in k6)}, s, count(*) AS copies FROM miss GROUP BY ALL),
+adj AS (SELECT {", ".join(f'k."{c}"' for c in k6)}, sum(n.total) / sum(n.n) AS cover
+        FROM mkeys k JOIN near n ON {same("k", "n", ["turfID", "species"])} AND n.s IN (k.s - 1, k.s + 1)
+        GROUP BY {", ".join(f'k."{c}"' for c in k6)} HAVING max(k.copies) * sum(n.n) = 2),
+smean AS (SELECT "siteID", species, "Year", avg(cover) AS cover FROM m1 GROUP BY ALL),
+mmean AS (SELECT DISTINCT {", ".join(f'k."{c}"' for c in k6)}, s.cover
+          FROM m1 k LEFT JOIN smean s ON {same("k", "s", ["siteID", "species", "Year"])}
+          WHERE k."Treatment" <> 'XC' AND k.cover IS NULL AND k.presence IS NOT NULL),
+m2 AS (SELECT x.* EXCLUDE (presence) REPLACE (coalesce(mmean.cover, adj.cover, x.cover) AS cover)
+       FROM m1 x LEFT JOIN adj ON {same("x", "adj", k6)} LEFT JOIN mmean ON {same("x", "mmean", k6)}
+       WHERE coalesce(mmean.cover, adj.cover, x.cover) IS NOT NULL),
+r1 AS (SELECT x.* REPLACE ({patch("t", five)}) FROM m2 x LEFT JOIN t1516 t ON {same("x", "t", k)}),
+r2 AS (SELECT x.* EXCLUDE ("TTtreat") REPLACE ({patch("t", five)}) FROM r1 x LEFT JOIN t17 t ON {same("x", "t", k + ["recorder", "acro", "pleuro"])}),
+r3 AS (SELECT {", ".join(f'coalesce(x."{c}", f."{c}") AS "{c}"' for c in fcols)}, x.species, x.cover
+       FROM r2 x FULL JOIN fgbs f ON {same("x", "f", fcols)}),
+z1 AS (SELECT * REPLACE (CASE WHEN pleuro IS NOT NULL AND acro IS NULL THEN 0.0 ELSE acro END AS acro) FROM r3),
+z2 AS (SELECT * REPLACE (CASE WHEN acro IS NOT NULL AND pleuro IS NULL THEN 0.0 ELSE pleuro END AS pleuro) FROM z1),
+z3 AS (SELECT * REPLACE (CASE WHEN "totalBryophytes" IS NULL THEN pleuro + acro ELSE "totalBryophytes" END AS "totalBryophytes",
+         coalesce(substr("siteID", 1, 3), 'NA') || coalesce(CASE WHEN coalesce(contains("turfID", 'TTC'), false) THEN "turfID" ELSE substr("turfID", 4) END, 'NA') AS "turfID",
+         replace("Treatment", ' ', '') AS "Treatment", replace(species, ' ', '.') AS species) FROM z2),
+z4 AS (SELECT * REPLACE (CASE WHEN "turfID" = 'Gud12C' THEN '12' ELSE "blockID" END AS "blockID") FROM z3),
+f1 AS (SELECT * REPLACE (CASE WHEN "turfID" = 'Alr2XC' AND "Year" = 2016 AND species = 'Agr.cap'
+         THEN (SELECT CASE WHEN count(cover) = count(*) THEN sum(cover) END FROM z4 WHERE "turfID" = 'Alr2XC' AND "Year" = 2016 AND species = 'Agr.cap')
+         ELSE cover END AS cover) FROM z4),
+f2 AS (SELECT f1.*, CASE WHEN f1.species IN ('Jun.sp', 'Phl.sp', 'Luz.tri') THEN 'graminoid'
+         WHEN f1.species IN ('Ped.pal', 'Pop.tre', 'Ste.als', 'Ste.sp', 'Porub', 'Arenaria', 'Pilosella') THEN 'forb'
+         WHEN t.fg IN ('pteridophyte', 'woody') THEN 'forb' ELSE t.fg END AS "functionalGroup"
+       FROM f1 LEFT JOIN traits t ON f1.species IS NOT DISTINCT FROM t.species),
+f3 AS (SELECT *, CASE WHEN count(cover) OVER w = count(*) OVER w THEN sum(cover) OVER w END AS sumcover FROM f2
+       WINDOW w AS (PARTITION BY "turfID", "Year", "functionalGroup")),
+f4 AS (SELECT * REPLACE (
+         CASE "turfID" || ' ' || "Year" WHEN 'Alr3G 2017' THEN 8.6 WHEN 'Alr5F 2017' THEN 17.5 WHEN 'Alr5G 2017' THEN 17.5 WHEN 'Fau2F 2017' THEN 4.0
+           WHEN 'Alr1C 2017' THEN 15.0 WHEN 'Ulv2C 2017' THEN 0.0 WHEN 'Ovs1C 2017' THEN 21.0 ELSE "mossHeight" END AS "mossHeight",
+         CASE "turfID" || ' ' || "Year" WHEN 'Ulv3B 2017' THEN 44.5 WHEN 'Arh2FB 2017' THEN 127.5 WHEN 'Ovs1C 2017' THEN 76.85 ELSE "vegetationHeight" END AS "vegetationHeight",
+         CASE "turfID" || ' ' || "Year" WHEN 'Alr1F 2015' THEN 0.0 WHEN 'Alr1FGB 2015' THEN 0.0 WHEN 'Ovs1C 2015' THEN 100.0 WHEN 'Fau2C 2015' THEN 40.0
+           ELSE "totalBryophytes" END AS "totalBryophytes",
+         CASE "turfID" || ' ' || "Year" WHEN 'Fau2C 2015' THEN 65.0 WHEN 'Gud12C 2015' THEN 70.0 WHEN 'Vik2C 2015' THEN 60.0 ELSE "totalForbs" END AS "totalForbs",
+         CASE "turfID" || ' ' || "Year" WHEN 'Gud12C 2015' THEN 22.0 WHEN 'Vik2C 2015' THEN 30.0 ELSE "totalGraminoids" END AS "totalGraminoids") FROM f3),
+f5 AS (SELECT * REPLACE (
+         CASE WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Fau1C' THEN 70.0 WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Fau2C' THEN 60.0
+              WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Vik5C' THEN 45.0 ELSE "totalGraminoids" END AS "totalGraminoids",
+         CASE WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Fau1C' THEN 70.0 WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Fau2C' THEN 25.0
+              WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Vik5C' THEN 60.0 ELSE "totalForbs" END AS "totalForbs") FROM f4)
+SELECT DISTINCT CASE "siteID" WHEN 'Ulvhaugen' THEN 'Ulvehaugen' WHEN 'Skjellingahaugen' THEN 'Skjelingahaugen' WHEN 'Ovstedal' THEN 'Ovstedalen'
+         ELSE "siteID" END AS "siteID", "blockID", "Treatment", "turfID", "Year", "totalGraminoids" AS "graminoidCov", "totalForbs" AS "forbCov",
+       "totalBryophytes" AS "mossCov", "vegetationHeight", "mossHeight", litter, round(cover, 6) AS cover, species, "functionalGroup",
+       round(sumcover, 6) AS sumcover
+FROM f5"""
+
+
+# The whole chain: both stages above, side tables, merge, imputation, attribute
+# re-join, roll-up, strict sums and point corrections. Sums of scaled covers
+# are rounded, as their last bits depend on the order of the rows.
+@register("community_chain", _community_chain_sql())
 def community_chain(spark, sf):
     from . import community as CM
-    return CM.community(_community_inputs(spark, sf))
+    folder = staging_dir(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    out = CM.community(_community_inputs(spark, sf), folder)
+    return out.withColumns({c: F.round(c, 6) for c in ("cover", "sumcover")}).distinct()

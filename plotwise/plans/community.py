@@ -16,9 +16,9 @@ Stages (each a DataFrame -> DataFrame step, all lazy):
 4. ``finalize`` - targeted sums, functional-group roll-up, strict group
    sums, point corrections, distinct, site-name fixes.
 
-The composition frame and the pre-imputation frame are read several times;
-``materialize`` cuts their lineage (checkpoint in the shared checkpoint
-folder when one is configured).
+The bound sheets, the composition, the database rows, the pre-imputation frame
+and the re-joined frame are each read several times; with a ``staging`` folder
+(shared by all executors) they are written there as Parquet once.
 
 Column ranges of the sheets are given by their first/last names (the
 positions depend on each sheet's layout), so the same code runs on any
@@ -39,7 +39,7 @@ from ..operators import impute as I
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
-from ..session import materialize
+from ..session import stage
 from . import dictionaries as D
 from ..sources.inline import inline_table
 
@@ -185,10 +185,9 @@ def corrections_tables(inp: CommunityInputs) -> tuple[DataFrame, DataFrame]:
     return keyed, names
 
 
-def composition_long(inp: CommunityInputs, keep_sheets: str = "none") -> DataFrame:
-    """Sheets -> long cover table. ``keep_sheets`` is the ``materialize``
-    fallback for the bound sheets, which are read twice (the empty-column
-    count, then the reshaping) when no checkpoint folder is configured."""
+def composition_long(inp: CommunityInputs, staging: str | None = None) -> DataFrame:
+    """Sheets -> long cover table. The bound sheets are read twice (the
+    empty-column count, then the reshaping): ``staging`` keeps them."""
     lay = inp.layout
     sheets = list(inp.sheets)
     if inp.sheet_2018 is not None:
@@ -199,24 +198,27 @@ def composition_long(inp: CommunityInputs, keep_sheets: str = "none") -> DataFra
             + R.col_range(c, lay.totals_first, lay.totals_last) + ["litter", "acro", "pleuro"]
             + R.col_range(c, lay.species_first, lay.species_last_kept))
     c = c.select(*[F.col(f"`{x}`").alias("Year" if x == "year" else x) for x in keep])
-    c = R.drop_all_null_columns(materialize(c, fallback=keep_sheets))
+    c = R.drop_all_null_columns(stage(c, staging, "sheets"))
     if lay.species_first not in c.columns or lay.species_last_long not in c.columns:
         raise ValueError("species range endpoints must hold data in some sheet")
     long_cols = R.col_range(c, lay.species_first, lay.species_last_long)
     ids = [x for x in c.columns if x not in long_cols]
 
-    # presence: a species is present in a turf-year when some presence ('T')
-    # row holds a value for it. Decided on the wide rows (one per sheet row,
-    # not one per species) and joined to the cover ('%') rows before they are
+    # presence: every presence ('T') row that holds a value for a species in a
+    # turf-year matches the species' cover ('%') rows there, so a cover row is
+    # repeated that often. The marks are counted on the wide rows (one per sheet
+    # row, not one per species) and joined to the cover rows before they are
     # turned long, so the join moves 1/len(species) of the long data.
     keys = ["siteID", "Treatment", "turfID", "Year"]
     pres = (c.filter(F.col("subPlot") == "T").groupBy(*keys)
-            .agg(*[F.max(F.when(F.col(f"`{sp}`").isNotNull(), F.lit(1.0))).alias(f"__p{i}")
-                   for i, sp in enumerate(long_cols)]))
+            .agg(*[F.count(F.col(f"`{sp}`")).alias(f"__p{i}") for i, sp in enumerate(long_cols)]))
     c = J.join(c.filter(F.col("subPlot") == "%"), pres, keys, "left")
     cells = F.array(*[F.struct(F.lit(sp).alias("species"), F.col(f"`{sp}`").alias("cover"),
-                               F.col(f"__p{i}").alias("presence")) for i, sp in enumerate(long_cols)])
+                               F.coalesce(F.col(f"__p{i}"), F.lit(0)).cast("int").alias("__n"))
+                      for i, sp in enumerate(long_cols)])
     c = c.select(*[F.col(f"`{x}`") for x in ids], F.inline(cells))
+    c = c.withColumn("presence", F.when(F.col("__n") > 0, F.lit(1.0)))
+    c = c.withColumn("__n", F.explode(F.array_repeat(F.lit(1), F.greatest("__n", F.lit(1))))).drop("__n")
 
     c = c.withColumn("species", C.normalise_names("species"))
     nums = ["cover", "Year"] + [x for x in R.col_range(c, lay.totals_first, "pleuro") if x in lay.numeric]
@@ -273,15 +275,14 @@ def side_tables(comp: DataFrame, bryo: DataFrame) -> tuple[DataFrame, DataFrame,
     return fgbs, t1516, t17
 
 
-def merge_and_impute(comp: DataFrame, gr: DataFrame) -> DataFrame:
+def merge_and_impute(comp: DataFrame, gr: DataFrame, staging: str | None = None) -> DataFrame:
     comp = comp.withColumn("blockID", S.if_else_na(F.char_length("blockID") > 1,
                                                    F.regexp_replace("blockID", "[^0-9]", ""), F.col("blockID")))
-    # the database rows are restricted to the control-turf dictionary (bounded):
-    # broadcast them so the composition rows are not shuffled for the full join
+    # the database rows are few (one dictionary of turfs) but grow with years and
+    # species: no broadcast hint, Spark measures them
     c2 = J.patch_join(comp, gr, ["siteID", "blockID", "turfID", "Treatment", "Year", "species"],
-                      ["cover", "recorder", "totalBryophytes", "vegetationHeight", "mossHeight"], "full",
-                      broadcast=True)
-    c2 = materialize(c2)
+                      ["cover", "recorder", "totalBryophytes", "vegetationHeight", "mossHeight"], "full")
+    c2 = stage(c2, staging, "merged")
 
     idx = G.sampling_index(c2, "turfID", "Year")
     adj = I.adjacent_impute(c2, unit=["turfID"], item=["species"], period="Year", value="cover",
@@ -322,7 +323,8 @@ def rejoin_attributes(c2: DataFrame, t1516: DataFrame, t17: DataFrame, fgbs: Dat
 def finalize(c2: DataFrame, fg: DataFrame) -> DataFrame:
     spark = c2.sparkSession
     c2 = G.targeted_group_sum(c2, ["turfID", "Year", "species"], "cover",
-                              (F.col("turfID") == "Alr2XC") & (F.col("Year") == 2016) & (F.col("species") == "Agr.cap"))
+                              (F.col("turfID") == "Alr2XC") & (F.col("Year") == 2016) & (F.col("species") == "Agr.cap"),
+                              key_pred=True)
     c2 = C.class_rollup(c2, fg, "species", "species", "functionalGroup", "functionalGroup",
                         merge_patterns=GROUP_MERGE, key_overrides=GROUP_OVERRIDES)
     c2 = G.group_sum_strict(c2, ["turfID", "Year", "functionalGroup"], "cover", "sumcover")
@@ -340,12 +342,14 @@ def finalize(c2: DataFrame, fg: DataFrame) -> DataFrame:
     return out.withColumn("siteID", S.recode("siteID", D.SITE_NAME_FIXES))
 
 
-def community(inp: CommunityInputs) -> DataFrame:
-    gr = relational_covers(inp)
-    comp = materialize(composition_long(inp, keep_sheets="persist"))
+def community(inp: CommunityInputs, staging: str) -> DataFrame:
+    """The whole chain. ``staging``: a folder shared by all executors for the
+    frames that are read several times."""
+    gr = stage(relational_covers(inp), staging, "database")
+    comp = stage(composition_long(inp, staging), staging, "composition")
     fgbs, t1516, t17 = side_tables(comp, inp.bryophytes_2017)
-    c2 = merge_and_impute(comp, gr)
-    c2 = rejoin_attributes(c2, t1516, t17, fgbs)
+    c2 = merge_and_impute(comp, gr, staging)
+    c2 = stage(rejoin_attributes(c2, t1516, t17, fgbs), staging, "attributes")
     return finalize(c2, functional_groups(inp.character_traits))
 
 

@@ -27,7 +27,7 @@ SITE_CODES = [
     ("Ram", "RAM", "ram", "Rambera"),
 ]
 
-# --- fixed values: transplant-control turf -> funcab turf (TTtreat, turfID) -
+# --- fixed values: transplant-control turf -> removal-experiment turf (TTtreat, turfID) -
 TTC_TURF = [
     ("51 TTC", "Fau1C"), ("57 TTC", "Fau2C"), ("68 TTC", "Fau4C"), ("73 TTC", "Fau5C"),
     ("29 TTC", "Alr1C"), ("31 TTC", "Alr2C"), ("37 TTC", "Alr3C"),

@@ -15,6 +15,7 @@ from ..functions import temporal as TM
 from ..operators import grouped as G
 from ..operators import joins as J
 from ..operators import reshape as R
+from . import biomass
 from . import dictionaries as D
 
 OUT = ["date", "siteID", "blockID", "plotID", "treatment", "soilmoisture", "weather", "recorder", "turfID"]
@@ -50,8 +51,7 @@ def sm_2015_16(raw: DataFrame) -> DataFrame:
 
 def sm_2017(raw: DataFrame) -> DataFrame:
     m = ["Measurement1", "Measurement2", "Measurement3", "Measurement4"]
-    d = raw.withColumn("Date", S.if_else_na(S.detect_fixed("Date", "."), TM.parse_date("Date", "d.M.yyyy"),
-                                            TM.from_serial_day("Date")))
+    d = raw.withColumn("Date", TM.mixed_date("Date"))
     d = d.withColumnRenamed("Turf ID", "turfID")
     d = _drop_turfs(d, "turfID", _EXCLUDE_TURFS)
     d = d.withColumns({c: S.to_num(c) for c in m})
@@ -111,6 +111,11 @@ def sm_2018(raw: DataFrame, corrected: bool = False) -> DataFrame:
                     F.col("Weather").alias("weather"), F.col("Recorder").alias("recorder"), "turfID")
 
 
+def with_climate(clean: DataFrame) -> DataFrame:
+    """Zone, precipitation level and ordered climate label of each reading's site."""
+    return biomass.with_climate(clean)
+
+
 def soil_moisture(raw1516: DataFrame, raw2017: DataFrame, raw2018: DataFrame) -> DataFrame:
     """Union by name: dates (2015-2017) and date-times (2018) become
     date-times; 2018 rows have no plotID."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plotwise job expects. AQE re-plans joins from runtime sizes
@@ -53,6 +53,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def staging_dir(spark: SparkSession) -> str | None:
+    """A folder for :func:`stage`: the shared checkpoint folder where one is
+    named; with a local master (tests, single machine) else a temporary
+    folder; None on a cluster that names none."""
+    d = checkpoint_dir(spark)
+    if d:
+        return d.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        return None
+    return "file://" + tempfile.mkdtemp(prefix="plotwise-staging-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     try:
@@ -67,26 +79,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the configured checkpoint folder; set ``fallback`` only when unset (tests)."""
-    d = checkpoint_dir(spark)
-    if d:
-        return d
-    os.makedirs(fallback, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
-
-
-def materialize(df: DataFrame, fallback: str = "persist") -> DataFrame:
-    """Cut lineage of a frame that is read several times.
-
-    With a shared checkpoint folder the frame is written there (survives
-    executor loss without recomputation). Without one, ``fallback`` decides:
-    ``"persist"`` keeps it in memory/disk (Spark recomputes lost blocks from
-    lineage), ``"none"`` leaves the plan as is (each reader recomputes it).
+def stage(df: DataFrame, folder: str | None, name: str) -> DataFrame:
+    """Cut the lineage of a frame that is read several times: write it as
+    Parquet under ``folder`` (shared by all executors) and read it back, so
+    later readers prune columns, see statistics and survive a lost executor.
+    ``folder=None`` leaves the plan as it is (every reader recomputes it).
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    if fallback == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -69,9 +69,15 @@ def read_sheets(spark: SparkSession, directory: str, schema: T.StructType, fmt:
     return df
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Comma-separated file with header and inferred types (one extra pass
-    over the input; prefer a declared schema for large inputs)."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",",
+             infer: bool = False) -> DataFrame:
+    """Delimited file with header; the text ``NA`` is missing. A schema is
+    required; ``infer=True`` instead reads the input twice to find the types
+    and is meant for small files of unknown layout."""
+    if schema is None and not infer:
+        raise ValueError("pass a schema, or infer=True for small files")
+    if schema is not None:
+        return read_delim_typed(spark, path, schema, sep=sep, blank_text=False)
     df = spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
     return df.select([S.na_text_to_null(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`")
                       for c, t in df.dtypes])

@@ -21,13 +21,15 @@ from ..operators import flux as FX
 def measurement_fluxes(readings: DataFrame, windows: DataFrame, ts: str = "ts", conc: str = "conc",
                        start: str = "start", end: str = "end", key: str = "measurement_id",
                        lateness: str = "2 minutes", bucket_seconds: int = 60,
-                       temp_k: float = 293.15) -> DataFrame:
+                       temp_k: float = 293.15, logger: str | None = None) -> DataFrame:
     """Streaming (or batch) per-measurement slope and flux.
 
     ``readings`` may be a streaming DataFrame; ``windows`` is static.
+    ``logger`` names the column (in both) that tells loggers apart.
     """
-    m = FX.match_windows(readings.select(ts, conc), windows.select(key, start, end), ts, start, end,
-                         bucket_seconds=bucket_seconds)
+    by = [logger] if logger else []
+    m = FX.match_windows(readings.select(ts, conc, *by), windows.select(key, start, end, *by), ts, start, end,
+                         bucket_seconds=bucket_seconds, extra_keys=by)
     m = m.withColumn("__x", FX.elapsed_seconds(ts, start)).withWatermark(end, lateness)
     x, y = F.col("__x"), F.col(conc)
     g = m.groupBy(key, start, end).agg(

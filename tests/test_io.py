@@ -47,6 +47,6 @@ def test_read_sheets_and_write_csv_na(spark):
 
 def test_read_csv_inferred(spark):
     p = _write("a,b,c\n1,x,2.5\n2,NA,\n")
-    df = io.read_csv_inferred(spark, p)
+    df = io.read_csv(spark, p, infer=True)
     assert dict(df.dtypes) == {"a": "int", "b": "string", "c": "double"}
     assert [tuple(r) for r in df.collect()] == [(1, "x", 2.5), (2, None, None)]

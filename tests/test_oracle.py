@@ -21,22 +21,15 @@ def con():
     return CO.duck(SF)
 
 
-# registered without SQL: composites whose stages each have an oracle
-ROWS_ONLY = {"community_chain"}
 NAMES = set(catalog.QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert NAMES - ROWS_ONLY == set(catalog.ORACLE)
+    assert NAMES == set(catalog.ORACLE)
     assert NAMES <= set(E.queries())
 
 
-def test_rows_only_queries_run(spark):
-    df = E.queries()["community_chain"](spark, SF)
-    assert df.count() > 0 and "sumcover" in df.columns
-
-
-@pytest.mark.parametrize("name", sorted(NAMES - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(NAMES))
 def test_query_matches_oracle(spark, con, name):
     sp = CO.spark_pandas(E.queries()[name](spark, SF))
     dk = con.execute(E.oracle_sql()[name]).df()
