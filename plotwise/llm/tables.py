@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +43,38 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(*staged: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in staged:
+        context = df.sparkSession.sparkContext
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+#: Most words of a sieve (16 bytes each, so a broadcast of 4 MB at most).
+SIEVE_WORDS = 1 << 18
+
+
+def sift(df: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Splits ``df`` into rows whose ``column`` may be among ``ids`` (one column, staged) and rows whose
+    isn't, by a bitmap of hashes. The bitmap has a fixed largest size, so it may be broadcast; when there are more
+    ids than it can tell apart, more rows count as possible. Only these need the exact join, so only they
+    are shuffled."""
+    name = ids.columns[0]
+    n = min(SIEVE_WORDS, max(64, ids.count()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(n))
+    bit = lambda c: F.shiftrightunsigned(F.xxhash64(c, F.lit(1)), 58).cast("int")
+    mask = F.expr("shiftleft(1L, _bit)")
+    word, bits, own = fresh(df, "_word", "_bits", "_bit")
+    sieve = (ids.select(slot(F.col(name).cast("long")).alias(word), bit(F.col(name).cast("long")).alias("_bit"))
+             .groupBy(word).agg(F.bit_or(mask).alias(bits)))
+    id_ = F.col(column).cast("long")
+    hit = F.coalesce(F.expr(f"getbit(`{bits}`, `{own}`)") == 1, F.lit(False)) & id_.isNotNull()
+    tried = df.withColumn(own, bit(id_)).join(F.broadcast(sieve), slot(id_) == F.col(word), "left")
+    return tried.filter(hit).select(*[df[c] for c in df.columns]), tried.filter(~hit).select(*[df[c] for c in df.columns])
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names for internal use that don't clash with those of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -31,16 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plotwise.llm.tables import new_path
+from plotwise.llm.tables import new_path, unstage
 from plotwise.llm.text import buffer, mix, prefix_hashes, slices, span_hashes
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Splitting pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
-SEQUENCE = 2048
+SEQUENCE = 4096
 #: Slots of a shard (64 MB at two bytes a token).
-SHARD_SLOTS = 16_384
+SHARD_SLOTS = 8_192
 KEY = "order-1"
 ROUNDS = 6
 CACHE_PIECES = 500_000
@@ -245,7 +245,7 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VO
     kind = "docs array<struct<doc_id:bigint,token:bigint,at:int,n:int>>"
     staged = new_path(spark, "sequences")
     packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_pack_rows(vocabulary, sequence, end), f"n_tokens int, packed binary, {kind}")
-    packed.write.option("compression", "lz4").parquet(staged)
+    packed.write.option("compression", "zstd").parquet(staged)
     sequences = spark.read.schema(packed.schema).parquet(staged)
     named = sequences.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     # one row per staged file
@@ -267,6 +267,7 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VO
                .mapInArrow(_write_rows(folder), f"slot long, shard long, byte_offset long, n_tokens int, crc32 long, {kind}"))
     index = f"{folder}/index"
     written.write.option("compression", "zstd").parquet(index)
+    unstage(sequences)
     return spark.read.schema(written.schema).parquet(index)
 
 
