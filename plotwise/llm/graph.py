@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.tables import stage
+from plotwise.llm.tables import stage, unstage
 
 
 def _min_of(edges: DataFrame) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(_min_of(large), "u")
                  .select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())
-        now = stage(small, "edges")
+        last, now = now, stage(small, "edges")
+        unstage(last)
         new = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if new == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

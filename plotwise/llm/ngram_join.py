@@ -12,7 +12,7 @@ similarity reaches the threshold.
   set is moved. Lists are gathered under the smallest document of the element (the pivot); the members'
   whole sets meet there and are intersected exactly.
 
-A group of more than ``BLOCK`` members is cut into blocks, and each pair of blocks is a task of its own
+A group of more than ``BLOCK`` members (or ``ELEMENTS`` elements) is cut into blocks, and each pair of blocks is a task of its own
 (which also sees its pivot block's unions), so no task's memory grows with a group. A task returns a
 spanning forest of its links, fewer edges than members; links within a task that join nothing new are
 not emitted, so components are exact and rows stay linear.
@@ -38,13 +38,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plotwise.llm.graph import components
-from plotwise.llm.tables import stage
+from plotwise.llm.tables import fresh, sift, stage, unstage
 from plotwise.llm.text import buffer, distinct, mix, shingles, slices
 
 #: Part of the hash range whose elements are counted and come first in the order.
 COUNTED = 0.25
-#: Members of a group that meet in one task.
-BLOCK = 2000
+#: Members of a block, and elements of its sets all together: what meets in one task is two blocks at most.
+BLOCK, ELEMENTS = 1000, 400_000
 #: What a set of n elements costs on the inverted lists, in rows per element.
 LIST_COST = 4
 
@@ -138,7 +138,7 @@ def _light_edges(classes: DataFrame, percent: int, light: int) -> DataFrame:
 
 
 def _prefix_lists(classes: DataFrame, percent: int, least: int) -> DataFrame:
-    """(pivot, doc): every heavy set under the pivots of its shared prefix elements."""
+    """(pivot, doc, n): every heavy set under the pivots of its shared prefix elements."""
     limit = int(COUNTED * 2**63)
     heavy = classes.filter(F.col("n") >= least)
     prefix = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
@@ -154,7 +154,7 @@ def _prefix_lists(classes: DataFrame, percent: int, least: int) -> DataFrame:
     rank = F.row_number().over(each.orderBy("outside", "df", "key"))
     # elements outside the counted range were cut to the prefix when they were listed
     return (found.withColumn("rank", unique + rank).filter((F.col("outside") == 1) | (F.col("rank") <= F.col("p")))
-            .select("pivot", "doc").distinct())
+            .select("pivot", "doc", "n").distinct())
 
 
 def _group_edges(percent: int):
@@ -204,9 +204,9 @@ def _group_edges(percent: int):
 
 
 def _heavy_edges(docs: DataFrame, classes: DataFrame, n_words: int, percent: int, light: int, block: int) -> DataFrame:
-    lists = stage(_prefix_lists(classes, percent, need(light + 1, percent)), "lists")
-    sizes = lists.groupBy("pivot").agg(F.count("*").alias("m")).filter("m > 1")
-    blocks = F.ceil(F.col("m") / block).cast("int")
+    lists = stage(_prefix_lists(classes, percent, need(light + 1, percent)), "lists")  # small: ids only
+    sizes = lists.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
+    blocks = F.ceil(F.greatest(F.col("m") / block, F.col("total") / ELEMENTS)).cast("int")
     mine = F.pmod(F.xxhash64("doc", "pivot"), F.col("blocks").cast("long")).cast("int")
     # block i meets every block j: a member goes to the tasks (min(i, j), max(i, j)) of its group
     tasks = (lists.join(sizes, "pivot").withColumn("blocks", blocks).withColumn("i", mine)
@@ -219,15 +219,21 @@ def _heavy_edges(docs: DataFrame, classes: DataFrame, n_words: int, percent: int
             key, _, off = _keys(b, n_words)
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(np.diff(off), pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(key.astype(np.int64)))], ["doc", "n", "elems"])
 
-    wanted = tasks.select("doc").distinct()
-    whole = (docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")
-             .mapInArrow(sets, "doc long, n long, elems array<long>"))
+    # only texts that meet others are moved
+    wanted = stage(tasks.select("doc").distinct(), "wanted")
+    may, _ = sift(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), "doc", wanted)
+    whole = may.join(wanted, "doc", "left_semi").mapInArrow(sets, "doc long, n long, elems array<long>")
     return tasks.join(whole, "doc").groupBy("pivot", "i", "j").applyInPandas(_group_edges(percent), "x long, y long")
 
 
 def link(docs: DataFrame, n_words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``; the component is the smallest
     doc_id that links reach."""
+    return _linked(docs, n_words, percent, block)[-1]
+
+
+def _linked(docs: DataFrame, n_words: int, percent: int, block: int) -> tuple[DataFrame, ...]:
+    """The staged tables that the result reads, and the result."""
     light = light_boundary(percent)
     sets = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                  .mapInArrow(_set_rows(n_words, percent, light), "doc_id long, n long, h1 long, h2 long, n_counted int, elems array<long>"), "sets")
@@ -240,22 +246,25 @@ def link(docs: DataFrame, n_words: int = 4, percent: int = 85, block: int = BLOC
     same = owned.join(owned.groupBy("doc_id").agg(F.min("doc").alias("y")), "doc_id").select(F.col("doc").alias("x"), "y")
     found = components(edges.unionByName(same))
     labels = classes.select("n", "h1", "h2", "doc").join(found, F.col("doc") == F.col("node"), "left").select("n", "h1", "h2", F.coalesce("component", "doc").alias("c"))
-    return (sets.select("doc_id", "n", "h1", "h2").join(labels, ["n", "h1", "h2"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id")))
+    return sets, classes, found, (
+        sets.select("doc_id", "n", "h1", "h2").join(labels, ["n", "h1", "h2"], "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, n_words: int = 4, percent: int = 85) -> DataFrame:
     """``docs`` with one row for each group of linked texts (its smallest doc_id; one of repeated rows);
     texts without words and rows without an id all stay. Same columns."""
-    found = stage(link(docs, n_words, percent), "links")
+    sets, classes, parts, linked = _linked(docs, n_words, percent, BLOCK)
+    found = stage(linked, "links")
+    unstage(sets, classes, parts)
     # one row per id to be dropped or, for repeated ids, kept once
     state = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("k"))
-    gone = state.filter("c <> doc_id").select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    again = state.filter("c = doc_id and k > 1").select(F.col("doc_id").alias("_again"))
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, kept["doc_id"] == F.col("_again"), "left_semi")
-    order = W.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
-    return (kept.join(again, kept["doc_id"] == F.col("_again"), "left_anti")
-            .unionByName(once.withColumn("_row", F.row_number().over(order)).filter("_row = 1").drop("_row")))
+    key, drop, number = fresh(docs, "_id", "_drop", "_row")
+    touched = stage(state.filter("c <> doc_id or k > 1").select(F.col("doc_id").alias(key), (F.col("c") != F.col("doc_id")).alias(drop)), "touched")
+    # only rows that may be dropped or repeated are moved
+    may, clean = sift(docs, "doc_id", touched.select(key))
+    found = may.join(touched, F.col("doc_id").cast("long") == F.col(key), "left").filter(~F.coalesce(drop, F.lit(False)))
+    # a repeated id has a key and keeps its first row; a row without a key only shares the sieve
+    order = W.partitionBy(key, "doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    found = found.withColumn(number, F.row_number().over(order)).filter(F.col(key).isNull() | (F.col(number) == 1))
+    return clean.unionByName(found.select(*docs.columns))
