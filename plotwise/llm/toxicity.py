@@ -33,7 +33,8 @@ from plotwise.llm.text import slices
 MAX_TRAIN = 20_000
 #: Most terms of the learned lexicon.
 MAX_TERMS = 2_000
-#: Least log odds of a lexicon term.
+#: Least part of the toxic training documents that hold a lexicon term, and its least log odds.
+MIN_SHARE = 0.02
 MIN_ODDS = 4.0
 THRESHOLD = 0.3
 PRIOR = 0.05
@@ -251,6 +252,21 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v[1] for v in sums.values()], pa.int64()), pa.array([v[0] for v in sums.values()], pa.int64())], ["term", "pos", "neg"])
 
 
+def prune(terms: dict[str, tuple[int, float]]) -> dict[str, float]:
+    """Weights of the terms that a shorter beginning doesn't stand for: of beginnings the shortest stay, and a word
+    stays beside its beginning if it makes up half of that beginning's documents (its misspellings count then)."""
+    def shorter(term):
+        text = term.rstrip("*")
+        return next((f"{text[:k]}*" for k in range(1, len(text) + (term != text) * -1 + 1) if f"{text[:k]}*" in terms), None)
+
+    out = {}
+    for term, (pos, odds) in terms.items():
+        by = shorter(term)
+        if by is None or by == term or (not term.endswith("*") and pos >= 0.5 * terms[by][0]):
+            out[term] = odds
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
     """Learns lexicon and model from the labelled rows outside the held-out fold."""
     ids = (labels.select(F.col("doc_id").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -267,9 +283,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_te
         return Model()
     p, n = float(totals["p"]), float(totals["n"] - totals["p"])
     odds = F.log((F.col("pos") + 0.1) / (p + 0.2)) - F.log((F.col("neg") + 0.1) / (n + 0.2))
-    best = (counts.filter(F.col("pos") >= 3).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
+    best = (counts.filter(F.col("pos") >= max(3, MIN_SHARE * p)).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
             .orderBy(F.desc("pos"), F.desc("odds"), "term").limit(max_terms).collect())  # at most max_terms rows
-    model = Model({r["term"]: min(float(r["odds"]), 8.0) for r in best})
+    model = Model(prune({r["term"]: (int(r["pos"]), min(float(r["odds"]), 8.0)) for r in best}))
 
     def rows(batches):
         scorer = Scorer(model)
