@@ -17,6 +17,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,8 +34,8 @@ from plotwise.llm.text import slices
 MAX_TRAIN = 20_000
 #: Most terms of the learned lexicon.
 MAX_TERMS = 2_000
-#: Least part of the toxic training documents that hold a lexicon term, and its least log odds.
-MIN_SHARE = 0.02
+#: Least number of toxic training documents that hold a lexicon term, and its least log odds.
+MIN_DOCS = 3
 MIN_ODDS = 4.0
 THRESHOLD = 0.3
 PRIOR = 0.05
@@ -231,6 +232,18 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The process's scorer of ``model``: tasks that follow each other share its words and states."""
+    key = hashlib.sha256(repr((sorted(model.terms.items()), model.weights, model.prior)).encode()).hexdigest()
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(model)
+    return _scorers[key]
+
+
 def held_out(doc_id):
     """crc32 of the id's text, mod 4, is 2 (a null id: held out, it never trains)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(True))
@@ -252,19 +265,13 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v[1] for v in sums.values()], pa.int64()), pa.array([v[0] for v in sums.values()], pa.int64())], ["term", "pos", "neg"])
 
 
-def prune(terms: dict[str, tuple[int, float]]) -> dict[str, float]:
-    """Weights of the terms that a shorter beginning doesn't stand for: of beginnings the shortest stay, and a word
-    stays beside its beginning if it makes up half of that beginning's documents (its misspellings count then)."""
-    def shorter(term):
-        text = term.rstrip("*")
-        return next((f"{text[:k]}*" for k in range(1, len(text) + (term != text) * -1 + 1) if f"{text[:k]}*" in terms), None)
+def prune(terms: dict[str, float]) -> dict[str, float]:
+    """``terms`` without the beginnings that change no match: those with a shorter beginning of at least their weight.
+    Every word stays, so its misspellings count."""
+    def idle(term):
+        return term.endswith("*") and any(terms.get(f"{term[:k]}*", -1.0) >= terms[term] for k in range(1, len(term) - 1))
 
-    out = {}
-    for term, (pos, odds) in terms.items():
-        by = shorter(term)
-        if by is None or by == term or (not term.endswith("*") and pos >= 0.5 * terms[by][0]):
-            out[term] = odds
-    return out
+    return {t: w for t, w in terms.items() if not idle(t)}
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
@@ -283,12 +290,12 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_te
         return Model()
     p, n = float(totals["p"]), float(totals["n"] - totals["p"])
     odds = F.log((F.col("pos") + 0.1) / (p + 0.2)) - F.log((F.col("neg") + 0.1) / (n + 0.2))
-    best = (counts.filter(F.col("pos") >= max(3, MIN_SHARE * p)).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
+    best = (counts.filter(F.col("pos") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
             .orderBy(F.desc("pos"), F.desc("odds"), "term").limit(max_terms).collect())  # at most max_terms rows
-    model = Model(prune({r["term"]: (int(r["pos"]), min(float(r["odds"]), 8.0)) for r in best}))
+    model = Model(prune({r["term"]: min(float(r["odds"]), 8.0) for r in best}))
 
     def rows(batches):
-        scorer = Scorer(model)
+        scorer = _scorer(model)
         for b in slices(batches):
             x = [scorer.features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column("toxic").cast(pa.int32())], ["x", "toxic"])
@@ -333,7 +340,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tup
     kept = [given.schema[c] for c in keep]
 
     def rows(batches):
-        scorer = Scorer(model)
+        scorer = _scorer(model)
         for b in slices(batches):
             s = [scorer.score(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(s, pa.float64()), pa.array([int(v >= threshold) for v in s], pa.int32())], [*keep, "score", "predicted"])
@@ -345,7 +352,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tup
 def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows whose text the model rejects; same columns."""
     def rows(batches):
-        scorer = Scorer(model)
+        scorer = _scorer(model)
         for b in slices(batches):
             yield b.filter(pa.array([scorer.score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 

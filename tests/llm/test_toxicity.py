@@ -94,3 +94,31 @@ def test_nulls_empties_and_no_labels(documents, spark):
     assert T.reject(docs, model).count() == 4 and T.score(docs.limit(0), model).count() == 0
     m = T.Model({"idiot": 4.0}, [2.0] * T.N_FEATURES + [-3.0])
     assert sorted((r.doc_id or 0) for r in T.reject(docs, m).collect()) == [1, 2, 2]
+
+
+def test_rare_terms_and_words_beside_their_beginning_stay_in_the_lexicon(documents, spark):
+    rows, labels, rare = [], [], 0
+    for i in range(4000):
+        toxic = int(i % 5 == 0)
+        text = "one two three"
+        if toxic:
+            text = ["one bloomtwit two", "one bloomtwit two", "one blockhead two"][i // 5 % 3]
+            trains = zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(f"half{i}".encode()) % 2 == 0
+            if trains and rare < 3:
+                text, rare = text + " zuckwit", rare + 1
+        rows.append((i, text))
+        labels.append((i, 1, toxic))
+    terms = T.learn(documents(*rows), spark.createDataFrame(labels, LABELS)).terms
+    assert {"zuckwit", "blockhead", "bloomtwit", "blo*"} <= set(terms)
+    assert T.TrieAutomaton(terms).match("blxckhead")[0] == 2
+
+
+def test_beginnings_left_out_change_no_match():
+    rng = random.Random(3)
+    for _ in range(50):
+        words = ["".join(rng.choice("ab") for _ in range(rng.randint(3, 8))) for _ in range(12)]
+        terms = {w if rng.random() < 0.4 else f"{w[: rng.randint(3, 6)]}*": float(rng.randint(1, 4)) for w in words}
+        a, b = T.TrieAutomaton(terms), T.TrieAutomaton(T.prune(terms))
+        for _ in range(60):
+            w = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+            assert a.match(w) == b.match(w)
