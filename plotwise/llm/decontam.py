@@ -1,6 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are lower-cased runs of letters, digits and non-ASCII bytes. The document frequency of every benchmark
+Words are lower-cased (A-Z) runs of letters, digits and marks of any script; in scripts without blanks between words
+(Chinese, Japanese, Thai and others) every character is a word. The document frequency of every benchmark
 n-gram is counted over all documents; the rarer part of each item's n-grams are its seeds (always that part of
 them, so an item that leaks often keeps its seeds). Documents are searched for seeds; where two or more seeds of an
 item stand near each other, the stretch around them is aligned with the item (match +2, mismatch and
@@ -10,8 +11,8 @@ interrupted copies score in proportion; from ``MIN_SCORE`` on a document is cont
 The benchmark is handled in blocks of bounded size, one after the other; a block's seeds go to the tasks as a
 broadcast of at most ``BLOCK_BYTES`` of text. Documents are only scanned, never shuffled.
 
-Defined results: null and empty texts on either side match nothing; items of fewer than ``MIN_WORDS`` words
-are not searched for (too short to tell a copy from a common phrase); repeated items and documents give a row
+Defined results: null and empty texts on either side match nothing, nor do texts without a word; items of fewer than
+``MIN_WORDS`` words match exactly, as a whole word sequence, with score 1 and one seed (its first place counts); repeated items and documents give a row
 each; null ids pass through; extra columns are ignored; an empty benchmark contaminates nothing.
 """
 
@@ -21,15 +22,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, prefix_hashes, shingles, slices, span_hashes, word_spans
+from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, prefix_hashes, slices, span_hashes, word_spans
 
-#: Words of a seed; the part of an item's n-grams that are seeds; the fewest words of an item.
+#: Words of a seed; the part of an item's n-grams that are seeds; the fewest words of an item that is aligned.
 SEED_WORDS, SEED_PART, MIN_WORDS = 3, 0.7, 8
 MIN_SCORE = 0.4
 BLOCK_BYTES = 4 << 20
@@ -44,13 +46,63 @@ class Block:
     first: np.ndarray  # of each hash, its place in item/at
     item: np.ndarray
     at: np.ndarray
+    short: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # words, hashes, first place in and items, of items matched exactly
 
 
-def words_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and the n+1 word offsets of the rows."""
+#: Scripts without blanks between words, by first and last code point.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F),
+            (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA48F), (0xA980, 0xA9DF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B2FF), (0x20000, 0x323AF))
+_kinds = np.zeros(0, np.uint8)
+
+
+def kinds() -> np.ndarray:
+    """Of every code point: 0 separates words, 1 is part of a word, 2 is a word of its own."""
+    global _kinds
+    if not len(_kinds):
+        made = np.array([category(chr(c))[0] in "LNM" for c in range(0x323B0)] + [False], np.uint8)
+        for a, b in UNSPACED:
+            made[a : b + 1] *= 2
+        _kinds = made
+    return _kinds
+
+
+def token_spans(low: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word of lower-cased texts."""
+    lead = np.flatnonzero(low >= 0xC0)
+    if not len(lead):
+        return word_spans(low, off, ALNUM)
+    b, more = low[lead].astype(np.int64), [np.append(low, [0, 0, 0])[lead + i].astype(np.int64) & 0x3F for i in (1, 2, 3)]
+    size = 2 + (b >= 0xE0) + (b >= 0xF0)
+    two, three = (b & 0x1F) << 6 | more[0], (b & 0x0F) << 12 | more[0] << 6 | more[1]
+    point = np.where(size == 2, two, np.where(size == 3, three, (b & 0x07) << 18 | more[0] << 12 | more[1] << 6 | more[2]))
+    kind = kinds()[np.minimum(point, len(kinds()) - 1)]
+    inside = ALNUM[low]
+    for i in range(4):
+        inside[lead[(kind == 0) & (size > i)] + i] = False
+    edge = np.zeros(len(low) + 1, bool)
+    edge[off] = True
+    edge[lead[kind == 2]] = edge[(lead + size)[kind == 2]] = True
+    start = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
+    end = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
+    return start, end, np.searchsorted(off, start, "right") - 1
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, their rows, and the n+1 word offsets of the rows."""
+    buf, off = buffer(texts)
     low = LOWER[buf]
-    s, e, row = word_spans(low, off, ALNUM)
-    return mix(span_hashes(prefix_hashes(low), s, e)), np.searchsorted(row, np.arange(len(off)))
+    s, e, row = token_spans(low, off)
+    return mix(span_hashes(prefix_hashes(low), s, e)), row, np.searchsorted(row, np.arange(len(off)))
+
+
+def grams(w: np.ndarray, row: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, row and first word (number within its row) of every run of ``n`` words."""
+    size = max(0, len(w) - n + 1)
+    h = np.zeros(size, np.uint64)
+    for i in range(n):
+        h = (h + w[i : size + i]) * np.uint64(0xD6E8FEB86659FD93)
+    full = row[:size] == row[len(row) - size :]
+    return mix(h)[full], row[:size][full], (np.arange(size) - edges[row[:size]])[full]
 
 
 def align(item: np.ndarray, text: np.ndarray) -> float:
@@ -67,15 +119,15 @@ def align(item: np.ndarray, text: np.ndarray) -> float:
     return float(best.max()) / (2 * len(item))
 
 
-def _gram_counts(grams: np.ndarray):
+def _gram_counts(known: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(grams), np.int64)
+        total = np.zeros(len(known), np.int64)
         for b in slices(batches):
-            h, row, _ = shingles(*buffer(b.column("text")), SEED_WORDS, ALNUM, short=False)
-            k = np.minimum(np.searchsorted(grams, h), len(grams) - 1)
-            hit = grams[k] == h
+            h, row, _ = grams(*words_of(b.column("text")), SEED_WORDS)
+            k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[k] == h
             k, _ = distinct(k[hit].astype(np.uint64), row[hit])
-            total += np.bincount(k.astype(np.int64), minlength=len(grams))
+            total += np.bincount(k.astype(np.int64), minlength=len(known))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "n"])
 
@@ -84,42 +136,60 @@ def _gram_counts(grams: np.ndarray):
 
 def make_block(docs: DataFrame, rows: list) -> Block | None:
     """Seeds of a block's items, chosen by document frequency over all documents."""
-    texts = pa.array([r["text"] for r in rows], pa.string())
-    buf, off = buffer(texts)
-    words, edges = words_of(buf, off)
-    h, row, at = shingles(buf, off, SEED_WORDS, ALNUM, short=False)
-    long_enough = np.diff(edges)[row] >= MIN_WORDS if len(row) else np.zeros(0, bool)
+    words, own, edges = words_of(pa.array([r["text"] for r in rows], pa.string()))
+    n_words = np.diff(edges)
+    short = []
+    for n in range(1, MIN_WORDS):
+        h, row, _ = grams(words, own, edges, n)
+        h, row = h[n_words[row] == n], row[n_words[row] == n]
+        if len(h):
+            order = np.lexsort((row, h))
+            hashes, first = np.unique(h[order], return_index=True)
+            short.append((n, hashes, np.concatenate([first, [len(order)]]), row[order]))
+    h, row, at = grams(words, own, edges, SEED_WORDS)
+    long_enough = n_words[row] >= MIN_WORDS
     h, row, at = h[long_enough], row[long_enough], at[long_enough]
+    ids, split = [r["item_id"] for r in rows], [words[edges[i] : edges[i + 1]] for i in range(len(rows))]
     if not len(h):
-        return None
-    grams = np.unique(h)
-    counts = np.zeros(len(grams), np.int64)
+        return Block(ids, split, h, np.zeros(1, np.int64), row, at, short) if short else None
+    known = np.unique(h)
+    counts = np.zeros(len(known), np.int64)
     # one row per n-gram of the block
-    for r in docs.select("text").mapInArrow(_gram_counts(grams), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select("text").mapInArrow(_gram_counts(known), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
         counts[r["gram"]] = r["n"]
-    df = counts[np.searchsorted(grams, h)]
+    df = counts[np.searchsorted(known, h)]
     order = np.lexsort((h, df, row))
     rank = np.arange(len(order)) - np.searchsorted(row[order], row[order])
     size = np.bincount(row, minlength=len(rows))[row[order]]
     order = order[rank < np.ceil(SEED_PART * size)]
     order = order[np.lexsort((at[order], row[order], h[order]))]
     hashes, first = np.unique(h[order], return_index=True)
-    return Block([r["item_id"] for r in rows], [words[edges[i] : edges[i + 1]] for i in range(len(rows))], hashes, np.concatenate([first, [len(order)]]), row[order], at[order])
+    return Block(ids, split, hashes, np.concatenate([first, [len(order)]]), row[order], at[order], short)
 
 
 def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[int, int, float, int, int]]:
     """(row, item, score, first word, seeds) of every contaminated (row, item) of a slice, best stretch each."""
-    buf, off = buffer(texts)
-    h, row, place = shingles(buf, off, SEED_WORDS, ALNUM, short=False)
+    words, own, edges = words_of(texts)
+    for n, hashes, first, item in block.short:
+        h, row, place = grams(words, own, edges, n)
+        k = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        hit = np.flatnonzero(hashes[k] == h)
+        _, one = np.unique(np.column_stack([row[hit], k[hit]]), axis=0, return_index=True)  # the first place in each row
+        for j in hit[one].tolist():
+            for i in item[first[k[j]] : first[k[j] + 1]].tolist():
+                yield int(row[j]), i, 1.0, int(place[j]), 1
+    if not len(block.hashes):
+        return
+    h, row, place = grams(words, own, edges, SEED_WORDS)
     k = np.minimum(np.searchsorted(block.hashes, h), len(block.hashes) - 1)
-    hit = block.hashes[k] == h if len(h) else np.zeros(0, bool)
+    hit = block.hashes[k] == h
     k, row, place = k[hit], row[hit], place[hit]
     if len(k) < 2:
         return
     n = block.first[k + 1] - block.first[k]
-    own = np.repeat(np.arange(len(k)), n)
-    entry = block.first[k][own] + np.arange(n.sum()) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-    row, place, item, at = row[own], place[own], block.item[entry], block.at[entry]
+    of = np.repeat(np.arange(len(k)), n)
+    entry = block.first[k][of] + np.arange(n.sum()) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+    row, place, item, at = row[of], place[of], block.item[entry], block.at[entry]
     order = np.lexsort((place, item, row))
     row, place, item, at = row[order], place[order], item[order], at[order]
     length = np.array([len(w) for w in block.words])[item]
@@ -130,7 +200,6 @@ def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[i
     several = place[tail - 1] > place[head]  # seeds at two places or more
     if not several.any():
         return
-    words, edges = words_of(buf, off)
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
     for a, b in zip(head[several].tolist(), tail[several].tolist(), strict=True):
         r, i, m = int(row[a]), int(item[a]), int(length[a])

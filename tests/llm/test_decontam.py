@@ -63,3 +63,18 @@ def test_empty_tables(documents, spark):
     docs = documents("a b c d e f g h i j")
     assert D.find(docs.limit(0), bench).count() == 0
     assert D.find(docs, bench.limit(0)).count() == 0 and D.drop(docs, bench.limit(0)).count() == 1
+
+
+def test_short_items_and_scripts_without_blanks_are_found(documents, spark):
+    items = ["Who wrote Faust?", "法国的首都是哪里？", "เมืองหลวงของฝรั่งเศส", "下列哪一项是水的化学式，请选择正确答案。", "où est-il né", "?!"]
+    docs = documents("then: who wrote Faust, they ask", "who wrote the Faust", "问题：法国的首都是哪里。", "x" + items[2] + "y", "他问下列哪一项是水的化学式、请选正确答案", "“où est—il né”", "où est il mort", "首都是", "who wrote", None, "")
+    bench = spark.createDataFrame([(k, t, "") for k, t in enumerate(items)], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in D.find(docs, bench).collect()} == {(0, 0), (2, 1), (3, 2), (4, 3), (5, 4)}
+    assert {r.doc_id for r in D.drop(docs, bench).collect()} == {1, 6, 7, 8, 9, 10}
+
+
+def test_words_of_any_script():
+    text = "Ab1 “naïve”—日本語カナ，テスト xกข 한국어 z"
+    low = np.frombuffer(text.encode(), np.uint8)
+    s, e, row = D.token_spans(low, np.array([0, len(low)]))
+    assert [low[a:b].tobytes().decode() for a, b in zip(s, e, strict=True)] == ["Ab1", "naïve", *"日本語カナテスト", "x", "ก", "ข", "한국어", "z"]
