@@ -8,6 +8,10 @@ item stand near each other, the stretch around them is aligned with the item (ma
 gap -1). The score is the best local alignment over that of a perfect copy, so edited, shortened or
 interrupted copies score in proportion; from ``MIN_SCORE`` on a document is contaminated.
 
+A word weighs by how many documents and items hold the n-grams around it, against the rarer n-grams of its item, so a
+stock phrase of a templated item scores little by itself, while an item that leaks often as a whole keeps full weights.
+A stretch that matches ``LONG_WORDS`` words or more net is no phrase: it also counts with weights by items alone.
+
 The benchmark is handled in blocks of bounded size, one after the other; a block's seeds go to the tasks as a
 broadcast of at most ``BLOCK_BYTES`` of text. Documents are only scanned, never shuffled.
 
@@ -34,6 +38,10 @@ from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, prefix_hashes
 #: Words of a seed; the part of an item's n-grams that are seeds; the fewest words of an item that is aligned.
 SEED_WORDS, SEED_PART, MIN_WORDS = 3, 0.7, 8
 MIN_SCORE = 0.4
+#: An n-gram weighs fully up to this many documents and items, or up to the count at this part of its item's n-grams.
+RARE_COUNT, RARE_PART = 3, 0.2
+#: Matched words (net of mismatches and gaps) from which a stretch is taken for a copy, however many documents hold it.
+LONG_WORDS = 13
 BLOCK_BYTES = 4 << 20
 
 
@@ -47,6 +55,8 @@ class Block:
     item: np.ndarray
     at: np.ndarray
     short: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # words, hashes, first place in and items, of items matched exactly
+    weights: list[np.ndarray]  # of each item's words, by documents and items
+    shared: list[np.ndarray]  # by items alone
 
 
 #: Scripts without blanks between words, by first and last code point.
@@ -105,18 +115,40 @@ def grams(w: np.ndarray, row: np.ndarray, edges: np.ndarray, n: int) -> tuple[np
     return mix(h)[full], row[:size][full], (np.arange(size) - edges[row[:size]])[full]
 
 
-def align(item: np.ndarray, text: np.ndarray) -> float:
-    """Smith-Waterman over word hashes, as a part of the score of a perfect copy of ``item``."""
+def align(item: np.ndarray, text: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """Smith-Waterman over word hashes, as a part of the score of a perfect copy of ``item``; match, mismatch and gap
+    count by the weight of the item's word."""
     if not len(item) or not len(text):
         return 0.0
+    weights = np.ones(len(item)) if weights is None else weights
     steps = np.arange(len(text))
-    h = best = np.zeros(len(text), np.int64)
-    for w in item:
-        diagonal = np.concatenate([[0], h[:-1]]) + np.where(text == w, 2, -1)
-        top = np.maximum(np.maximum(diagonal, h - 1), 0)
-        h = np.maximum.accumulate(top + steps) - steps  # gaps in the item: one less a step
+    h = best = np.zeros(len(text))
+    for w, c in zip(item, weights.tolist(), strict=True):
+        diagonal = np.concatenate([[0], h[:-1]]) + np.where(text == w, 2 * c, -c)
+        top = np.maximum(np.maximum(diagonal, h - c), 0)
+        h = np.maximum.accumulate(top + steps * c) - steps * c  # gaps in the item: one weight less a step
         best = np.maximum(best, h)
-    return float(best.max()) / (2 * len(item))
+    return float(best.max()) / (2 * float(weights.sum()))
+
+
+def judge(item: np.ndarray, text: np.ndarray, weights: np.ndarray, shared: np.ndarray) -> float:
+    """The score of a stretch: by the weights, or by those of items alone if it is long."""
+    got = align(item, text, weights)
+    if got < 1 and (shared > weights).any():
+        other = align(item, text, shared)
+        if other * float(shared.sum()) >= LONG_WORDS:
+            got = max(got, other)
+    return got
+
+
+def word_weights(count: np.ndarray) -> np.ndarray:
+    """Weights of an item's words by the counts of its n-grams (falling with the square): the least of the n-grams that hold the word."""
+    usual = max(RARE_COUNT, int(np.sort(count)[int(RARE_PART * len(count))]))
+    gram = np.minimum(1.0, usual / np.maximum(count, 1)) ** 2
+    out = np.ones(len(count) + SEED_WORDS - 1)
+    for i in range(SEED_WORDS):
+        out[i : i + len(gram)] = np.minimum(out[i : i + len(gram)], gram)
+    return out
 
 
 def _gram_counts(known: np.ndarray):
@@ -134,7 +166,16 @@ def _gram_counts(known: np.ndarray):
     return rows
 
 
-def make_block(docs: DataFrame, rows: list) -> Block | None:
+def _counts(table: DataFrame, known: np.ndarray) -> np.ndarray:
+    """Rows of ``table`` that hold each of the ``known`` n-grams."""
+    out = np.zeros(len(known), np.int64)
+    # one row per n-gram of the block
+    for r in table.select("text").mapInArrow(_gram_counts(known), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+        out[r["gram"]] = r["n"]
+    return out
+
+
+def make_block(docs: DataFrame, given: DataFrame, rows: list) -> Block | None:
     """Seeds of a block's items, chosen by document frequency over all documents."""
     words, own, edges = words_of(pa.array([r["text"] for r in rows], pa.string()))
     n_words = np.diff(edges)
@@ -151,20 +192,20 @@ def make_block(docs: DataFrame, rows: list) -> Block | None:
     h, row, at = h[long_enough], row[long_enough], at[long_enough]
     ids, split = [r["item_id"] for r in rows], [words[edges[i] : edges[i + 1]] for i in range(len(rows))]
     if not len(h):
-        return Block(ids, split, h, np.zeros(1, np.int64), row, at, short) if short else None
+        return Block(ids, split, h, np.zeros(1, np.int64), row, at, short, [], []) if short else None
     known = np.unique(h)
-    counts = np.zeros(len(known), np.int64)
-    # one row per n-gram of the block
-    for r in docs.select("text").mapInArrow(_gram_counts(known), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        counts[r["gram"]] = r["n"]
-    df = counts[np.searchsorted(known, h)]
+    df, of_items = (_counts(table, known)[np.searchsorted(known, h)] for table in (docs, given))
+    weights, shared = [np.ones(len(x)) for x in split], [np.ones(len(x)) for x in split]
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    for a, b in zip(head, [*head[1:], len(row)], strict=True):
+        weights[row[a]], shared[row[a]] = word_weights((df + of_items)[a:b]), word_weights(of_items[a:b])
     order = np.lexsort((h, df, row))
     rank = np.arange(len(order)) - np.searchsorted(row[order], row[order])
     size = np.bincount(row, minlength=len(rows))[row[order]]
     order = order[rank < np.ceil(SEED_PART * size)]
     order = order[np.lexsort((at[order], row[order], h[order]))]
     hashes, first = np.unique(h[order], return_index=True)
-    return Block(ids, split, hashes, np.concatenate([first, [len(order)]]), row[order], at[order], short)
+    return Block(ids, split, hashes, np.concatenate([first, [len(order)]]), row[order], at[order], short, weights, shared)
 
 
 def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[int, int, float, int, int]]:
@@ -206,7 +247,7 @@ def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[i
         lead, rest = int((place[a:b] - at[a:b]).min()), int((place[a:b] + m - at[a:b]).max())
         slack = m // 4 + 2
         lo, hi = max(0, lead - slack), min(int(edges[r + 1] - edges[r]), rest + slack)
-        got = align(block.words[i], words[edges[r] + lo : edges[r] + hi])
+        got = judge(block.words[i], words[edges[r] + lo : edges[r] + hi], block.weights[i], block.shared[i])
         if got >= min_score and got > best.get((r, i), (0.0,))[0]:
             best[r, i] = (got, lo, b - a)
     for (r, i), (got, lo, seeds) in best.items():
@@ -220,7 +261,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator:
     n = max(1, ceil(size / BLOCK_BYTES))
     for i in range(n):
         rows = given.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).orderBy("item_id", "text").collect()
-        block = make_block(docs, rows) if rows else None
+        block = make_block(docs, given, rows) if rows else None
         if block:
             yield docs.sparkSession.sparkContext.broadcast(block)
 

@@ -78,3 +78,17 @@ def test_words_of_any_script():
     low = np.frombuffer(text.encode(), np.uint8)
     s, e, row = D.token_spans(low, np.array([0, len(low)]))
     assert [low[a:b].tobytes().decode() for a, b in zip(s, e, strict=True)] == ["Ab1", "naïve", *"日本語カナテスト", "x", "ก", "ข", "한국어", "z"]
+
+
+def test_stock_phrases_of_templated_items_are_clean(documents, spark):
+    capital = [f"what is the capital of the {a} {b}" for a, b in (("French", "Republic"), ("Polish", "Commonwealth"), ("Danish", "Kingdom"), ("Roman", "Empire"))]
+    cause = "which of the following is the most likely cause of persistent dry cough"
+    passage = " ".join(f"p{i}" for i in range(40))
+    rng = random.Random(8)
+    rows = [" ".join([*words(rng, 9), phrase, *words(rng, 9)]) for phrase in ["what is the capital of", "which of the following is the most likely cause of"] for _ in range(12)]
+    leaks = [capital[0], cause, *[" ".join(passage.split()[:20])] * 15]  # half a passage, however often
+    docs = documents(*rows, *[" ".join([*words(rng, 9), x, *words(rng, 9)]) for x in leaks])
+    bench = spark.createDataFrame([(k, t, "") for k, t in enumerate([*capital, cause, passage])], ITEMS)
+    n = len(rows)
+    assert {(r.doc_id, r.item_id) for r in D.find(docs, bench).collect()} == {(n, 0), (n + 1, 4), *((n + 2 + i, 5) for i in range(15))}
+    assert {r.doc_id for r in D.drop(docs, bench).collect()} == set(range(n))
