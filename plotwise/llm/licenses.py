@@ -2,7 +2,12 @@
 
 Every line of every whole text is compared with every template in a sparse TF-IDF space. The vocabulary is that
 of the templates; document frequencies are counted over all documents; a word outside the vocabulary
-weighs as one that no document holds. A line that reaches ``MIN_COSINE`` carries that license. A license file
+weighs as one that no document holds. A line that reaches ``MIN_COSINE`` carries that license.
+
+Whole license texts and standard headers (``license_texts``) are compared, in a space of their own, with every window of
+a text that has as many words as the template; a text with fewer words, but at least half of them, is one
+window. Comment marks and line breaks are no words, so wrapped headers and texts match. Cosines are calculated for the
+window of the greatest product in each run of windows that could reach ``MIN_COSINE``. A license file
 (by its name) speaks for its directory; a file without a license of its own takes that of the nearest
 ancestor directory that has one, found by joins on directory paths.
 
@@ -10,7 +15,7 @@ Directories are resolved, not files: ancestors are listed once per distinct dire
 files costs one row.
 
 Defined results: null and empty texts carry no license and may inherit one; null paths neither give nor take;
-of several matching lines the best counts, then the earliest, ties of templates go to the smaller name; of several
+of several matching lines and windows (a window's line is that of its first word) the best counts, then the earliest, ties of templates go to the smaller name; of several
 license files in a directory the best score counts, then the smaller license, then the smaller path; repeated
 rows give a row each; extra columns are ignored.
 """
@@ -18,6 +23,8 @@ rows give a row each; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +51,20 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain"],
 }
 MIN_COSINE = 0.75
+#: Part of a template's words that a text must have to be compared with it.
+LEAST_PART = 0.5
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 
 
+@cache
+def license_texts() -> dict[str, list[str]]:
+    """Whole texts and headers by SPDX name, from ``NAME[.header].txt`` (read on the driver only)."""
+    out: dict[str, list[str]] = {}
+    for path in sorted(Path(__file__).with_name("license_texts").glob("*.txt")):
+        out.setdefault(path.name.removesuffix(".txt").removesuffix(".header"), []).append(path.read_text())
+    return out
+
+
 def _words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, row and start of every word."""
     low = LOWER[buf]
@@ -65,6 +83,8 @@ class Space:
         self.counts = np.zeros((len(flat), len(self.terms)))
         np.add.at(self.counts, (row, np.searchsorted(self.terms, h)), 1.0)
 
+        self.sizes = np.bincount(row, minlength=len(flat))
+
     def place(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
         return k, self.terms[k] == h
@@ -112,6 +132,44 @@ class Space:
         return [(r, t, c, ln) for r, (c, t, ln) in best.items()]
 
 
+    def windows(self, texts: pa.Array, least: float) -> list[tuple[int, int, float, int]]:
+        """(row, template, cosine, line) of each row's best window, where it reaches ``least``."""
+        buf, off = buffer(texts)
+        h, row, start = _words(buf, off)
+        if not len(h) or not len(self.names):
+            return []
+        k, known = self.place(h)
+        weight = np.where(known, self.idf[k], self.rare)
+        mass = np.concatenate([[0.0], np.cumsum(weight**2)])
+        edges = np.searchsorted(row, np.arange(len(off)))
+        n_words, end = np.diff(edges)[row], edges[1:][row]
+        place = np.arange(len(h))
+        own = np.where(known, k, len(self.terms))
+        best: dict[int, tuple[float, int, int]] = {}
+        for t, m in enumerate(self.sizes.tolist()):
+            unit = np.append(self.units[t] * self.idf, 0.0)
+            total = np.concatenate([[0.0], np.cumsum(unit[own])])
+            first = np.flatnonzero((place + m <= end) | ((place == end - n_words) & (n_words >= LEAST_PART * m)))
+            if not len(first):
+                continue
+            last = np.minimum(first + m, end[first])
+            product = total[last] - total[first]
+            # a word's squared frequency is its frequency at least, so no window's norm is smaller
+            may = np.flatnonzero(product >= least * np.sqrt(mass[last] - mass[first]) - 1e-9)
+            if not len(may):
+                continue
+            new = np.concatenate([[True], (np.diff(first[may]) > 1) | (np.diff(row[first[may]]) > 0)])
+            for run in np.split(may, np.flatnonzero(new)[1:]):
+                j = run[int(np.argmax(np.round(product[run], 9)))]
+                a, b = int(first[j]), int(last[j])
+                _, one, tf = np.unique(h[a:b], return_index=True, return_counts=True)
+                cos = float(product[j] / np.linalg.norm(tf * weight[a:b][one]))
+                r = int(row[a])
+                if cos >= least and (r not in best or cos > best[r][0] + 1e-12):
+                    best[r] = (cos, t, a)
+        return [(r, t, c, int(np.count_nonzero(buf[off[r] : start[a]] == 0x0A))) for r, (c, t, a) in best.items()]
+
+
 def _df_rows(space: Space):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(len(space.terms), np.int64), 0
@@ -126,19 +184,25 @@ def _df_rows(space: Space):
     return rows
 
 
-def own_licenses(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = MIN_COSINE) -> DataFrame:
-    """doc_id, path, own_license, own_score, line (null where no line reaches ``least``), one row per row of ``files``
-    (doc_id, path, text)."""
-    space = Space(templates)
+def own_licenses(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = MIN_COSINE, texts: dict[str, list[str]] | None = None) -> DataFrame:
+    """doc_id, path, own_license, own_score, line (null where nothing reaches ``least``), one row per row of ``files``
+    (doc_id, path, text); ``texts``: whole texts and headers, by default ``license_texts()``."""
+    texts = license_texts() if texts is None else texts
+    space, whole = Space(templates), Space(texts)
+    both = Space({n: [*templates.get(n, []), *texts.get(n, [])] for n in {**templates, **texts}})
     # one row per template word
-    df = {r["term"]: r["n"] for r in files.select("text").mapInArrow(_df_rows(space), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    space.weigh(np.array([df.get(i, 0) for i in range(len(space.terms))], float), df.get(-1, 0))
+    df = {r["term"]: r["n"] for r in files.select("text").mapInArrow(_df_rows(both), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    for s in (space, whole):
+        s.weigh(np.array([df.get(i, 0) for i in both.place(s.terms)[0].tolist()], float), df.get(-1, 0))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             name, score, line = ([None] * b.num_rows for _ in range(3))
             for r, t, c, at in space.matches(b.column("text"), least):
                 name[r], score[r], line[r] = space.names[t], round(c, 6), at
+            for r, t, c, at in whole.windows(b.column("text"), least):
+                if score[r] is None or (-round(c, 6), at) < (-score[r], line[r]):
+                    name[r], score[r], line[r] = whole.names[t], round(c, 6), at
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("path"), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(line, pa.int64())], ["doc_id", "path", "own_license", "own_score", "line"])
 
     return files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", "text").mapInArrow(rows, "doc_id long, path string, own_license string, own_score double, line long")

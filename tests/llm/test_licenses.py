@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +75,20 @@ def test_inheritance_matches_a_walk_up(spark):
 
 def test_empty_table(spark):
     assert L.own_licenses(spark.createDataFrame([], FILES)).count() == 0
+
+
+def test_whole_texts_and_wrapped_headers(spark):
+    texts = L.license_texts()
+    rows, want = [], {}
+    for name, ts in texts.items():
+        for t in ts:
+            wrapped = "\n".join(f" * {x}" for x in textwrap.wrap(" ".join(t.split()), 60))
+            for given, line in ((t, None), (f"/*\n{wrapped}\n */\nint main(void) {{ return 0; }}\n" + "value = other + 1\n" * 30, 1), ("some words before it\n" * 50 + t, None)):
+                want[len(rows)] = (name, line)
+                rows.append((len(rows), f"d/{len(rows)}", given, "x"))
+    n = len(rows)
+    rows += [(n + i, f"d/{n + i}", "alpha beta gamma of the and to in delta " * 40 + str(i), "x") for i in range(40)]
+    got = {r.doc_id: r for r in L.own_licenses(spark.createDataFrame(rows, FILES)).collect()}
+    assert {i: got[i].own_license for i in want} == {i: name for i, (name, _) in want.items()}
+    assert all(got[i].own_license is None for i in range(n, n + 40))
+    assert {got[i].line for i, (_, line) in want.items() if line} <= {0, 1, 2, 3}
