@@ -38,9 +38,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Splitting pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
-SEQUENCE = 4096
+SEQUENCE = 2048
 #: Slots of a shard (64 MB at two bytes a token).
-SHARD_SLOTS = 8_192
+SHARD_SLOTS = 16_384
 KEY = "order-1"
 ROUNDS = 6
 CACHE_PIECES = 500_000

@@ -54,3 +54,7 @@ def test_repeated_rows_and_empty_table(documents, tmp_path):
     rows = T.materialise(docs.coalesce(1), str(tmp_path / "a"), sequence=64).collect()
     assert len(rows) == 1 and [d.doc_id for d in rows[0].docs] in ([1], [1, 1])
     assert T.materialise(docs.limit(0), str(tmp_path / "b")).count() == 0
+
+
+def test_production_sizes():
+    assert T.SEQUENCE == 2048 and T.SHARD_SLOTS * T.SEQUENCE * 2 == 64 << 20
