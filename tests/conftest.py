@@ -14,9 +14,3 @@ def spark():
     s = get_session("local[4]", 4, app_name="plotwise-tests", extra={"spark.checkpoint.dir": folder})
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Result rows as sorted tuples (order-insensitive compare)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

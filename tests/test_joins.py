@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from plotwise.operators import joins as J
 
-from conftest import rows
+from helpers import rows
 
 
 def test_missing_keys_match(spark):

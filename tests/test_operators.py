@@ -11,7 +11,7 @@ from plotwise.operators import impute as I
 from plotwise.operators import quality as Q
 from plotwise.operators import reshape as R
 
-from conftest import rows
+from helpers import rows
 
 RULES = [I.GateRule("Siri", "<", 1.35, 1.3), I.GateRule("Owen", ">", 1.5, 1.5, divide=True)]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from plotwise.operators import grouped as G
 from plotwise.operators import impute as I
 
-from conftest import rows
+from helpers import rows
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",  # force the sort-merge path

@@ -7,7 +7,7 @@ from plotwise.operators import joins as J
 from plotwise.plans import community as CM
 from plotwise.plans import design as DS
 
-from conftest import rows
+from helpers import rows
 
 
 def test_t8_rebuild_ids_cut_to_end_or_to_row_count(spark):
