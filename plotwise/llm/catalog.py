@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.llm import decontam, licenses, mixing, ngram_join, secret_scan, suffix_dedup, token_shards, topk, toxicity, url_filter
+from plotwise.llm import decontam, fill_middle, licenses, mixing, ngram_join, ranked_search, secret_scan, sketch_dedup, suffix_dedup, token_shards, topk, toxicity, url_filter
 from plotwise.llm.tables import read, ship
 
 QUERIES, ORACLE = {}, {}
@@ -186,3 +186,52 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(_captures(pages), _list_entries(pages))
     return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "listed_on")})
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT r, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
+h AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM s),
+rep AS (SELECT r, i FROM h WHERE k IN (SELECT k FROM h GROUP BY k HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, i + unnest(range(35)) AS p FROM rep),
+words AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM d),
+kept AS (SELECT words.r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone ON words.r = gone.r AND words.p = gone.p GROUP BY words.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r
+""")
+def op11_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_dedup.dedup(read(spark, sf_dir, "documents"), window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2, CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+""")
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(read(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, text, row_number() OVER () AS r FROM documents),
+low AS (SELECT doc_id, r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM d),
+it AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+tf AS (SELECT r, doc_id, t, count(*) AS tf FROM low GROUP BY r, doc_id, t),
+dl AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+c AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM dl),
+w AS (SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY t, nd),
+s AS (SELECT item_id, tf.r, tf.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * dl.n * nd) // l)))) AS BIGINT) AS score
+  FROM it JOIN tf ON tf.t = it.t JOIN w ON w.t = it.t JOIN dl ON dl.r = tf.r, c GROUP BY item_id, tf.r, tf.doc_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")

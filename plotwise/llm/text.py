@@ -8,6 +8,7 @@ or keyed by two independent hashes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -109,6 +110,53 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return (prefix[end] - prefix[start]) * _powers(len(prefix))[1][start]
 
 
+def words_array(buf: np.ndarray, start: np.ndarray, end: np.ndarray, chars: np.ndarray | None = None) -> pa.Array:
+    """The words as an Arrow array; ``chars``, if given, marks the bytes that words are made of (and nothing else is)."""
+    if chars is None:
+        inside = np.zeros(len(buf) + 1, np.int8)
+        inside[start] += 1
+        inside[end] -= 1  # adjacent words: the end of one is the start of the next
+        inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    else:
+        inside = chars[buf]
+    off = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=off[1:])
+    kind, width = (pa.binary(), np.int32) if off[-1] < 2**31 else (pa.large_binary(), np.int64)
+    return pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(off.astype(width)), pa.py_buffer(buf[inside])])
+
+
+#: Words beyond this many bytes are hashed by blake2b.
+LONG_WORD = 64
+
+
+def bytes_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
+    """64-bit hash of every word of an Arrow binary array without nulls: a chain of mixers over its 8-byte pieces."""
+    width = np.int64 if pa.types.is_large_binary(words.type) else np.int32
+    off = np.frombuffer(words.buffers()[1], width)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    data = words.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    size = np.diff(off)
+    out = mix(size.astype(_U) + _U((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64))
+    padded, step = np.concatenate([data, np.zeros(8, np.uint8)]), np.arange(8)
+    live, at = np.flatnonzero((size > 0) & (size <= LONG_WORD)), 0
+    while len(live):
+        piece = padded[(off[live] + at)[:, None] + step]
+        piece[step >= (size[live] - at)[:, None]] = 0
+        out[live] = mix((out[live] ^ piece.view("<u8")[:, 0]) * _U(0xD6E8FEB86659FD93) + _U(at + 1))
+        at += 8
+        live = live[size[live] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[off[i] : off[i + 1]], digest_size=8, key=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, chars: np.ndarray | None = NOT_BLANK, seed: int = 0) -> np.ndarray:
+    """Hash of every word; each distinct word is hashed once."""
+    coded = words_array(buf, start, end, chars).dictionary_encode()
+    return bytes_hashes(coded.dictionary, seed)[coded.indices.to_numpy()]
+
+
 def shingles(buf: np.ndarray, off: np.ndarray, n: int, chars: np.ndarray = NOT_BLANK, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, row and first word (number within its row) of every n-word shingle of the lower-cased
     texts; with ``short``, a text of fewer words gives one shingle of all its words."""
@@ -117,7 +165,7 @@ def shingles(buf: np.ndarray, off: np.ndarray, n: int, chars: np.ndarray = NOT_B
     z = np.zeros(0, np.int64)
     if not len(s):
         return z.astype(_U), z, z
-    w = mix(span_hashes(prefix_hashes(low), s, e))
+    w = word_hashes(low, s, e, chars)
     first = np.searchsorted(row, np.arange(len(off) - 1))
     place = np.arange(len(row)) - first[row]
     k = _U(0xD6E8FEB86659FD93)
