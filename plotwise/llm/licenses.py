@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, prefix_hashes, slices, span_hashes, word_spans
+from plotwise.llm.tables import stage
+from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, slices, word_hashes, word_spans
 
 #: License statements (fixed values), by SPDX name.
 TEMPLATES = {
@@ -69,7 +70,7 @@ def _words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     """Hash, row and start of every word."""
     low = LOWER[buf]
     s, e, row = word_spans(low, off, ALNUM)
-    return mix(span_hashes(prefix_hashes(low), s, e)), row, s
+    return word_hashes(low, s, e, ALNUM), row, s
 
 
 class Space:
@@ -205,7 +206,8 @@ def own_licenses(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
                     name[r], score[r], line[r] = whole.names[t], round(c, 6), at
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("path"), pa.array(name, pa.string()), pa.array(score, pa.float64()), pa.array(line, pa.int64())], ["doc_id", "path", "own_license", "own_score", "line"])
 
-    return files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", "text").mapInArrow(rows, "doc_id long, path string, own_license string, own_score double, line long")
+    # scored once: the result is read several times
+    return stage(files.select(F.col("doc_id").cast("long").alias("doc_id"), "path", "text").mapInArrow(rows, "doc_id long, path string, own_license string, own_score double, line long"), "licenses")
 
 
 def directory(path: Column) -> Column:
