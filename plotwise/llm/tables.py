@@ -86,6 +86,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+_resident: dict = {}
+
+
+def resident(key, make):
+    """What a Python worker keeps between tasks: one object at a time. The next operator's takes the place of the last
+    one's, so the memories of a pipeline's stages don't add up in workers that serve them all."""
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = make()
+    return _resident[key]
+
+
 _shipped: set[str] = set()
 
 

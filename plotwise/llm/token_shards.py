@@ -17,6 +17,7 @@ repeated rows and null ids are packed like any others; an empty table gives no s
 from __future__ import annotations
 
 import base64
+import hashlib
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -31,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plotwise.llm.tables import new_path, unstage
-from plotwise.llm.text import buffer, mix, prefix_hashes, slices, span_hashes
+from plotwise.llm.tables import new_path, resident, unstage
+from plotwise.llm.text import mix, slices
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Splitting pattern of the vocabulary (fixed value).
@@ -43,7 +44,8 @@ SEQUENCE = 2048
 SHARD_SLOTS = 16_384
 KEY = "order-1"
 ROUNDS = 6
-CACHE_PIECES = 500_000
+#: Pieces that are remembered (about 200 bytes each), and the longest such piece in bytes.
+CACHE_PIECES, CACHE_BYTES = 150_000, 64
 #: Texts with code points from here on, or with apostrophes, are split by the pattern itself.
 PLAIN = 0x3000
 #: Most staged files whose counts are broadcast (about 100 bytes each).
@@ -100,19 +102,22 @@ class Encoder:
         head = np.flatnonzero(new)
         data = np.frombuffer(joined.encode(), np.uint8)
         place = np.concatenate([[0], np.cumsum(1 + (cp >= 0x80) + (cp >= 0x800))])
-        start, end = place[head], place[np.concatenate([head[1:], [len(cp)]])]
-        _, one, which = np.unique(span_hashes(prefix_hashes(data), start, end), return_index=True, return_inverse=True)
-        if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
-        raw, cache, got = data.tobytes(), self.cache, []
-        for s, e in zip(start[one].tolist(), end[one].tolist(), strict=True):
-            piece = raw[s:e]
+        # pieces lie side by side, so they are an Arrow array as they stand; its dictionary compares bytes
+        edges = pa.py_buffer(np.append(place[head], place[-1]))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(head), [None, edges, pa.py_buffer(data)]).dictionary_encode()
+        which = coded.indices.to_numpy()
+        cache, got = self.cache, []
+        for piece in coded.dictionary.to_pylist():
             ids = cache.get(piece)
             if ids is None:
-                ids = cache[piece] = self.bpe.encode_ordinary(piece.decode())
+                ids = np.array(self.bpe.encode_ordinary(piece.decode()), np.uint32).tobytes()
+                if len(piece) <= CACHE_BYTES:
+                    if len(cache) >= CACHE_PIECES:
+                        cache.clear()
+                    cache[piece] = ids
             got.append(ids)
-        size = np.array([len(g) for g in got])
-        flat, first = np.array([x for g in got for x in g], np.uint32), np.concatenate([[0], np.cumsum(size)])
+        size = np.array([len(g) // 4 for g in got])
+        flat, first = np.frombuffer(b"".join(got), np.uint32), np.concatenate([[0], np.cumsum(size)])
         n = size[which]
         before = np.concatenate([[0], np.cumsum(n)])
         ids = flat[np.repeat(first[which] - before[:-1], n) + np.arange(before[-1])]
@@ -120,14 +125,8 @@ class Encoder:
         return ids, np.diff(before[edges])
 
 
-_encoders: dict[int, Encoder] = {}
-
-
 def _encoder(vocabulary: bytes) -> Encoder:
-    key = zlib.crc32(vocabulary)
-    if key not in _encoders:
-        _encoders[key] = Encoder(vocabulary)
-    return _encoders[key]
+    return resident(("encoder", hashlib.sha256(vocabulary).digest()), lambda: Encoder(vocabulary))
 
 
 def permute(index: np.ndarray, n: int, key: str = KEY, rounds: int = ROUNDS) -> np.ndarray:

@@ -27,13 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.tables import stage
+from plotwise.llm.tables import resident, stage
 from plotwise.llm.text import slices
 
 #: Most labelled documents that the lexicon and model are learned from.
 MAX_TRAIN = 20_000
-#: Most terms of the learned lexicon.
-MAX_TERMS = 2_000
 #: Least number of toxic training documents that hold a lexicon term, and its least log odds.
 MIN_DOCS = 3
 MIN_ODDS = 4.0
@@ -41,8 +39,8 @@ THRESHOLD = 0.3
 PRIOR = 0.05
 #: Words on either side of a hit that count as its context.
 WINDOW = 8
-CACHE_WORDS = 400_000
-CACHE_STATES = 50_000
+#: Words and automaton states that a worker remembers (about 100 and 1,000 bytes each).
+CACHE_WORDS, CACHE_STATES = 200_000, 20_000
 
 WORD = re.compile(r"\w+")
 REPORTING = frozenset("said says wrote writes called calls quoted quote reported word words term sagte schrieb genannt wort dit écrit appelé mot dijo escribió llamó palabra".split())
@@ -211,8 +209,8 @@ class Scorer:
 
     @staticmethod
     def _quoted(low: str, words: list[str], at: list[int]) -> set[int]:
-        """Hits that stand between quotation marks less than 400 characters apart, on one line."""
-        spans = [m.span() for m in re.finditer(r'["“„«][^"“”„«»\n]{0,400}["”“»]', low)]
+        """Hits that stand between quotation marks on one line."""
+        spans = [m.span() for m in re.finditer(r'["“„«][^"“”„«»\n]*["”“»]', low)]
         if not spans:
             return set()
         want, out, k = set(at), set(), 0
@@ -232,16 +230,10 @@ class Scorer:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30))))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model) -> Scorer:
     """The process's scorer of ``model``: tasks that follow each other share its words and states."""
     key = hashlib.sha256(repr((sorted(model.terms.items()), model.weights, model.prior)).encode()).hexdigest()
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
+    return resident(("scorer", key), lambda: Scorer(model))
 
 
 def held_out(doc_id):
@@ -274,7 +266,7 @@ def prune(terms: dict[str, float]) -> dict[str, float]:
     return {t: w for t, w in terms.items() if not idle(t)}
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_terms: int = MAX_TERMS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     """Learns lexicon and model from the labelled rows outside the held-out fold."""
     ids = (labels.select(F.col("doc_id").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
            .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -291,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_te
     p, n = float(totals["p"]), float(totals["n"] - totals["p"])
     odds = F.log((F.col("pos") + 0.1) / (p + 0.2)) - F.log((F.col("neg") + 0.1) / (n + 0.2))
     best = (counts.filter(F.col("pos") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
-            .orderBy(F.desc("pos"), F.desc("odds"), "term").limit(max_terms).collect())  # at most max_terms rows
+            .orderBy(F.desc("pos"), F.desc("odds"), "term").collect())  # of at most max_train documents, each term in MIN_DOCS of them
     model = Model(prune({r["term"]: min(float(r["odds"]), 8.0) for r in best}))
 
     def rows(batches):

@@ -24,6 +24,16 @@ def test_ids_equal_those_of_the_whole_text(encoder):
         assert ids[off[i] : off[i + 1]].tolist() == encoder.bpe.encode_ordinary(t or "")
 
 
+def test_crafted_pieces_are_told_apart(encoder):
+    # Thue-Morse words, alike in every position sum
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    words = ["".join(ab[k] for k in bits[:m]) for m in (1024, 2048, 4096) for ab in ("ab", "ba")]
+    texts = [" ".join(words), *words]
+    ids, off = encoder.encode(texts)
+    for i, t in enumerate(texts):
+        assert ids[off[i] : off[i + 1]].tolist() == encoder.bpe.encode_ordinary(t)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1000, 4097])
 def test_permutation(n):
     a, b = T.permute(np.arange(n), n, "k"), T.permute(np.arange(n), n, "other")
