@@ -251,20 +251,36 @@ def _linked(docs: DataFrame, n_words: int, percent: int, block: int) -> tuple[Da
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id")))
 
 
+def _nodes(docs: DataFrame, node: str) -> DataFrame:
+    """``docs`` with a column ``node``: the id or, where an id stands on several texts, a number of the id and the text beyond
+    2**62, so that every node is one text."""
+    own, id_ = F.col("doc_id").cast("long"), fresh(docs, "_several")[0]
+    several = stage(docs.select(own.alias(id_), F.xxhash64("text").alias("h")).filter(F.col(id_).isNotNull())
+                    .groupBy(id_).agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select(id_), "several")
+    if several.isEmpty():
+        return docs.withColumn(node, own)
+    may, clean = sift(docs, "doc_id", several)
+    number = F.lit(2**62) + F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**61 - 1))
+    told = may.join(several, own == F.col(id_), "left").withColumn(node, F.when(F.col(id_).isNotNull(), number).otherwise(own)).drop(id_)
+    return clean.withColumn(node, own).unionByName(told)
+
+
 def keep_one(docs: DataFrame, n_words: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` with one row for each group of linked texts (its smallest doc_id; one of repeated rows);
+    """``docs`` with one row for each group of linked texts (its smallest doc_id; ids that stand on several texts come last; one of
+    repeated rows). Texts are judged one by one: other texts under an id stay unless they are linked themselves, and
     texts without words and rows without an id all stay. Same columns."""
-    sets, classes, parts, linked = _linked(docs, n_words, percent, BLOCK)
+    node, key, drop, number = fresh(docs, "_node", "_id", "_drop", "_row")
+    given = _nodes(docs, node)
+    sets, classes, parts, linked = _linked(given.select(F.col(node).alias("doc_id"), "text"), n_words, percent, BLOCK)
     found = stage(linked, "links")
     unstage(sets, classes, parts)
-    # one row per id to be dropped or, for repeated ids, kept once
+    # one row per text to be dropped or, where rows repeat, kept once
     state = found.filter("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count("*").alias("k"))
-    key, drop, number = fresh(docs, "_id", "_drop", "_row")
     touched = stage(state.filter("c <> doc_id or k > 1").select(F.col("doc_id").alias(key), (F.col("c") != F.col("doc_id")).alias(drop)), "touched")
     # only rows that may be dropped or repeated are moved
-    may, clean = sift(docs, "doc_id", touched.select(key))
-    found = may.join(touched, F.col("doc_id").cast("long") == F.col(key), "left").filter(~F.coalesce(drop, F.lit(False)))
-    # a repeated id has a key and keeps its first row; a row without a key only shares the sieve
-    order = W.partitionBy(key, "doc_id").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    may, clean = sift(given, node, touched.select(key))
+    found = may.join(touched, F.col(node) == F.col(key), "left").filter(~F.coalesce(drop, F.lit(False)))
+    # a repeated text has a key and keeps its first row; a row without a key only shares the sieve
+    order = W.partitionBy(key, node).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
     found = found.withColumn(number, F.row_number().over(order)).filter(F.col(key).isNull() | (F.col(number) == 1))
-    return clean.unionByName(found.select(*docs.columns))
+    return clean.select(*docs.columns).unionByName(found.select(*docs.columns))

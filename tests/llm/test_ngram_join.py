@@ -69,6 +69,22 @@ def test_keep_one_of_each_group(documents):
     assert sorted(r.doc_id for r in kept.collect() if not r.text) == [5, 6]
 
 
+def test_keep_one_judges_texts_not_ids(documents):
+    other = "quite another text of some words that nobody else has"
+    near = " ".join(f"y{i}" for i in range(80))
+    df = documents((1, "alpha beta gamma delta epsilon zeta"), (1, other), (1, ""), (1, None), (1, other), (2, near), (3, near + " end"), (3, "a third text for this id of several words"), (4, near + " tail"))
+    kept = sorted((r.doc_id, r.text or "") for r in J.keep_one(df).collect())
+    assert kept == sorted([(1, "alpha beta gamma delta epsilon zeta"), (1, other), (1, ""), (1, ""), (2, near), (3, "a third text for this id of several words")])
+
+
+def test_crafted_words_are_told_apart(documents):
+    # Thue-Morse words, alike in every position sum
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    words = ["".join(ab[k] for k in bits[:m]) for ab in ("xy", "yx") for m in (1024, 2048, 4096)]
+    rows = [(i, f"{w} and the same end") for i, w in enumerate(words)]
+    assert sorted(map(tuple, J.link(documents(*rows), 2).collect())) == brute(rows, 2)
+
+
 def test_boundary_and_bounds():
     light = J.light_boundary(85)
     assert all(J.n_subsets(n, 85) <= J.LIST_COST * n for n in range(1, light + 1)) and J.n_subsets(light + 1, 85) > J.LIST_COST * (light + 1)
