@@ -2,9 +2,9 @@
 
 Words are lower-cased (A-Z) runs of letters, digits and marks of any script; in scripts without blanks between words
 (Chinese, Japanese, Thai and others) every character is a word. The document frequency of every benchmark
-n-gram is counted over all documents; the rarer part of each item's n-grams are its seeds (always that part of
-them, so an item that leaks often keeps its seeds). Documents are searched for seeds; where two or more seeds of an
-item stand near each other, the stretch around them is aligned with the item (match +2, mismatch and
+n-gram is counted over all documents; the rarest of each item's n-grams that occur at all are its seeds (always up to that part of
+its n-grams, so an item that leaks often, or is much edited, keeps its seeds). Documents are searched for seeds; the stretch around
+one, or around several of an item that stand near each other, is aligned with the item (match +2, mismatch and
 gap -1). The score is the best local alignment over that of a perfect copy, so edited, shortened or
 interrupted copies score in proportion; from ``MIN_SCORE`` on a document is contaminated.
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, prefix_hashes, slices, span_hashes, word_spans
+from plotwise.llm.text import ALNUM, LOWER, buffer, distinct, mix, slices, word_hashes, word_spans
 
 #: Words of a seed; the part of an item's n-grams that are seeds; the fewest words of an item that is aligned.
 SEED_WORDS, SEED_PART, MIN_WORDS = 3, 0.7, 8
@@ -102,7 +102,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buf, off = buffer(texts)
     low = LOWER[buf]
     s, e, row = token_spans(low, off)
-    return mix(span_hashes(prefix_hashes(low), s, e)), row, np.searchsorted(row, np.arange(len(off)))
+    return word_hashes(low, s, e, None), row, np.searchsorted(row, np.arange(len(off)))
 
 
 def grams(w: np.ndarray, row: np.ndarray, edges: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,7 +199,9 @@ def make_block(docs: DataFrame, given: DataFrame, rows: list) -> Block | None:
     head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     for a, b in zip(head, [*head[1:], len(row)], strict=True):
         weights[row[a]], shared[row[a]] = word_weights((df + of_items)[a:b]), word_weights(of_items[a:b])
+    # n-grams that no document holds find nothing: the rarest of the others are the seeds
     order = np.lexsort((h, df, row))
+    order = order[df[order] > 0]
     rank = np.arange(len(order)) - np.searchsorted(row[order], row[order])
     size = np.bincount(row, minlength=len(rows))[row[order]]
     order = order[rank < np.ceil(SEED_PART * size)]
@@ -225,7 +227,7 @@ def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[i
     k = np.minimum(np.searchsorted(block.hashes, h), len(block.hashes) - 1)
     hit = block.hashes[k] == h
     k, row, place = k[hit], row[hit], place[hit]
-    if len(k) < 2:
+    if not len(k):
         return
     n = block.first[k + 1] - block.first[k]
     of = np.repeat(np.arange(len(k)), n)
@@ -238,11 +240,8 @@ def find_in(block: Block, texts: pa.Array, min_score: float) -> Iterator[tuple[i
     new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > length[1:])
     head = np.flatnonzero(new)
     tail = np.concatenate([head[1:], [len(row)]])
-    several = place[tail - 1] > place[head]  # seeds at two places or more
-    if not several.any():
-        return
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for a, b in zip(head[several].tolist(), tail[several].tolist(), strict=True):
+    for a, b in zip(head.tolist(), tail.tolist(), strict=True):
         r, i, m = int(row[a]), int(item[a]), int(length[a])
         lead, rest = int((place[a:b] - at[a:b]).min()), int((place[a:b] + m - at[a:b]).max())
         slack = m // 4 + 2

@@ -8,7 +8,8 @@ and a smaller start. Strings are judged on the input, not on what is left.
    anchor's gram. Neighbouring windows with one anchor form a span; about one row per 30 bytes is moved.
    Spans that repeat within a slice of the input are settled before the shuffle.
 2. *Classes.* Under a gram, equal spans are one class: all but its earliest are repeats as a whole. A gram
-   with a single class is done.
+   with a single class is done. Classes are keyed by 64 and 56 bits; a span has fewer than 200 bytes, too few for the texts
+   that collide as polynomials mod 2**64.
 3. *Suffix sort.* The earliest spans of grams with several classes overlap in part. Their windows are suffixes
    of a local buffer, sorted by a bottom-up mergesort whose comparisons find the common extension
    by binary search over prefix polynomial hashes; neighbours that agree over ``length`` bytes are verified byte by

@@ -20,15 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-PATH = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)"
+#: Host after ``//`` (an IPv6 address in brackets), or at the start of a URL without a scheme, and the path.
+HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
+BARE_HOST = r"^((?:[a-zA-Z0-9_-]+\.)+(?:[a-zA-Z][a-zA-Z0-9-]*|\d+))\.?(?::\d+)?(?:[/?#]|$)"
+PATH = r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//)?[^/?#]*(/[^?#]*)"
+ADDRESS = r"^(?:\[.*\]|\d+(?:\.\d+){3})$"
+#: Registries sell names below these labels of a country's domain.
+SECOND_LEVEL = r"^(?:ac|co|com|edu|gob|gov|go|mil|ne|net|or|org)\.[a-z]{2}$"
 #: Specificity of a path key: above that of any host.
 PATH_RANK = 1000
 
 
 def host_of(url: Column) -> Column:
-    """Lower-cased host; empty where there is none."""
-    return F.lower(F.coalesce(F.regexp_extract(url, HOST, 1), F.lit("")))
+    """Lower-cased host without trailing dots; empty where there is none."""
+    found = F.coalesce(F.nullif(F.regexp_extract(url, HOST, 1), F.lit("")), F.regexp_extract(url, BARE_HOST, 1), F.lit(""))
+    return F.regexp_replace(F.lower(found), r"\.+$", "")
 
 
 def path_segments(url: Column) -> Column:
@@ -36,12 +42,14 @@ def path_segments(url: Column) -> Column:
 
 
 def keys_of(host: Column, segments: Column) -> Column:
-    """Array of (key, specificity): the host, its parent domains of two labels or more, and the host with
-    its first 1, 2, ... path segments; empty without a host."""
+    """Array of (key, specificity): the host, its parent domains of two labels or more (no registry's, such as ``co.uk``; an address
+    has none), and the host with its first 1, 2, ... path segments; empty without a host."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
     item = lambda key, rank: F.struct(key.alias("key"), rank.cast("int").alias("specificity"))
-    hosts = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: item(F.array_join(F.slice(labels, i, n), "."), n - i + 1))
+    last = F.when(host.rlike(ADDRESS), F.lit(1)).otherwise(F.greatest(n - 1, F.lit(1)))
+    hosts = F.transform(F.sequence(F.lit(1), last), lambda i: item(F.array_join(F.slice(labels, i, n), "."), n - i + 1))
+    hosts = F.filter(hosts, lambda k: (k["key"] == host) | ~k["key"].rlike(SECOND_LEVEL))
     numbers = F.when(F.size(segments) > 0, F.sequence(F.lit(1), F.greatest(F.size(segments), F.lit(1)))).otherwise(F.array().cast("array<int>"))
     paths = F.transform(numbers, lambda i: item(F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")), F.lit(PATH_RANK) + i))
     return F.when(host == "", F.array().cast("array<struct<key:string,specificity:int>>")).otherwise(F.concat(hosts, paths))

@@ -92,3 +92,18 @@ def test_stock_phrases_of_templated_items_are_clean(documents, spark):
     n = len(rows)
     assert {(r.doc_id, r.item_id) for r in D.find(docs, bench).collect()} == {(n, 0), (n + 1, 4), *((n + 2 + i, 5) for i in range(15))}
     assert {r.doc_id for r in D.drop(docs, bench).collect()} == set(range(n))
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.25, 0.3, 0.35])
+def test_recall_against_full_alignment(documents, spark, rate):
+    """Items with words changed at random, inside other texts: found where Smith-Waterman over the whole text finds them."""
+    rng = random.Random(int(rate * 100))
+    items = [words(rng, rng.choice((10, 14, 20, 35))) for _ in range(150)]
+    texts = [[*words(rng, 60), *(rng.choice(words(rng, 1)) if rng.random() < rate else w for w in item), *words(rng, 60)] for item in items]
+    docs, bench = documents(*[" ".join(t) for t in texts]), spark.createDataFrame([(k, " ".join(t), "") for k, t in enumerate(items)], ITEMS)
+    found = {(r.doc_id, r.item_id) for r in D.find(docs, bench).collect()}
+    number = {}
+    code = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws], np.uint64)
+    full = [k for k, (item, t) in enumerate(zip(items, texts, strict=True)) if D.align(code(item), code(t)) >= D.MIN_SCORE]
+    assert len(full) > 50 and sum((k, k) in found for k in full) >= 0.93 * len(full)
+    assert all(a == b for a, b in found)

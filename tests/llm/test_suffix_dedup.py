@@ -86,6 +86,13 @@ def test_repeated_rows_nulls_and_clashing_ids(documents):
     assert solved(documents(*rows).limit(0)) == []
 
 
+def test_crafted_texts(documents):
+    # Thue-Morse words collide as polynomials mod 2**64 from 1,024 letters on; spans are shorter
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    rows = [(i, "".join(ab[k] for k in bits[:m])) for i, (m, ab) in enumerate((m, ab) for m in (1024, 2048, 4096) for ab in ("ab", "ba"))]
+    assert solved(documents(*rows)) == brute(rows)
+
+
 def test_collisions_are_verified(monkeypatch):
     # with hashes that tell nothing apart, classes still follow the bytes
     monkeypatch.setattr(S, "span_hashes", lambda prefix, a, b: np.zeros(np.broadcast(a, b).shape, np.uint64))

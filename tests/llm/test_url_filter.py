@@ -59,3 +59,12 @@ def test_empty_tables(spark):
 def test_plan_is_native(spark):
     plan = U.judge(spark.createDataFrame([(1, "http://a.b/c", D(1), "x")], CAPTURES), spark.createDataFrame([], ENTRIES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_hosts_addresses_and_registries(spark):
+    keys = ["3.4", "2.3.4", "1.2.3.4", "co.uk", "site.co.uk", "example.com", "[::1]", "localhost"]
+    urls = {"http://9.2.3.4/": None, "http://1.2.3.4:80/x": "1.2.3.4", "https://shop.co.uk/": None, "https://www.site.co.uk./a": "site.co.uk", "http://co.uk/": "co.uk", "http://u:p@[::1]:8080/x": "[::1]",
+            "//www.example.com/a": "example.com", "www.example.com/a?b": "example.com", "EXAMPLE.com.": "example.com", "1.2.3.4/x": "1.2.3.4", "not a url": None, "mailto:a@example.com": None, "http://": None, "localhost": None}
+    captures = spark.createDataFrame([(i, u, D(5), "x") for i, u in enumerate(urls)], CAPTURES)
+    entries = spark.createDataFrame([(k, "block", "add", D(0), "x") for k in keys], ENTRIES)
+    assert {r.url: r.matched_key for r in U.judge(captures, entries).collect()} == urls
