@@ -2,7 +2,8 @@
 
 A lexicon of words and word beginnings is kept in a trie. A word is run through the automaton of all
 strings within the allowed edits of a term (determinised lazily: one dictionary lookup per character, and
-a word that can no longer reach a term is left at once), so misspelled terms are found. Each hit is
+a word that can no longer reach a term is left at once), so misspelled terms are found. Short and rare terms have no
+misspellings, and words that clean training texts hold are none. Each hit is
 weighed by its context: inside quotation marks or beside a reporting verb (quotation), beside a
 second-person word or another hit (abuse). A logistic model turns the sums into a score.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -39,8 +41,10 @@ THRESHOLD = 0.3
 PRIOR = 0.05
 #: Words on either side of a hit that count as its context.
 WINDOW = 8
-#: Words and automaton states that a worker remembers (about 100 and 1,000 bytes each).
-CACHE_WORDS, CACHE_STATES = 200_000, 20_000
+#: Toxic training documents from which a term's misspellings count, too: those of rarer terms are mostly other words.
+FUZZY_DOCS = 8
+#: Words and automaton states that a worker remembers (about 150 and 1,000 bytes each).
+CACHE_WORDS, CACHE_STATES = 200_000, 50_000
 
 WORD = re.compile(r"\w+")
 REPORTING = frozenset("said says wrote writes called calls quoted quote reported word words term sagte schrieb genannt wort dit écrit appelé mot dijo escribió llamó palabra".split())
@@ -56,11 +60,11 @@ def allowed_edits(term: str) -> int:
 class TrieAutomaton:
     """Finds for a word the heaviest lexicon term within its allowed edits.
 
-    A term that ends in ``*`` is a word beginning and is matched exactly. Configurations are
-    (trie node, edits spent); a set of them is one state of the lazily built automaton.
+    A term that ends in ``*`` is a word beginning and is matched exactly, and so are the terms of ``exact``. Configurations are
+    (trie node, edits spent), numbered node * 4 + edits; a set of them, packed, is one state of the lazily built automaton.
     """
 
-    def __init__(self, terms: dict[str, float]):
+    def __init__(self, terms: dict[str, float], exact: frozenset = frozenset()):
         self.children: list[dict[str, int]] = [{}]
         self.end: list[float | None] = [None]
         self.begin: list[float | None] = [None]
@@ -68,7 +72,7 @@ class TrieAutomaton:
         self.most = [0]
         for term, weight in terms.items():
             start = term.endswith("*")
-            text, k, node = term.rstrip("*"), 0 if start else allowed_edits(term), 0
+            text, k, node = term.rstrip("*"), 0 if start or term in exact else allowed_edits(term), 0
             if not text:
                 continue
             self.most[0] = max(self.most[0], k)
@@ -89,67 +93,70 @@ class TrieAutomaton:
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[frozenset] = []
-        self.number: dict[frozenset, int] = {}
-        self.step: list[dict[str, int]] = []
+        self.states: list[bytes] = []
+        self.number: dict[tuple[bytes, float], int] = {}
+        self.step: dict[int, int] = {}  # by state and character
         self.accept: list[tuple[int, float]] = []
         self.begun: list[float] = []
-        self.first = self._state({(0, 0)}, 0.0)
+        self.first = self._state({0}, 0.0)
 
-    def _state(self, configs: set, begun: float) -> int:
+    def _state(self, configs: set[int], begun: float) -> int:
         """The state's number, with term characters skipped (deletions) as far as edits allow; -1: dead."""
         todo = list(configs)
         while todo:
-            node, e = todo.pop()
+            c = todo.pop()
+            node, e = c >> 2, c & 3
             for child in self.children[node].values():
-                if e + 1 <= self.most[child] and (child, e + 1) not in configs:
-                    configs.add((child, e + 1))
-                    todo.append((child, e + 1))
+                if e + 1 <= self.most[child] and child << 2 | e + 1 not in configs:
+                    configs.add(child << 2 | e + 1)
+                    todo.append(child << 2 | e + 1)
         if not configs and not begun:
             return -1
-        key = frozenset(configs) | ({("begun", begun)} if begun else frozenset())
-        if key not in self.number:
-            exact = max((self.end[n] for n, e in configs if e == 0 and self.end[n]), default=0.0)
-            fuzzy = max((self.end[n] for n, e in configs if 0 < e <= self.edits[n] and self.end[n]), default=0.0)
-            self.number[key] = len(self.states)
-            self.states.append(frozenset(configs))
-            self.step.append({})
+        packed = array("i", sorted(configs)).tobytes()
+        at = self.number.get((packed, begun))
+        if at is None:
+            exact = max((self.end[c >> 2] for c in configs if c & 3 == 0 and self.end[c >> 2]), default=0.0)
+            fuzzy = max((self.end[c >> 2] for c in configs if 0 < c & 3 <= self.edits[c >> 2] and self.end[c >> 2]), default=0.0)
+            at = self.number[packed, begun] = len(self.states)
+            self.states.append(packed)
             self.begun.append(begun)
             self.accept.append((1, exact) if exact else (3, begun) if begun else (2, fuzzy) if fuzzy else (0, 0.0))
-        return self.number[key]
+        return at
 
     def _next(self, at: int, ch: str, begun: float) -> int:
         out = set()
-        for node, e in self.states[at]:
+        for config in array("i", self.states[at]):
+            node, e = config >> 2, config & 3
             if e + 1 <= self.most[node]:
-                out.add((node, e + 1))  # a character too many
+                out.add(node << 2 | e + 1)  # a character too many
             for c, child in self.children[node].items():
                 if c == ch:
-                    out.add((child, e))
+                    out.add(child << 2 | e)
                 elif e + 1 <= self.most[child]:
-                    out.add((child, e + 1))  # another character
-        for node, e in out:
-            if e == 0 and self.begin[node]:
-                begun = max(begun, self.begin[node])
+                    out.add(child << 2 | e + 1)  # another character
+        for c in out:
+            if c & 3 == 0 and self.begin[c >> 2]:
+                begun = max(begun, self.begin[c >> 2])
         return self._state(out, begun)
 
     def match(self, word: str) -> tuple[int, float]:
         """(0 none, 1 exact, 2 misspelled, 3 beginning; the term's weight)."""
         if len(self.states) > CACHE_STATES:
             self._reset()
-        at = self.first
+        at, steps = self.first, self.step
         for ch in word:
-            step = self.step[at]
-            to = step.get(ch)
+            key = at << 21 | ord(ch)
+            to = steps.get(key)
             if to is None:
-                to = step[ch] = self._next(at, ch, self.begun[at])
+                to = steps[key] = self._next(at, ch, self.begun[at])
             if to < 0:
-                return 0, 0.0
+                return NO_HIT
             at = to
         return self.accept[at]
 
 
 N_FEATURES = 7
+NO_HIT = (0, 0.0)
 
 
 @dataclass
@@ -157,13 +164,16 @@ class Model:
     terms: dict[str, float] = field(default_factory=dict)
     weights: list[float] | None = None
     prior: float = PRIOR
+    #: Terms that are only matched exactly, and words that clean texts hold and that are no misspellings.
+    exact: frozenset = frozenset()
+    clean: frozenset = frozenset()
 
 
 class Scorer:
     """Feature sums and scores of texts; keeps a bounded memory of words."""
 
     def __init__(self, model: Model):
-        self.model, self.automaton, self.known = model, TrieAutomaton(model.terms), {}
+        self.model, self.automaton, self.known = model, TrieAutomaton(model.terms, model.exact), {}
 
     def _hits(self, words: set) -> dict[str, tuple[int, float]]:
         known, match, out = self.known, self.automaton.match, {}
@@ -172,7 +182,10 @@ class Scorer:
         for w in words:
             got = known.get(w)
             if got is None:
-                got = known[w] = match(w)
+                got = match(w)
+                if got[0] == 2 and w in self.model.clean:
+                    got = NO_HIT
+                known[w] = got
             if got[0]:
                 out[w] = got
         return out
@@ -207,6 +220,13 @@ class Scorer:
         out[5] = float(np.log1p(1000.0 * n / len(words)))
         return out
 
+    def misspelt(self, text: str | None) -> str | None:
+        """The text with a letter doubled in every exact hit whose misspellings count."""
+        if not text:
+            return text
+        hits = {w for w, (kind, _) in self._hits(set(WORD.findall(text.lower()))).items() if kind == 1 and w not in self.model.exact and allowed_edits(w)}
+        return WORD.sub(lambda m: m[0][: len(m[0]) // 2] + m[0][len(m[0]) // 2 - 1 :] if m[0].lower() in hits else m[0], text) if hits else text
+
     @staticmethod
     def _quoted(low: str, words: list[str], at: list[int]) -> set[int]:
         """Hits that stand between quotation marks on one line."""
@@ -232,7 +252,7 @@ class Scorer:
 
 def _scorer(model: Model) -> Scorer:
     """The process's scorer of ``model``: tasks that follow each other share its words and states."""
-    key = hashlib.sha256(repr((sorted(model.terms.items()), model.weights, model.prior)).encode()).hexdigest()
+    key = hashlib.sha256(repr((sorted(model.terms.items()), model.weights, model.prior, sorted(model.exact), sorted(model.clean))).encode()).hexdigest()
     return resident(("scorer", key), lambda: Scorer(model))
 
 
@@ -257,6 +277,16 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v[1] for v in sums.values()], pa.int64()), pa.array([v[0] for v in sums.values()], pa.int64())], ["term", "pos", "neg"])
 
 
+def _near_rows(model: Model):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = _scorer(model)
+        for b in slices(batches):
+            words = {w for t in b.column("text").to_pylist() for w in WORD.findall((t or "").lower())}
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, (kind, _) in scorer._hits(words).items() if kind == 2], pa.string())], ["word"])
+
+    return rows
+
+
 def prune(terms: dict[str, float]) -> dict[str, float]:
     """``terms`` without the beginnings that change no match: those with a shorter beginning of at least their weight.
     Every word stays, so its misspellings count."""
@@ -284,15 +314,22 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     odds = F.log((F.col("pos") + 0.1) / (p + 0.2)) - F.log((F.col("neg") + 0.1) / (n + 0.2))
     best = (counts.filter(F.col("pos") >= MIN_DOCS).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
             .orderBy(F.desc("pos"), F.desc("odds"), "term").collect())  # of at most max_train documents, each term in MIN_DOCS of them
-    model = Model(prune({r["term"]: min(float(r["odds"]), 8.0) for r in best}))
+    model = Model(prune({r["term"]: min(float(r["odds"]), 8.0) for r in best}), exact=frozenset(r["term"] for r in best if r["pos"] < FUZZY_DOCS))
+    # words within the edits of a term that clean training documents hold
+    near = train.filter("half = 0 and toxic = 0").select("text").mapInArrow(_near_rows(model), "word string").distinct().collect()
+    model.clean = frozenset(r["word"] for r in near)
 
     def rows(batches):
         scorer = _scorer(model)
         for b in slices(batches):
-            x = [scorer.features(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column("toxic").cast(pa.int32())], ["x", "toxic"])
-
-    # at most max_train rows of N_FEATURES numbers
+            x, y = [], []
+            for t, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), strict=True):
+                for text in {t, scorer.misspelt(t)} if toxic else {t}:
+                    x.append(scorer.features(text))
+                    y.append(toxic)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32())], ["x", "toxic"])
+
+    # at most twice max_train rows of N_FEATURES numbers: toxic texts also count with their terms misspelt
     sample = train.filter("half = 1").select("text", "toxic").mapInArrow(rows, "x array<double>, toxic int").toPandas()
     if sample.empty or sample["toxic"].nunique() < 2:
         return Model()

@@ -122,3 +122,33 @@ def test_beginnings_left_out_change_no_match():
         for _ in range(60):
             w = "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
             assert a.match(w) == b.match(w)
+
+
+def test_misspellings_and_contexts_add_recall(documents, spark):
+    """Ablation on planted texts: without the automaton misspelt terms are lost, words of clean texts are no misspellings."""
+    rng = random.Random(12)
+    bad = ["blockhead", "scoundrel", "nincompoop", "deadbeat"]
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 7))) for _ in range(300)] + ["deadheat"]
+    texts, labels = [], []
+    for i in range(1200):
+        t = [rng.choice(words) for _ in range(40)] + (["deadheat"] if i % 7 == 0 else [])
+        if i % 5 == 0:
+            t.insert(rng.randrange(40), rng.choice(bad))
+        texts.append((i, " ".join(t)))
+        labels.append((i, 1, int(i % 5 == 0)))
+    model = T.learn(documents(*texts), spark.createDataFrame(labels, LABELS))
+    assert "deadheat" in model.clean and set(bad) <= set(model.terms) - model.exact
+    planted = []
+    for k in range(60):
+        w = list(rng.choice(bad))
+        at = rng.randrange(1, len(w))
+        w[at : at + rng.randint(0, 1)] = rng.choice("xyz0")
+        planted.append(" ".join([*(rng.choice(words) for _ in range(20)), "".join(w), *(rng.choice(words) for _ in range(20))]))
+    clean = [" ".join(rng.choice(words) for _ in range(41)) for _ in range(60)]
+    both, exact_only = T.Scorer(model), T.Scorer(T.Model(model.terms, model.weights, exact=frozenset(model.terms)))
+    found = [sum(s.score(t) >= T.THRESHOLD for t in planted) for s in (both, exact_only)]
+    assert found[0] >= 57 and found[0] - found[1] >= 15  # beginnings find some of them alone
+    assert sum(both.score(t) >= T.THRESHOLD for t in clean) <= 2
+    # quoted, a text scores no higher than said straight out
+    straight, quoted = "you are a blockhead and nothing else", 'they wrote "you are a blockhead" and nothing else'
+    assert both.features(quoted)[0] == 0 < both.features(straight)[0]
