@@ -45,7 +45,9 @@ SHARD_SLOTS = 16_384
 KEY = "order-1"
 ROUNDS = 6
 #: Pieces that are remembered (about 200 bytes each), and the longest such piece in bytes.
-CACHE_PIECES, CACHE_BYTES = 150_000, 64
+CACHE_PIECES, CACHE_BYTES = 60_000, 64
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 1 << 18
 #: Texts with code points from here on, or with apostrophes, are split by the pattern itself.
 PLAIN = 0x3000
 #: Most staged files whose counts are broadcast (about 100 bytes each).
@@ -169,7 +171,7 @@ def _pack_rows(vocabulary, sequence: int, end: int):
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("token", pa.int64()), ("at", pa.int32()), ("n", pa.int32())]))
             return pa.RecordBatch.from_arrays([pa.array([r for r, *_ in out], pa.int32()), pa.array([c for _, c, _ in out], pa.binary()), pa.array([d for *_, d in out], kind)], ["n_tokens", "packed", "docs"])
 
-        for b in slices(batches):
+        for b in slices(batches, limit=ENCODE_BYTES):
             ids, off = encoder.encode(b.column("text").to_pylist())
             n = np.diff(off) + 1
             stop = np.cumsum(n)
