@@ -10,6 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact as X
 from ..functions.semantics import col
 
 # fixed values: gas constant (L atm K^-1 mol^-1) and default chamber setup
@@ -86,8 +87,9 @@ def flux_from_slope(slope: Column | str, temp_k: Column | str | float = 293.15,
 def measurement_slopes(matched: DataFrame, keys: list[str], conc: str, seconds: str,
                        out: str = "slope") -> DataFrame:
     """Least-squares slope of concentration over elapsed time per measurement
-    (an aggregate: partial sums per task, no per-group collection)."""
-    return matched.groupBy(*keys).agg(F.regr_slope(F.col(conc), F.col(seconds)).alias(out),
+    (an aggregate: partial sums per task, no per-group collection; the same
+    bits whatever the order of the readings)."""
+    return matched.groupBy(*keys).agg(X.slope_exact(conc, seconds).alias(out),
                                       F.count(F.lit(1)).alias("n_readings"))
 
 
@@ -100,6 +102,6 @@ def gep(fluxes: DataFrame, keys: list[str], kind: str, value: str,
     shows. A unit without one of the kinds has no GEP."""
     of = lambda k: F.when(F.col(kind) == F.lit(k), F.col(value))
     p = fluxes.groupBy(*keys).agg(
-        F.avg(of(light)).alias(light), F.avg(of(dark)).alias(dark),
+        X.mean_exact(of(light)).alias(light), X.mean_exact(of(dark)).alias(dark),
         F.count(of(light)).alias(f"n_{light}"), F.count(of(dark)).alias(f"n_{dark}"))
     return p.withColumn("GEP", F.col(light) - F.col(dark))

@@ -16,10 +16,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import exact as X
 from ..functions import semantics as S
 from . import joins
 
 
+def mean_of(df: DataFrame, value: str) -> Column:
+    """Mean of the known values; of doubles, whatever the order of the rows."""
+    return X.mean_exact(value) if X.is_float(df.schema[value].dataType) else F.avg(value)
+
+
+def sum_of(df: DataFrame, value: str) -> Column:
+    """Sum of the known values; of doubles, whatever the order of the rows."""
+    return X.sum_exact(value) if X.is_float(df.schema[value].dataType) else F.sum(value)
+
+
+def strict_sum_of(df: DataFrame, value: str) -> Column:
+    """Sum that is NULL when any value is; of doubles, whatever the order of the rows."""
+    if not X.is_float(df.schema[value].dataType):
+        return S.sum_strict(value)
+    return F.when(F.count(value) == F.count(F.lit(1)), X.sum_exact(value))
+
+
 def group_mutate(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Add one column per aggregate, computed over the row's group.
 
@@ -33,12 +51,12 @@ def group_mutate(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
 
 def group_mean(df: DataFrame, keys: Sequence[str], value: str, out: str | None = None) -> DataFrame:
     """Mean of the known values of the group on every row (NULL if none)."""
-    return group_mutate(df, keys, {out or value: F.avg(value)})
+    return group_mutate(df, keys, {out or value: mean_of(df, value)})
 
 
 def group_sum_strict(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Group sum that is NULL when any value of the group is NULL."""
-    return group_mutate(df, keys, {out: S.sum_strict(value)})
+    return group_mutate(df, keys, {out: strict_sum_of(df, value)})
 
 
 def group_size(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -58,14 +76,14 @@ def targeted_group_sum(df: DataFrame, keys: Sequence[str], value: str, pred: Col
     keys = list(keys)
     tmp = "__tgs"
     if key_pred:
-        sums = df.filter(pred).groupBy(*keys).agg(S.sum_strict(value).alias(tmp))
+        sums = df.filter(pred).groupBy(*keys).agg(strict_sum_of(df, value).alias(tmp))
         hit = F.coalesce(pred, F.lit(False))
         return joins.join(df.withColumn("__pred", hit), sums, keys, "left").withColumn(
             value, F.when(F.col("__pred"), F.col(tmp)).otherwise(F.col(value))).drop(tmp, "__pred")
     flagged = df.withColumn("__pred", F.coalesce(pred, F.lit(False)))
     targets = flagged.filter("__pred").select(*keys).distinct()
     sums = (joins.semi_join(flagged, targets, keys)
-            .groupBy(*keys).agg(S.sum_strict(value).alias(tmp)))
+            .groupBy(*keys).agg(strict_sum_of(df, value).alias(tmp)))
     j = joins.join(flagged, sums, keys, "left")
     return (j.withColumn(value, F.when(F.col("__pred"), F.col(tmp)).otherwise(F.col(value)))
              .drop(tmp, "__pred"))
@@ -107,7 +125,7 @@ def pooled_mean_agg(values: Sequence[str]) -> Column:
     tot = sum((F.coalesce(F.col(v).cast("double"), F.lit(0.0)) for v in values[1:]),
               F.coalesce(F.col(values[0]).cast("double"), F.lit(0.0)))
     cnt = sum((F.col(v).isNotNull().cast("long") for v in values), F.lit(0))
-    return F.try_divide(F.sum(tot), F.sum(cnt).cast("double"))
+    return F.try_divide(X.sum_exact(tot), F.sum(cnt).cast("double"))
 
 
 def pooled_group_mean(df: DataFrame, keys: Sequence[str], values: Sequence[str], out: str,

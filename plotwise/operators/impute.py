@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import semantics as S
 from . import joins
-from .grouped import sampling_index
+from .grouped import mean_of, sampling_index, sum_of
 
 ADJACENT_FLAG = "Subturf w/o cover. Imputed as mean of adjacent years"
 
@@ -142,13 +142,13 @@ def adjacent_impute(df: DataFrame, unit: Sequence[str], item: Sequence[str], per
         known = known.select(*unit, *item, period, value).distinct()
     # reduce to (count, sum) per occasion first, then look up the occasion's
     # index (one index row per unit and period)
-    nb = known.groupBy(*unit, *item, period).agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__sum"))
+    nb = known.groupBy(*unit, *item, period).agg(F.count(F.lit(1)).alias("__n"), sum_of(df, value).alias("__sum"))
     nb = joins.join(nb, idx, unit + [period], "inner").drop(period)
     probes = miss.withColumn("__nb", F.explode(F.array(F.col("__s") - 1, F.col("__s") + 1)))
     nb = nb.withColumnRenamed("__s", "__nb")
     m = joins.join(probes, nb, unit + item + ["__nb"], "inner")
     res = (m.groupBy(*out_keys)
-            .agg(F.max("__m").alias("__m"), F.sum("__n").alias("__n"), F.sum("__sum").alias("__sum"))
+            .agg(F.max("__m").alias("__m"), F.sum("__n").alias("__n"), sum_of(m, "__sum").alias("__sum"))
             .filter(F.col("__m") * F.col("__n") == 2)
             .select(*out_keys, (F.col("__sum") / F.col("__n").cast("double")).alias(value),
                     F.lit(flag).alias("flag")))
@@ -164,7 +164,7 @@ def group_mean_impute(df: DataFrame, group: Sequence[str], value: str,
     """
     group = list(group)
     means = (joins.semi_join(df, missing_keys.select(*group).distinct(), group)
-             .groupBy(*group).agg(F.avg(value).alias(value)))
+             .groupBy(*group).agg(mean_of(df, value).alias(value)))
     return joins.join(missing_keys, means, group, "left")
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import semantics as S
-from ..operators import corrections as C
 from ..operators import impute as I
 from ..operators import joins as J
+from ..operators import rules as RU
 from . import dictionaries as D
 
 # declared sheet schema (every sheet of the workbook, exported one file each)
@@ -26,9 +26,9 @@ RAW_SCHEMA = T.StructType([
     T.StructField("Name", T.StringType()), T.StructField("Remark", T.StringType()),
 ])
 
-# Ordered record repairs (target, conditions, new value).
-# A condition is (column, "==" value | "in" values | "isna").
-REPAIRS = [
+# Ordered record repairs (target, tests, new value).
+# A test is (column, "==" value | "in" values | "isna").
+REPAIRS = RU.as_rules([
     ("block", [("year", "==", 2019), ("site", "==", "ARH"), ("block", "isna", None)], 4.0),
     ("block", [("year", "==", 2015), ("site", "==", "ALR"), ("block", "==", 4)], 5.0),
     ("block", [("year", "==", 2016), ("site", "==", "ALR"), ("block", "==", 1), ("name", "==", "Olav")], 2.0),
@@ -50,22 +50,7 @@ REPAIRS = [
                     ("name", "==", "PS")], "G"),
     ("treatment", [("year", "==", 2019), ("site", "==", "SKJ"), ("block", "==", 2), ("biomass", "in", [0.43, 1.84]),
                    ("name", "==", "sari")], "FB"),
-]
-
-
-def rule_condition(conds) -> F.Column:
-    """AND of simple tests; ``==`` on a missing value is unknown, ``in`` and
-    ``isna`` never are."""
-    out = None
-    for colname, op, val in conds:
-        c = F.col(f"`{colname}`")
-        t = {"==": lambda: c == F.lit(val), "in": lambda: S.is_in(c, val), "isna": lambda: c.isNull()}[op]()
-        out = t if out is None else out & t
-    return out
-
-
-def apply_repairs(df: DataFrame, repairs=REPAIRS) -> DataFrame:
-    return C.apply_ordered_many(df, [(t, rule_condition(cs), F.lit(v)) for t, cs, v in repairs])
+])
 
 
 def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFrame | None = None,
@@ -88,7 +73,7 @@ def clean_biomass(raw: DataFrame, rounds: DataFrame | None = None, dates: DataFr
     b = I.explode_lookup_fill(b, rounds, "block", ["year", "site", "block"], "round", "round_new",
                               broadcast=True)  # fixed table
     b = b.filter(F.col("treatment") != "RTC")
-    b = apply_repairs(b)
+    b = RU.apply_rules(b, REPAIRS)
     dates = dates.withColumn("year", F.col("year").cast("double"))
     if corrected:
         dates = dates.distinct()

@@ -16,11 +16,13 @@ sequence of single IEEE operations written the same way in both plans.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exact as X
 from ..functions import semantics as S
 from ..functions import temporal as TM
 from ..operators import corrections as C
@@ -31,6 +33,7 @@ from ..operators import classify as K
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
+from ..operators import rules as RU
 from ..session import stage, staging_dir
 from ..sources.io import table
 from ..sources.inline import inline_table
@@ -61,6 +64,15 @@ def _cents(c):
     return F.round(F.col(c) * F.lit(100.0))
 
 
+def _sql_exact(x: str, tail: str = "") -> str:
+    """The order-independent sum of doubles in SQL: integer parts, 26 and 26 bits of the fraction; one rounding at the end."""
+    frac = f"(({x}) - floor({x})) * 67108864::DOUBLE"
+    low = f"sum(CAST(floor(({frac} - floor({frac})) * 67108864::DOUBLE) AS BIGINT)){tail}"
+    rest = f"(sum(CAST(floor({frac}) AS BIGINT)){tail} * 67108864 + {low})"
+    return (f"(CAST(sum(CAST(floor({x}) AS BIGINT)){tail} + {rest} // 4503599627370496 AS DOUBLE)"
+            f" + CAST({rest} % 4503599627370496 AS DOUBLE) / 4503599627370496::DOUBLE)")
+
+
 # ==========================================================================
 # scans, projections, filters
 # ==========================================================================
@@ -1177,36 +1189,51 @@ def flux_window_match(spark, sf):
     return _matched(spark, sf).select("measurement_id", "event_id", "seconds")
 
 
-@register("flux_slope", _MATCH_SQL + """
-SELECT measurement_id, count(*) AS n_readings,
-       round(CASE WHEN count(*) >= 2 AND var_pop(seconds) > 0 THEN regr_slope(value, seconds) END, 6) AS slope,
-       round(CASE WHEN count(*) >= 2 AND var_pop(seconds) > 0 THEN regr_slope(value, seconds) END
-             * (25.0::DOUBLE + 60.0::DOUBLE * pi() * 0.0004::DOUBLE) * 3.6::DOUBLE / (0.082057::DOUBLE * temp_k * 0.0625::DOUBLE), 6) AS flux
-FROM m JOIN (SELECT event_id AS mid, CAST(283.15 + event_id % 20 AS DOUBLE) AS temp_k FROM events) t ON t.mid = m.measurement_id GROUP BY 1, temp_k
-""")
+def _flux_slope_sql() -> str:
+    const = 1.0 * (25.0 + math.pi * 60.0 * 0.0004) * 3.6  # pressure x (chamber and tubing volume) x mmol per hour
+    return _MATCH_SQL + f""",
+s AS (SELECT measurement_id, count(*) AS n_readings, CAST(count(*) AS DOUBLE) AS n, {_sql_exact('seconds')} AS sx, {_sql_exact('value')} AS sy,
+             {_sql_exact('seconds * seconds')} AS sxx, {_sql_exact('seconds * value')} AS sxy FROM m GROUP BY 1),
+b AS (SELECT measurement_id, n_readings, CASE WHEN n >= 2 AND n * sxx - sx * sx > 0 THEN (n * sxy - sx * sy) / (n * sxx - sx * sx) END AS slope FROM s)
+SELECT measurement_id, n_readings, slope,
+       slope * {const!r}::DOUBLE / (0.082057::DOUBLE * (CAST(measurement_id % 20 AS DOUBLE) + 283.15::DOUBLE) * 0.0625::DOUBLE) AS flux
+FROM b
+"""
+
+
+@register("flux_slope", _flux_slope_sql())
 def flux_slope(spark, sf):
     s = FX.measurement_slopes(_matched(spark, sf), ["measurement_id"], "value", "seconds")
     # the air temperature of each measurement is an input
-    temp_k = (F.col("measurement_id") % 20 + 283.15).cast("double")
-    return s.select("measurement_id", "n_readings", F.round("slope", 6).alias("slope"),
-                    F.round(FX.flux_from_slope("slope", temp_k), 6).alias("flux"))
+    temp_k = (F.col("measurement_id") % 20).cast("double") + F.lit(283.15)
+    return s.select("measurement_id", "n_readings", "slope", FX.flux_from_slope("slope", temp_k).alias("flux"))
 
 
-@register("flux_gep", """
-WITH f AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type IN ('purchase', 'click') THEN 'NEE' ELSE 'ER' END AS kind,
-                  floor(value) AS value FROM events),
-p AS (SELECT user_id, day, avg(value) FILTER (kind = 'NEE') AS "NEE", avg(value) FILTER (kind = 'ER') AS "ER",
+@register("flux_gep", f"""
+WITH f AS (SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_type IN ('purchase', 'click') THEN 'NEE' ELSE 'ER' END AS kind, value FROM events),
+p AS (SELECT user_id, day, {_sql_exact('CASE WHEN kind = $$NEE$$ THEN value END')} / nullif(CAST(count(value) FILTER (kind = 'NEE') AS DOUBLE), 0) AS "NEE",
+             {_sql_exact('CASE WHEN kind = $$ER$$ THEN value END')} / nullif(CAST(count(value) FILTER (kind = 'ER') AS DOUBLE), 0) AS "ER",
              count(value) FILTER (kind = 'NEE') AS "n_NEE", count(value) FILTER (kind = 'ER') AS "n_ER" FROM f GROUP BY 1, 2)
 SELECT user_id, day, "NEE", "ER", "n_NEE", "n_ER", "NEE" - "ER" AS "GEP" FROM p
 """)
 def flux_gep(spark, sf):
     f = _t(spark, sf, "events").select(
         "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"),
-        F.when(F.col("event_type").isin("purchase", "click"), F.lit("NEE")).otherwise(F.lit("ER")).alias("kind"),
-        F.floor("value").cast("double").alias("value"))  # whole values: sums don't depend on their order
+        F.when(F.col("event_type").isin("purchase", "click"), F.lit("NEE")).otherwise(F.lit("ER")).alias("kind"), "value")
     return FX.gep(f, ["user_id", "day"], "kind", "value")
 
 
+@register("exact_group_sums", f"""
+WITH x AS (SELECT o_custkey, o_orderpriority, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice * 1.2::DOUBLE / 7::DOUBLE END AS v FROM orders)
+SELECT o_custkey, o_orderpriority, {_sql_exact('v')} AS total, {_sql_exact('v')} / nullif(CAST(count(v) AS DOUBLE), 0) AS mean,
+       CASE WHEN count(v) = count(*) THEN {_sql_exact('v')} END AS strict
+FROM x GROUP BY 1, 2
+""")
+def exact_group_sums(spark, sf):
+    x = _t(spark, sf, "orders").select("o_custkey", "o_orderpriority", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_totalprice") * F.lit(1.2) / F.lit(7.0)).alias("v"))
+    return x.groupBy("o_custkey", "o_orderpriority").agg(X.sum_exact("v").alias("total"), X.mean_exact("v").alias("mean"), G.strict_sum_of(x, "v").alias("strict"))
+
+
 @register("affinity_class", """
 WITH j AS (SELECT l.l_partkey, r.r_name FROM lineitem l
            LEFT JOIN supplier s ON l.l_suppkey IS NOT DISTINCT FROM s.s_suppkey
@@ -1342,30 +1369,30 @@ def _sql_list_pick(expr: str, values) -> str:
     return f"CASE {expr} {arms} END"
 
 
-def _sql_lit(v) -> str:
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return f"CAST({v!r} AS DOUBLE)"
+# The biomass record repairs in order, written out for the oracle (fixed values): column, condition, new value.
+_REPAIRS_SQL = [
+    ("block", "year = 2019 AND site = 'ARH' AND block IS NULL", "4.0"),
+    ("block", "year = 2015 AND site = 'ALR' AND block = 4", "5.0"),
+    ("block", "year = 2016 AND site = 'ALR' AND block = 1 AND name = 'Olav'", "2.0"),
+    ("block", "year = 2017 AND site = 'ALR' AND block = 1 AND name = 'Anja Petek'", "2.0"),
+    ("block", "year = 2019 AND site = 'HOG' AND block = 3 AND treatment = 'F' AND name = 'PS'", "4.0"),
+    ("block", "year = 2019 AND site = 'ULV' AND coalesce(block IN (4, 5, 6), false) AND name = 'IA'", "3.0"),
+    ("block", "year = 2019 AND site = 'VES' AND block = 3 AND treatment = 'FGB' AND name = 'PS'", "4.0"),
+    ("treatment", "year = 2019 AND site = 'VIK' AND block = 5 AND biomass = CAST(0.57 AS DOUBLE) AND name = 'VG'", "'FB'"),
+    ("removed_fg", "year = 2019 AND site = 'VIK' AND block = 2 AND biomass = CAST(1.77 AS DOUBLE) AND name = 'sari'", "'F'"),
+    ("removed_fg", "year = 2019 AND site = 'GUD' AND block = 12 AND biomass = CAST(0.56 AS DOUBLE) AND name = 'PS'", "'G'"),
+    ("removed_fg", "year = 2019 AND site = 'GUD' AND block = 12 AND biomass = CAST(0.17 AS DOUBLE) AND name = 'PS'", "'B'"),
+    ("removed_fg", "year = 2019 AND site = 'GUD' AND block = 12 AND biomass = CAST(0.89 AS DOUBLE) AND name = 'PS'", "'G'"),
+    ("treatment", "year = 2019 AND site = 'SKJ' AND block = 2 AND coalesce(biomass IN (CAST(0.43 AS DOUBLE), CAST(1.84 AS DOUBLE)), false) AND name = 'sari'", "'FB'"),
+]
 
 
-def _sql_repairs(prev: str) -> tuple[str, str]:
-    """CTE chain applying the biomass record repairs in order (strict
-    two-way choice: an unknown condition gives NULL)."""
-    from . import biomass as BM
+def _sql_edits(prev: str, edits) -> tuple[str, str]:
+    """CTE chain of ordered strict edits: an unknown condition gives NULL."""
     ctes, cur = [], prev
-    for i, (target, conds, val) in enumerate(BM.REPAIRS):
-        parts = []
-        for c, op, v in conds:
-            if op == "==":
-                parts.append(f"{c} = {_sql_lit(v)}")
-            elif op == "in":
-                parts.append(f"coalesce({c} IN ({', '.join(_sql_lit(x) for x in v)}), false)")
-            else:
-                parts.append(f"{c} IS NULL")
-        cond = "(" + " AND ".join(parts) + ")"
+    for i, (target, cond, val) in enumerate(edits):
         name = f"rep{i}"
-        ctes.append(f"{name} AS (SELECT * REPLACE (CASE WHEN {cond} IS NULL THEN NULL WHEN {cond} "
-                    f"THEN {_sql_lit(val)} ELSE {target} END AS {target}) FROM {cur})")
+        ctes.append(f"{name} AS (SELECT * REPLACE (CASE WHEN ({cond}) IS NULL THEN NULL WHEN {cond} THEN {val} ELSE {target} END AS {target}) FROM {cur})")
         cur = name
     return ",\n".join(ctes), cur
 
@@ -1389,7 +1416,7 @@ def _biomass_sql() -> str:
     rounds = ", ".join(f"({y}, '{s}', {b}, '{r}')" for y, s, b, r in DD.BIOMASS_ROUNDS)
     dates = ", ".join(f"({y}, '{s}', DATE '{d}')" for y, s, d in DD.BIOMASS_DATES)
     sites = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DD.SITE_FROM_FIELD_CODE.items())
-    reps, last = _sql_repairs("b1")
+    reps, last = _sql_edits("b1", _REPAIRS_SQL)
     return f"""WITH {raw},
 b0 AS (SELECT "Year" AS year, CAST(CAST("Date" AS DATE) AS DATE) AS date,
               CASE WHEN "Site" = 'OVSen' THEN 'OVS' ELSE "Site" END AS site, "Block" AS block,
@@ -1421,6 +1448,28 @@ def biomass_chain(spark, sf):
     return clean.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+# a rule table made of the nations: two rules each, the second one tests what the first one left; rows without a
+# supplier leave every rule unknown whose other tests hold
+@register("ordered_rules_table", """
+WITH x AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 97 <> 0 THEN CAST(l_suppkey % 25 AS INTEGER) END AS nation, l_returnflag AS flag, l_quantity AS quantity FROM lineitem),
+f AS (SELECT * REPLACE (CASE WHEN nation IS NULL THEN NULL WHEN l_linenumber = nation % 7 + 1 THEN 'X' || nation % 3 ELSE flag END AS flag) FROM x)
+SELECT * REPLACE (CASE WHEN nation IS NULL THEN NULL WHEN flag = 'X' || nation % 3 THEN CAST(nation AS DOUBLE) ELSE quantity END AS quantity) FROM f
+""")
+def ordered_rules_table(spark, sf):
+    n = F.col("n_nationkey").cast("int")
+    mark = F.concat(F.lit("X"), (n % 3).cast("string"))
+
+    def test(step: int, target: str, column: str, given, value):
+        return F.struct((n * 2 + step).alias("seq"), F.lit(target).alias("target"), F.lit(column).alias("column"), F.lit("==").alias("op"),
+                        F.array(given.cast("string")).alias("values"), F.lit("set").alias("action"), value.cast("string").alias("value"))
+
+    tests = [test(0, "flag", "nation", n, mark), test(0, "flag", "l_linenumber", n % 7 + 1, mark), test(1, "quantity", "nation", n, n), test(1, "quantity", "flag", mark, n)]
+    rules = _t(spark, sf, "nation").select(F.explode(F.array(*tests)).alias("r")).select("r.*")
+    x = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_partkey") % 97 != 0, (F.col("l_suppkey") % 25).cast("int")).alias("nation"),
+                                         F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("quantity"))
+    return RU.apply_rules(x, RU.rules_of(rules))
+
+
 # events become soil-moisture sheet rows: user -> site and block, event ->
 # treatment, values -> readings (whole numbers as text, some unreadable),
 # day of the event -> day in July of the survey year. Turf ids carry the
@@ -2181,14 +2230,14 @@ m1 AS (SELECT {", ".join(f'coalesce(c."{c}", g."{c}") AS "{c}"' for c in k6)},
 yrs AS (SELECT "turfID", "Year", row_number() OVER (PARTITION BY "turfID" ORDER BY "Year" NULLS LAST) AS s
         FROM (SELECT DISTINCT "turfID", "Year" FROM m1)),
 miss AS (SELECT m1.*, yrs.s FROM m1 JOIN yrs ON {same("m1", "yrs", ["turfID", "Year"])} WHERE m1.cover IS NULL AND m1.presence IS NOT NULL),
-near AS (SELECT "turfID", species, s, count(*) AS n, sum(cover) AS total FROM (
+near AS (SELECT "turfID", species, s, count(*) AS n, {_sql_exact('cover')} AS total FROM (
            SELECT m1."turfID", m1.species, m1.cover, yrs.s FROM m1 JOIN yrs ON {same("m1", "yrs", ["turfID", "Year"])} WHERE m1.cover IS NOT NULL) z GROUP BY 1, 2, 3),
 -- one row for each missing row and each known row one occasion before or after; exactly two make a mean
 mkeys AS (SELECT {", ".join(f'"{c}"' for c in k6)}, s, count(*) AS copies FROM miss GROUP BY ALL),
-adj AS (SELECT {", ".join(f'k."{c}"' for c in k6)}, sum(n.total) / sum(n.n) AS cover
+adj AS (SELECT {", ".join(f'k."{c}"' for c in k6)}, sum(n.total) / CAST(sum(n.n) AS DOUBLE) AS cover
         FROM mkeys k JOIN near n ON {same("k", "n", ["turfID", "species"])} AND n.s IN (k.s - 1, k.s + 1)
         GROUP BY {", ".join(f'k."{c}"' for c in k6)} HAVING max(k.copies) * sum(n.n) = 2),
-smean AS (SELECT "siteID", species, "Year", avg(cover) AS cover FROM m1 GROUP BY ALL),
+smean AS (SELECT "siteID", species, "Year", {_sql_exact('cover')} / nullif(CAST(count(cover) AS DOUBLE), 0) AS cover FROM m1 GROUP BY ALL),
 mmean AS (SELECT DISTINCT {", ".join(f'k."{c}"' for c in k6)}, s.cover
           FROM m1 k LEFT JOIN smean s ON {same("k", "s", ["siteID", "species", "Year"])}
           WHERE k."Treatment" <> 'XC' AND k.cover IS NULL AND k.presence IS NOT NULL),
@@ -2206,13 +2255,13 @@ z3 AS (SELECT * REPLACE (CASE WHEN "totalBryophytes" IS NULL THEN pleuro + acro
          replace("Treatment", ' ', '') AS "Treatment", replace(species, ' ', '.') AS species) FROM z2),
 z4 AS (SELECT * REPLACE (CASE WHEN "turfID" = 'Gud12C' THEN '12' ELSE "blockID" END AS "blockID") FROM z3),
 f1 AS (SELECT * REPLACE (CASE WHEN "turfID" = 'Alr2XC' AND "Year" = 2016 AND species = 'Agr.cap'
-         THEN (SELECT CASE WHEN count(cover) = count(*) THEN sum(cover) END FROM z4 WHERE "turfID" = 'Alr2XC' AND "Year" = 2016 AND species = 'Agr.cap')
+         THEN (SELECT CASE WHEN count(cover) = count(*) THEN {_sql_exact('cover')} END FROM z4 WHERE "turfID" = 'Alr2XC' AND "Year" = 2016 AND species = 'Agr.cap')
          ELSE cover END AS cover) FROM z4),
 f2 AS (SELECT f1.*, CASE WHEN f1.species IN ('Jun.sp', 'Phl.sp', 'Luz.tri') THEN 'graminoid'
          WHEN f1.species IN ('Ped.pal', 'Pop.tre', 'Ste.als', 'Ste.sp', 'Porub', 'Arenaria', 'Pilosella') THEN 'forb'
          WHEN t.fg IN ('pteridophyte', 'woody') THEN 'forb' ELSE t.fg END AS "functionalGroup"
        FROM f1 LEFT JOIN traits t ON f1.species IS NOT DISTINCT FROM t.species),
-f3 AS (SELECT *, CASE WHEN count(cover) OVER w = count(*) OVER w THEN sum(cover) OVER w END AS sumcover FROM f2
+f3 AS (SELECT *, CASE WHEN count(cover) OVER w = count(*) OVER w THEN {_sql_exact('cover', ' OVER w')} END AS sumcover FROM f2
        WINDOW w AS (PARTITION BY "turfID", "Year", "functionalGroup")),
 f4 AS (SELECT * REPLACE (
          CASE "turfID" || ' ' || "Year" WHEN 'Alr3G 2017' THEN 8.6 WHEN 'Alr5F 2017' THEN 17.5 WHEN 'Alr5G 2017' THEN 17.5 WHEN 'Fau2F 2017' THEN 4.0
@@ -2229,19 +2278,17 @@ f5 AS (SELECT * REPLACE (
               WHEN species = 'Hol.lan' AND "Year" = 2017 AND "turfID" = 'Vik5C' THEN 60.0 ELSE "totalForbs" END AS "totalForbs") FROM f4)
 SELECT DISTINCT CASE "siteID" WHEN 'Ulvhaugen' THEN 'Ulvehaugen' WHEN 'Skjellingahaugen' THEN 'Skjelingahaugen' WHEN 'Ovstedal' THEN 'Ovstedalen'
          ELSE "siteID" END AS "siteID", "blockID", "Treatment", "turfID", "Year", "totalGraminoids" AS "graminoidCov", "totalForbs" AS "forbCov",
-       "totalBryophytes" AS "mossCov", "vegetationHeight", "mossHeight", litter, round(cover, 6) AS cover, species, "functionalGroup",
-       round(sumcover, 6) AS sumcover
+       "totalBryophytes" AS "mossCov", "vegetationHeight", "mossHeight", litter, cover, species, "functionalGroup", sumcover
 FROM f5"""
 
 
 # The whole chain: both stages above, side tables, merge, imputation, attribute
-# re-join, roll-up, strict sums and point corrections. Sums of scaled covers
-# are rounded, as their last bits depend on the order of the rows.
+# re-join, roll-up, strict sums and point corrections. Sums and means of scaled
+# covers are exact, so their bits don't depend on the order of the rows.
 @register("community_chain", _community_chain_sql())
 def community_chain(spark, sf):
     from . import community as CM
     folder = staging_dir(spark)
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    out = CM.community(_community_inputs(spark, sf), folder)
-    return out.withColumns({c: F.round(c, 6) for c in ("cover", "sumcover")}).distinct()
+    return CM.community(_community_inputs(spark, sf), folder)

@@ -39,6 +39,7 @@ from ..operators import impute as I
 from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
+from ..operators import rules as RU
 from ..session import stage
 from . import dictionaries as D
 from ..sources.inline import inline_table
@@ -235,22 +236,22 @@ def composition_long(inp: CommunityInputs, staging: str | None = None) -> DataFr
     return identity_fixes(c)
 
 
+# fixed values: ordered identity repairs of turfs and blocks (target, tests, new value or (old, new) text within it)
+IDENTITY_RULES = RU.as_rules([
+    ("turfID", [("blockID", "==", "16"), ("siteID", "==", "Gudmedalen")], ("16", "5")),
+    ("turfID", [("siteID", "==", "Alrust"), ("blockID", "==", "3"), ("Year", "==", 2015), ("Treatment", "==", "C")], "Alr3C"),
+    ("turfID", [("turfID", "==", "Alr4FGB")], "Alr5C"),
+    ("turfID", [("turfID", "==", "Lav1G ")], "Lav1G"),
+    ("blockID", [("blockID", "==", "16"), ("siteID", "==", "Gudmedalen")], ("16", "5")),
+    ("blockID", [("turfID", "==", "Gud12C")], "12"),
+])
+
+
 def identity_fixes(c: DataFrame) -> DataFrame:
     ttc = D.ttc_turf_df(c.sparkSession)
     c = J.join(c, ttc, [("turfID", "TTtreat")], "left", suffix=(".old", ".new"), broadcast=True)
-    site, block, turf = F.col("siteID"), F.col("blockID"), F.col("turfID")
-    gud16 = (block == F.lit("16")) & (site == "Gudmedalen")
-    c = C.apply_ordered_many(c, [
-        ("turfID", F.col("`turfID.new`").isNotNull(), F.col("`turfID.new`")),
-        ("turfID", gud16, F.regexp_replace(turf, "16", "5")),
-        ("turfID", (site == "Alrust") & (block == "3") & (F.col("Year") == 2015) & (F.col("Treatment") == "C"),
-         F.lit("Alr3C")),
-    ])
-    c = c.withColumn("turfID", S.recode("turfID", {"Alr4FGB": "Alr5C", "Lav1G ": "Lav1G"}))
-    c = C.apply_ordered_many(c, [
-        ("blockID", gud16, F.regexp_replace(block, "16", "5")),
-        ("blockID", turf == "Gud12C", F.lit("12")),
-    ])
+    c = c.withColumn("turfID", F.coalesce("`turfID.new`", "turfID"))
+    c = RU.apply_rules(c, IDENTITY_RULES)
     drop = [
         (F.col("blockID") == "4") & (F.col("Year") == 2015) & (F.col("siteID") == "Alrust"),
         (F.col("turfID") == "Gud12C") & (F.col("Year") == 2015),
