@@ -13,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 ColumnOrName = Column | str
@@ -132,6 +133,18 @@ def n_distinct(c: ColumnOrName) -> Column:
 # conversions and text
 # --------------------------------------------------------------------------
 
+def in_order(df: DataFrame, c: str, collation: str | None) -> Column:
+    """The column, a text one in the order of a locale (a collation name such
+    as ``"nb"``) where one is given; else binary order."""
+    text = isinstance(df.schema[c].dataType, T.StringType)
+    return F.collate(F.col(f"`{c}`"), collation) if collation and text else F.col(f"`{c}`")
+
+
+def plain_text(c: Column) -> Column:
+    """The value as text without a collation of its own."""
+    return F.collate(c.cast("string"), "UTF8_BINARY")
+
+
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
 
 

@@ -7,6 +7,7 @@ collect; an empty result means the check passed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +44,76 @@ def missing_listing(df: DataFrame, value: str, keys: Sequence[str], where: Colum
     return df.filter(cond).select(*keys).distinct()
 
 
+@dataclass(frozen=True)
+class Check:
+    """A rule on the rows of each key: ``unique`` (one row), ``complete`` (``expected`` rows at least), ``one value`` (of ``value``; a
+    missing one counts as a value) or ``known`` (no ``value`` missing, among the rows where ``where`` holds)."""
+    name: str
+    kind: str
+    keys: tuple
+    value: str | None = None
+    expected: int | None = None
+    where: Column | None = None
+
+
+def violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(check, keys, n): the keys that break a rule, for all rules in one aggregation with GROUPING SETS, one set for each
+    list of keys, so the table is read and shuffled once. ``keys`` is a text (``name=value;...``, a missing value
+    as ``NA``); ``n``: rows of the key, for ``known`` those without a value."""
+    kinds = ("unique", "complete", "one value", "known")
+    for c in checks:
+        if c.kind not in kinds:
+            raise ValueError(f"{c.name}: unknown kind {c.kind!r}")
+    cols = list(dict.fromkeys(k for c in checks for k in c.keys))
+    sets = list(dict.fromkeys(tuple(c.keys) for c in checks))
+    values = list(dict.fromkeys(c.value for c in checks if c.value))
+    read = list(dict.fromkeys([*cols, *values]))
+    flags = {f"__w{i}": F.coalesce(c.where, F.lit(False)) for i, c in enumerate(checks) if c.where is not None}
+    # values keep their own columns: a grouped key is NULL outside its sets
+    given = df.select(*[F.col(f"`{c}`") for c in read], *[F.col(f"`{v}`").alias(f"__v{i}") for i, v in enumerate(values)], *[w.alias(n) for n, w in flags.items()])
+    at = {v: f"__v{i}" for i, v in enumerate(values)}
+    rows, aggs = F.count(F.lit(1)), {}
+    for i, c in enumerate(checks):
+        if c.kind == "one value":
+            v = F.col(at[c.value])
+            aggs[f"__c{i}"] = F.coalesce(F.min(v) != F.max(v), F.lit(False)) | ((F.count(v) > 0) & (F.count(v) < rows))
+        elif c.kind == "known":
+            missing = F.col(at[c.value]).isNull()
+            aggs[f"__c{i}"] = F.count(F.when(missing & F.col(f"__w{i}") if c.where is not None else missing, F.lit(1)))
+    grouped = given.groupingSets([[F.col(f"`{k}`") for k in s] for s in sets], *[F.col(f"`{k}`") for k in cols]).agg(
+        F.grouping_id().alias("__set"), rows.alias("__n"), *[a.alias(n) for n, a in aggs.items()])
+    out = []
+    for i, c in enumerate(checks):
+        number = sum(1 << (len(cols) - 1 - k) for k, name in enumerate(cols) if name not in c.keys)
+        n = F.col(f"__c{i}") if c.kind == "known" else F.col("__n")
+        broken = {"unique": F.col("__n") > 1, "complete": F.col("__n") < F.lit(c.expected), "one value": F.col(f"__c{i}") if c.kind == "one value" else None,
+                  "known": F.col(f"__c{i}") > 0 if c.kind == "known" else None}[c.kind]
+        keys = F.concat_ws(";", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("NA"))) for k in c.keys])
+        out.append(F.when((F.col("__set") == number) & broken, F.struct(F.lit(c.name).alias("check"), keys.alias("keys"), n.cast("long").alias("n"))))
+    return grouped.select(F.explode(F.filter(F.array(*out), lambda x: x.isNotNull())).alias("v")).select("v.check", "v.keys", "v.n")
+
+
 def distinct_levels(df: DataFrame, *cols: str) -> DataFrame:
     """Distinct values (or value combinations) of the given columns."""
     return df.select(*cols).distinct()
 
 
-def preview(df: DataFrame, order: Sequence[str], n: int = 6) -> DataFrame:
-    """First ``n`` rows in a given order (a top-n: each task keeps n rows)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
+def preview(df: DataFrame, order: Sequence[str], n: int = 6, collation: str | None = None) -> DataFrame:
+    """First ``n`` rows in a given order (a top-n: each task keeps n rows);
+    texts in the order of ``collation``, if given."""
+    return df.orderBy(*[S.in_order(df, c, collation).asc_nulls_last() for c in order]).limit(n)
+
+
+def sorted_rows(df: DataFrame, order: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Rows sorted for a listing or a sink (range partitioned, in parallel);
+    texts in the order of ``collation``, if given."""
+    return df.orderBy(*[S.in_order(df, c, collation).asc_nulls_last() for c in order])
+
+
+def text_range(df: DataFrame, keys: Sequence[str], value: str, collation: str | None = None) -> DataFrame:
+    """First and last text of each key (``first``, ``last``), in the order of ``collation``, if given."""
+    v = S.in_order(df, value, collation)
+    return df.groupBy(*keys).agg(S.plain_text(F.min(v)).alias("first"), S.plain_text(F.max(v)).alias("last"))
 
 
 def logit_histogram(df: DataFrame, value: str, lo: float, hi: float, bins: int,
@@ -98,8 +161,9 @@ _RANGED = ("character", "integer", "numeric", "Date")
 
 
 def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
-                    keep_table_id: bool = False) -> DataFrame:
-    """Describe every column of ``data``.
+                    keep_table_id: bool = False, collation: str | None = None) -> DataFrame:
+    """Describe every column of ``data``. Ranges of text columns are in binary
+    order or, with ``collation``, in that of a locale (``"nb"``).
 
     * type from the column's class (text/logical -> categorical,
       integer/numeric -> numeric, date -> date, anything else NULL; a
@@ -116,7 +180,7 @@ def data_dictionary(data: DataFrame, descriptions: DataFrame, table_id: str,
     ranged = [f.name for f in fields if _classes(f.dataType)[0] in _RANGED]
     if ranged:
         rng = data.agg(*[
-            F.concat(F.min(F.col(f"`{c}`")).cast("string"), F.lit(" - "), F.max(F.col(f"`{c}`")).cast("string")).alias(c)
+            F.concat(S.plain_text(F.min(S.in_order(data, c, collation))), F.lit(" - "), S.plain_text(F.max(S.in_order(data, c, collation)))).alias(c)
             for c in ranged])
         rng = rng.unpivot([], [F.col(f"`{c}`") for c in ranged], VAR, VRANGE)
     else:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,14 +26,20 @@ def non_null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in cols])
 
 
-def drop_all_null_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def known_counts(cols: Sequence[str]) -> dict[str, Column]:
+    """The count of known values of each column, as aggregates."""
+    return {c: F.count(F.col(f"`{c}`")) for c in cols}
+
+
+def drop_all_null_columns(df: DataFrame, cols: Sequence[str] | None = None, counts: Mapping[str, int] | None = None) -> DataFrame:
     """Drop the columns (among ``cols``) that hold no known value.
 
     The column *set* depends on the data, so one single-row aggregate is
-    read on the driver; no data rows are collected.
+    read on the driver; no data rows are collected. ``counts``: the counts of
+    known values where they were taken already (``session.stage_observed``).
     """
     cols = list(cols or df.columns)
-    counts = non_null_counts(df, cols).first().asDict()
+    counts = counts if counts is not None else non_null_counts(df, cols).first().asDict()
     return df.drop(*[c for c in cols if counts[c] == 0])
 
 

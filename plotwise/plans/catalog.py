@@ -17,10 +17,12 @@ sequence of single IEEE operations written the same way in both plans.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exact as X
 from ..functions import semantics as S
@@ -35,6 +37,7 @@ from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators import rules as RU
 from ..session import stage, staging_dir
+from ..sources import io as IO
 from ..sources.io import table
 from ..sources.inline import inline_table
 from . import dictionaries as DD
@@ -1114,6 +1117,118 @@ def missing_listing(spark, sf):
                              where=S.is_in("Treatment", ["1-URGENT", "2-HIGH"]))
 
 
+@register("quality_checks_one_pass", """
+WITH x AS (SELECT l_orderkey, l_linenumber, l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year,
+                  CASE WHEN l_partkey % 13 <> 0 THEN l_quantity END AS cover, CASE WHEN l_partkey % 17 <> 0 THEN l_returnflag END AS flag FROM lineitem)
+SELECT 'row id' AS "check", 'l_orderkey=' || l_orderkey || ';l_linenumber=' || l_linenumber AS keys, count(*) AS n FROM x GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL SELECT 'one cover', 'l_orderkey=' || l_orderkey || ';l_linenumber=' || l_linenumber, count(*) FROM x GROUP BY l_orderkey, l_linenumber
+  HAVING count(DISTINCT cover) + max(CASE WHEN cover IS NULL THEN 1 ELSE 0 END) > 1
+UNION ALL SELECT 'all years', 'l_suppkey=' || l_suppkey || ';year=' || year, count(*) FROM x GROUP BY l_suppkey, year HAVING count(*) < 80
+UNION ALL SELECT 'flags known', 'l_suppkey=' || l_suppkey || ';flag=' || coalesce(flag, 'NA'), count(*) FROM x WHERE flag IS NULL AND l_linenumber > 3 GROUP BY l_suppkey, flag
+UNION ALL SELECT 'covers known', 'year=' || year, count(*) FROM x WHERE cover IS NULL GROUP BY year
+""")
+def quality_checks_one_pass(spark, sf):
+    x = _t(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", _year("l_shipdate").alias("year"), F.when(F.col("l_partkey") % 13 != 0, F.col("l_quantity")).alias("cover"),
+        F.when(F.col("l_partkey") % 17 != 0, F.col("l_returnflag")).alias("flag"))
+    row = ("l_orderkey", "l_linenumber")
+    return Q.violations(x, [
+        Q.Check("row id", "unique", row), Q.Check("one cover", "one value", row, value="cover"), Q.Check("all years", "complete", ("l_suppkey", "year"), expected=80),
+        Q.Check("flags known", "known", ("l_suppkey", "flag"), value="flag", where=F.col("l_linenumber") > 3), Q.Check("covers known", "known", ("year",), value="cover")])
+
+
+_WORDS_SQL = """WITH w AS (SELECT lang, source, CASE doc_id % 4 WHEN 0 THEN replace(w, 'a', 'å') WHEN 1 THEN replace(w, 'o', 'Ø') WHEN 2 THEN replace(w, 'e', 'æ') ELSE w END AS word
+  FROM (SELECT lang, source, doc_id, unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM documents))"""
+
+
+@register("locale_text_range", _WORDS_SQL + """
+SELECT lang, source, arg_min(word, icu_sort_key(word, 'nb')) AS first, arg_max(word, icu_sort_key(word, 'nb')) AS last FROM w GROUP BY 1, 2
+""")
+def locale_text_range(spark, sf):
+    docs = _t(spark, sf, "documents").select("lang", "source", "doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w"))
+    k, w = F.col("doc_id") % 4, F.col("w")
+    letter = lambda a, b: F.replace(w, F.lit(a), F.lit(b))
+    words = docs.select("lang", "source", F.when(k == 0, letter("a", "å")).when(k == 1, letter("o", "Ø")).when(k == 2, letter("e", "æ")).otherwise(w).alias("word"))
+    return Q.text_range(words, ["lang", "source"], "word", collation="nb")
+
+
+# ==========================================================================
+# delimited files: orders written as field sheets, read back by the rules of the readers
+# ==========================================================================
+
+def _folder(spark, name):
+    folder = staging_dir(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_SHEET = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("site", T.StringType()), T.StructField("cover", T.DoubleType())])
+_SHEET_SQL = """WITH c AS (SELECT o_orderkey AS k, o_orderdate, o_custkey, o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+s AS (SELECT k, CASE WHEN k % 53 = 0 THEN '#' || k ELSE CAST(k AS VARCHAR) END AS id,
+             CASE WHEN k % 43 = 0 THEN 'NA' WHEN k % 47 = 0 THEN '' ELSE o_orderpriority END AS site,
+             CASE WHEN k % 31 = 0 THEN 'WHAT HAPPENED' WHEN k % 37 = 0 THEN 'NA' WHEN k % 41 = 0 THEN '' WHEN k % 59 = 0 THEN '1,2,3'
+                  ELSE (cents // 100) || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS cover FROM c)"""
+
+
+def _sheet_files(spark, sf):
+    """Orders as text cells with a decimal comma, some of them missing, blank or no number; written as delimited files."""
+    k, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("long")
+    number = F.concat(F.floor(cents / 100).cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+    cells = _t(spark, sf, "orders").select(
+        F.when(k % 53 == 0, F.concat(F.lit("#"), k.cast("string"))).otherwise(k.cast("string")).alias("id"),
+        F.when(k % 43 == 0, F.lit("NA")).when(k % 47 == 0, F.lit("")).otherwise(F.col("o_orderpriority")).alias("site"),
+        F.when(k % 31 == 0, F.lit("WHAT HAPPENED")).when(k % 37 == 0, F.lit("NA")).when(k % 41 == 0, F.lit("")).when(k % 59 == 0, F.lit("1,2,3")).otherwise(number).alias("cover"))
+    path = _folder(spark, "sheets")
+    cells.write.option("header", True).option("sep", ";").option("emptyValue", '""').csv(path)
+    return IO.read_cells(spark, path, _SHEET.fieldNames())
+
+
+@register("typed_sheet_read", _SHEET_SQL + """
+SELECT TRY_CAST(id AS INTEGER) AS id, CASE WHEN site <> 'NA' THEN site END AS site, TRY_CAST(replace(cover, ',', '.') AS DOUBLE) AS cover FROM s
+""")
+def typed_sheet_read(spark, sf):
+    return IO.typed_cells(_sheet_files(spark, sf), _SHEET, decimal_comma=True)
+
+
+@register("bad_cell_listing", _SHEET_SQL + """
+SELECT 'id' AS "column", id AS text FROM s WHERE TRY_CAST(id AS INTEGER) IS NULL
+UNION ALL SELECT 'cover', cover FROM s WHERE cover NOT IN ('', 'NA') AND TRY_CAST(replace(cover, ',', '.') AS DOUBLE) IS NULL
+""")
+def bad_cell_listing(spark, sf):
+    return IO.bad_cells(_sheet_files(spark, sf), _SHEET, decimal_comma=True).select("column", "text")
+
+
+@register("keep_first_by_file_order", """
+SELECT CAST(o_custkey AS VARCHAR) AS customer, CAST(o_orderkey AS VARCHAR) AS first_order FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority DESC, o_orderkey) = 1
+""")
+def keep_first_by_file_order(spark, sf):
+    path = _folder(spark, "ordered")
+    # files in a known order; their names tell it
+    (_t(spark, sf, "orders").orderBy(F.desc("o_orderpriority"), "o_orderkey").select(F.col("o_custkey").cast("string").alias("customer"), F.col("o_orderkey").cast("string").alias("first_order"))
+     .write.option("header", True).option("sep", ";").csv(path))
+    cells = IO.read_cells(spark, path, ["customer", "first_order"]).select("customer", "first_order", IO.POSITION)
+    return G.first_row_per_key(cells, ["customer"], [IO.POSITION]).select("customer", "first_order")
+
+
+_CLEAN = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()), T.StructField("s_acctbal", T.DoubleType())])
+
+
+@register("published_round_trip", """
+SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'NA' WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN s_name || ', "x"' ELSE s_name END AS s_name,
+       CASE WHEN s_suppkey % 7 <> 0 THEN s_acctbal END AS s_acctbal FROM supplier
+""")
+def published_round_trip(spark, sf):
+    k = F.col("s_suppkey") % 5
+    clean = _t(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("long"), F.when(k == 0, F.lit("NA")).when(k == 1, F.lit(None)).when(k == 2, F.lit("")).when(k == 3, F.concat("s_name", F.lit(', "x"'))).otherwise(F.col("s_name")).alias("s_name"),
+        F.when(F.col("s_suppkey") % 7 != 0, F.col("s_acctbal")).alias("s_acctbal"))
+    path = _folder(spark, "published")
+    IO.publish_csv(clean, f"{path}/suppliers.csv", missing="")
+    return IO.read_published(spark, f"{path}/suppliers.csv", _CLEAN, missing="")
+
+
 @register("logit_histogram", """
 WITH x AS (SELECT CASE WHEN l_discount > 0 AND l_discount < 1 THEN ln(l_discount / (1.0 - l_discount)) END AS lg FROM lineitem)
 SELECT CASE WHEN lg < -5.0 THEN 0 WHEN lg >= 0.0 THEN 11

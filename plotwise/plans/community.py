@@ -40,7 +40,7 @@ from ..operators import joins as J
 from ..operators import quality as Q
 from ..operators import reshape as R
 from ..operators import rules as RU
-from ..session import stage
+from ..session import stage, stage_observed
 from . import dictionaries as D
 from ..sources.inline import inline_table
 
@@ -187,8 +187,8 @@ def corrections_tables(inp: CommunityInputs) -> tuple[DataFrame, DataFrame]:
 
 
 def composition_long(inp: CommunityInputs, staging: str | None = None) -> DataFrame:
-    """Sheets -> long cover table. The bound sheets are read twice (the
-    empty-column count, then the reshaping): ``staging`` keeps them."""
+    """Sheets -> long cover table. The empty columns are found while the bound
+    sheets are written to ``staging``."""
     lay = inp.layout
     sheets = list(inp.sheets)
     if inp.sheet_2018 is not None:
@@ -199,7 +199,8 @@ def composition_long(inp: CommunityInputs, staging: str | None = None) -> DataFr
             + R.col_range(c, lay.totals_first, lay.totals_last) + ["litter", "acro", "pleuro"]
             + R.col_range(c, lay.species_first, lay.species_last_kept))
     c = c.select(*[F.col(f"`{x}`").alias("Year" if x == "year" else x) for x in keep])
-    c = R.drop_all_null_columns(stage(c, staging, "sheets"))
+    c, known = stage_observed(c, staging, "sheets", R.known_counts(c.columns))
+    c = R.drop_all_null_columns(c, counts=known)
     if lay.species_first not in c.columns or lay.species_last_long not in c.columns:
         raise ValueError("species range endpoints must hold data in some sheet")
     long_cols = R.col_range(c, lay.species_first, lay.species_last_long)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Settings every plotwise job expects. AQE re-plans joins from runtime sizes
 # (broadcasts only what it measured to be small) and splits skewed join
@@ -79,6 +80,22 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return d
 
 
+def stage_observed(df: DataFrame, folder: str | None, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """:func:`stage`, and aggregates over all rows that are taken while they
+    are written (``Observation``), so they cost no pass of their own.
+    ``folder=None``: nothing is written, the aggregates are one pass.
+    """
+    short = {f"m{i}": c for i, c in enumerate(metrics.values())}
+    aggs = [c.alias(k) for k, c in short.items()]
+    if folder is None:
+        out, got = df, df.agg(*aggs).first().asDict()
+    else:
+        seen = Observation(f"{name}-{uuid.uuid4().hex}")
+        out = stage(df.observe(seen, *aggs), folder, name)
+        got = seen.get
+    return out, {m: got[k] for m, k in zip(metrics, short, strict=True)}
+
+
 def stage(df: DataFrame, folder: str | None, name: str) -> DataFrame:
     """Cut the lineage of a frame that is read several times: write it as
     Parquet under ``folder`` (shared by all executors) and read it back, so

@@ -124,3 +124,16 @@ def test_every_stage_of_the_registered_chain_fires(spark):
     assert out.filter("turfID = 'Vik2C' and Year = 2015").limit(1).count() == 1
     done = CM.finalize(out, CM.functional_groups(inp.character_traits))
     assert done.filter("species = 'Jun.sp' and functionalGroup = 'graminoid'").limit(1).count() == 1
+
+
+def test_empty_columns_are_found_while_the_sheets_are_written(spark, monkeypatch):
+    from plotwise.operators import reshape as R
+    folder = spark.conf.get("spark.checkpoint.dir")
+    want = CM.composition_long(inputs(spark)).columns
+
+    def counted(*_):
+        raise AssertionError("a pass of its own")
+
+    monkeypatch.setattr(R, "non_null_counts", counted)
+    got = CM.composition_long(inputs(spark), folder)
+    assert got.columns == want and "Empty sp" not in got.columns and got.count() > 0
