@@ -25,7 +25,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import tiktoken
-import unicodedata
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -44,87 +43,24 @@ SEQUENCE = 2048
 SHARD_SLOTS = 16_384
 KEY = "order-1"
 ROUNDS = 6
-#: Pieces that are remembered (about 200 bytes each), and the longest such piece in bytes.
-CACHE_PIECES, CACHE_BYTES = 60_000, 64
-#: Bytes of text that are encoded at once.
-ENCODE_BYTES = 1 << 18
-#: Texts with code points from here on, or with apostrophes, are split by the pattern itself.
-PLAIN = 0x3000
+#: Bytes of text that are encoded at once; characters from which a text's ids never are Python numbers.
+ENCODE_BYTES, LONG = 1 << 18, 100_000
 #: Most staged files whose counts are broadcast (about 100 bytes each).
 MAX_FILES = 1_000_000
 
-_LETTER, _NUMBER, _SPACE = 1, 2, 3
-_SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F]
-
-
-def _classes() -> np.ndarray:
-    out = np.zeros(PLAIN, np.uint8)
-    for c in range(PLAIN):
-        kind = unicodedata.category(chr(c))[0]
-        out[c] = _LETTER if kind == "L" else _NUMBER if kind == "N" else 0
-    out[_SPACES] = _SPACE
-    return out
-
 
 class Encoder:
-    """Token ids of texts. Pieces are found by character classes and each distinct piece is encoded once
-    while the bounded cache holds it; ids equal those of encoding every text by itself."""
+    """Token ids of texts; splitting and merging run in the tokenizer's native code."""
 
     def __init__(self, vocabulary: bytes):
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line)}
         self.bpe = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.classes, self.cache = _classes(), {}
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the n+1 offsets of the texts."""
-        texts = [t or "" for t in texts]
-        plain = [i for i, t in enumerate(texts) if t and "'" not in t and max(t) < chr(PLAIN)]
-        ids, counts = self._plain([texts[i] for i in plain]) if plain else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        if len(plain) == len(texts):
-            return ids, np.concatenate([[0], np.cumsum(counts)])
-        parts, at = dict(zip(plain, np.split(ids, np.cumsum(counts)[:-1]), strict=True)) if plain else {}, []
-        for i, t in enumerate(texts):
-            at.append(parts[i] if i in parts else np.array(self.bpe.encode_ordinary(t), np.uint32))
-        return np.concatenate(at) if at else ids, np.concatenate([[0], np.cumsum([len(a) for a in at])]).astype(np.int64)
-
-    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joined = "".join(texts)
-        cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        kind = self.classes[cp]
-        new = np.ones(len(cp), bool)
-        new[1:] = kind[1:] != kind[:-1]
-        new[off[:-1]] = True
-        # the last blank before a word: a piece of its own, or the head of the word's piece if it is a space
-        edge = np.zeros(len(cp) + 1, bool)
-        edge[off] = True
-        last = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & ~edge[1:-1])
-        new[last] = True
-        new[last[cp[last] == 0x20] + 1] = False
-        head = np.flatnonzero(new)
-        data = np.frombuffer(joined.encode(), np.uint8)
-        place = np.concatenate([[0], np.cumsum(1 + (cp >= 0x80) + (cp >= 0x800))])
-        # pieces lie side by side, so they are an Arrow array as they stand; its dictionary compares bytes
-        edges = pa.py_buffer(np.append(place[head], place[-1]))
-        coded = pa.Array.from_buffers(pa.large_binary(), len(head), [None, edges, pa.py_buffer(data)]).dictionary_encode()
-        which = coded.indices.to_numpy()
-        cache, got = self.cache, []
-        for piece in coded.dictionary.to_pylist():
-            ids = cache.get(piece)
-            if ids is None:
-                ids = np.array(self.bpe.encode_ordinary(piece.decode()), np.uint32).tobytes()
-                if len(piece) <= CACHE_BYTES:
-                    if len(cache) >= CACHE_PIECES:
-                        cache.clear()
-                    cache[piece] = ids
-            got.append(ids)
-        size = np.array([len(g) // 4 for g in got])
-        flat, first = np.frombuffer(b"".join(got), np.uint32), np.concatenate([[0], np.cumsum(size)])
-        n = size[which]
-        before = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(first[which] - before[:-1], n) + np.arange(before[-1])]
-        edges = np.concatenate([np.searchsorted(head, off[:-1]), [len(head)]])
-        return ids, np.diff(before[edges])
+        ids = [np.array(self.bpe.encode_ordinary(t), np.uint32) if len(t) < LONG else self.bpe.encode_to_numpy(t, disallowed_special=()) for t in (t or "" for t in texts)]
+        off = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int64)
+        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), off
 
 
 def _encoder(vocabulary: bytes) -> Encoder:
