@@ -191,6 +191,15 @@ def paired_zero_fill(df: DataFrame, a: str, b: str, total: str) -> DataFrame:
     return df.withColumn(total, S.if_else_na(F.col(total).isNull(), F.col(b) + F.col(a), F.col(total)))
 
 
+def total_fallback(df: DataFrame, ids: Sequence[str], totals: Sequence[str], fallback: str) -> DataFrame:
+    """Group totals that are missing take the summed cover ``fallback`` (one
+    of ``ids``): long, filled, and spread again, one row for each distinct
+    ``ids``; two values in one cell fail the job."""
+    long = reshape.to_long(df, ids, totals, "__total", "__cover")
+    filled = long.withColumn("__cover", S.if_else_na(F.col("__cover").isNull(), F.col(f"`{fallback}`"), F.col("__cover")))
+    return reshape.to_wide(filled, "__total", "__cover", totals, ids=ids)
+
+
 def decimal_repair(c: Column | str, limit: float, divisor: float = 100.0) -> Column:
     """Values above a plausibility limit lost their decimal comma: divide."""
     c = S.col(c)

@@ -89,6 +89,11 @@ def targeted_group_sum(df: DataFrame, keys: Sequence[str], value: str, pred: Col
              .drop(tmp, "__pred"))
 
 
+def cover_over_time(df: DataFrame, keys: Sequence[str], value: str, n_out: str = "n_species", out: str = "total_cover") -> DataFrame:
+    """Number of rows (species) and summed known cover of each unit and period."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n_out), sum_of(df, value).alias(out))
+
+
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in the given total order (ties broken by
     the order columns only, so pass a unique tail for determinism).

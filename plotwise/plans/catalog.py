@@ -692,11 +692,7 @@ def long_fill_spread(spark, sf):
         F.when(F.col("o_orderkey") % 7 != 0, F.round("o_totalprice")).alias("totalGraminoids"),
         F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey").cast("double")).alias("totalForbs"))
     base = J.join(o, sums, [("o_orderkey", "l_orderkey")], "left")
-    ids = ["o_orderkey", "o_custkey", "sumcover"]
-    long = R.to_long(base, ids, ["totalGraminoids", "totalForbs"], "totFunctionalGroup", "totCov")
-    long = long.withColumn("totCov", S.if_else_na(F.col("totCov").isNull(), F.col("sumcover"), F.col("totCov")))
-    # repeated rows count once in the spread, two values in one cell fail it
-    return R.to_wide(long, "totFunctionalGroup", "totCov", ["totalForbs", "totalGraminoids"], ids=ids)
+    return C.total_fallback(base, ["o_orderkey", "o_custkey", "sumcover"], ["totalForbs", "totalGraminoids"], "sumcover")
 
 
 @register("pre_post_long", """
@@ -1069,8 +1065,7 @@ SELECT "turfID", "Year", count(*) AS n_species, round(sum(cover), 2) AS total_co
 """)
 def cover_over_time(spark, sf):
     p = _precedence(spark, sf)
-    return p.groupBy("turfID", "Year").agg(F.count(F.lit(1)).alias("n_species"),
-                                           F.round(F.sum("cover"), 2).alias("total_cover"))
+    return G.cover_over_time(p, ["turfID", "Year"], "cover").withColumn("total_cover", F.round("total_cover", 2))
 
 
 # ==========================================================================

@@ -314,10 +314,8 @@ def rejoin_attributes(c2: DataFrame, t1516: DataFrame, t17: DataFrame, fgbs: Dat
     joined = J.natural_join(c2.filter(can_match), f, "full")
     c2 = c2.filter(~can_match).unionByName(joined)
     c2 = C.paired_zero_fill(c2, "acro", "pleuro", "totalBryophytes")
-    c2 = c2.withColumn("turfID", S.if_else_na(S.matches("turfID", "TTC"), F.col("turfID"),
-                                              F.substring("turfID", 4, 2147483647)))
+    c2 = C.rebuild_ids(c2, "turfID", "siteID", "TTC")
     c2 = c2.withColumn("Treatment", F.regexp_replace("Treatment", " ", ""))
-    c2 = c2.withColumn("turfID", S.paste(S.r_substr("siteID", 1, 3), F.col("turfID")))
     c2 = c2.withColumn("species", F.regexp_replace("species", " ", "."))
     return c2.withColumn("blockID", S.if_else_na(F.col("turfID") == "Gud12C", F.lit("12"), F.col("blockID")))
 

@@ -137,3 +137,23 @@ def test_empty_columns_are_found_while_the_sheets_are_written(spark, monkeypatch
     monkeypatch.setattr(R, "non_null_counts", counted)
     got = CM.composition_long(inputs(spark), folder)
     assert got.columns == want and "Empty sp" not in got.columns and got.count() > 0
+
+
+def test_sheet_of_2018_with_averaged_heights(spark):
+    """Heights of the 2018 sheet are means per turf over its readings, written with 15 digits; trial and outside rows stay out."""
+    inp = inputs(spark)
+    base = row("Alrust", "1", "F", "Alr1F", "%", "2018", "A", "20", "7")
+    at = {c: i for i, c in enumerate(SHEET_COLS)}
+
+    def reading(turf="Alr1F", sub="%", height="5", moss="2", tt=None):
+        r = list(base)
+        r[at["turfID"]], r[at["subPlot"]], r[at["vegetationHeight"]], r[at["mossHeight"]], r[at["TTtreat"]] = turf, sub, height, moss, tt
+        return tuple(r)
+
+    inp.sheet_2018 = sheet(spark, [reading(height="10"), reading(sub="1", height="x", moss=None), reading(sub="2", height="1"), reading(sub="3", height="3", moss="1"),
+                                   reading(turf="Alr9OUT"), reading(tt="TT1 5", height="900"), reading(tt="OUT", height="900")])
+    got = [(r.turfID, r.vegetationHeight, r.mossHeight) for r in CM.average_heights(inp.sheet_2018).filter("subPlot = '%'").collect()]
+    assert got == [("Alr1F", "4.66666666666667", "1.66666666666667")]
+    c = CM.composition_long(inp).filter("Year = 2018")
+    assert {(r.turfID, r.vegetationHeight, r.mossHeight, r.species) for r in c.collect()} == {("Alr1F", 4.66666666666667, 1.66666666666667, s) for s in ("Ach.mil", "Agr.cap", "Vio.sp")}
+    assert CM.community(inp, spark.conf.get("spark.checkpoint.dir")).filter("Year = 2018").count() > 0
