@@ -12,10 +12,11 @@ similarity reaches the threshold.
   set is moved. Lists are gathered under the smallest document of the element (the pivot); the members'
   whole sets meet there and are intersected exactly.
 
-A group of more than ``BLOCK`` members (or ``ELEMENTS`` elements) is cut into blocks, and each pair of blocks is a task of its own
-(which also sees its pivot block's unions), so no task's memory grows with a group. A task returns a
-spanning forest of its links, fewer edges than members; links within a task that join nothing new are
-not emitted, so components are exact and rows stay linear.
+A group of more than ``BLOCK`` members (or ``ELEMENTS`` elements) is cut into blocks, so no task's memory grows with
+it. First each block meets itself and ``CENTRES`` members drawn from the whole group, which is linear in the group and joins
+its near copies. Sets that are in one component by then needn't meet any more: only pairs of blocks with
+different components go on. A task returns a spanning forest of its links, fewer edges than members, and
+compares no two sets that it already knows to be joined; components are exact and rows stay linear.
 
 Hashes are 63 bits wide; classes are keyed by size and two independent 64-bit sums.
 
@@ -33,7 +34,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,6 +46,8 @@ from plotwise.llm.text import buffer, distinct, mix, shingles, slices
 COUNTED = 0.25
 #: Members of a block, and elements of its sets all together: what meets in one task is two blocks at most.
 BLOCK, ELEMENTS = 1000, 400_000
+#: Members of a large group that all its blocks meet (at most).
+CENTRES = 16
 #: What a set of n elements costs on the inverted lists, in rows per element.
 LIST_COST = 4
 
@@ -159,10 +162,12 @@ def _prefix_lists(classes: DataFrame, percent: int, least: int) -> DataFrame:
 
 def _group_edges(percent: int):
     def links(group: pd.DataFrame) -> pd.DataFrame:
-        """A spanning forest of the links among a task's sets (within or between two blocks)."""
+        """A spanning forest of the links among a task's sets that have different labels: within a block, or
+        between two blocks (``i`` and ``j``)."""
         empty = pd.DataFrame({"x": pd.Series(dtype="int64"), "y": pd.Series(dtype="int64")})
         m = len(group)
-        if m < 2:
+        label = np.unique(group["label"].to_numpy(), return_inverse=True)[1]
+        if label.max(initial=0) == 0:
             return empty
         docs, n = group["doc"].to_numpy(), group["n"].to_numpy()
         first = np.concatenate([[0], np.cumsum(n)])
@@ -173,59 +178,103 @@ def _group_edges(percent: int):
         size = np.diff(np.concatenate([begin, [len(keys)]]))
         member = np.empty(len(keys), np.int64)
         member[order] = np.repeat(np.arange(len(begin)), size)  # the list of each element
-        lists, up = owner[order], np.arange(m)
-
-        def root(i):
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-
-        out = []
-        for i in range(m):
+        lists = owner[order]
+
+        across = group["i"].iloc[0] != group["j"].iloc[0]
+        if across:  # the smaller block asks the other
+            side = (group["own"] == group["i"]).to_numpy()
+            asking = np.flatnonzero(side if 2 * side.sum() <= m else ~side)
+        else:  # the largest label comes last: nothing is left to ask then
+            asking = np.argsort(np.bincount(label)[label], kind="stable")
+        asked, out = np.zeros(m, bool), []
+        for i in asking:
+            asked[i] = True
+            open_ = (label != label[i]) & ((side != side[i]) if across else ~asked)
             own = member[first[i] : first[i + 1]]
             own = own[size[own] > 1]
-            if not len(own):
+            if not len(own) or not open_.any():
                 continue
             # positions of all members of the lists of i's elements
             count, start = size[own], begin[own]
             at = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
             common = np.bincount(lists[at], minlength=m)
-            common[: i + 1] = 0
-            linked = np.flatnonzero((common > 0) & (100 * common >= percent * (n[i] + n - common)))
-            for j in linked:
-                a, b = root(i), root(j)
-                if a != b:
-                    up[max(a, b)] = min(a, b)
+            for j in np.flatnonzero(open_ & (common > 0) & (100 * common >= percent * (n[i] + n - common))):
+                if label[i] != label[j]:
+                    label[label == label[j]] = label[i]
                     out.append((docs[i], docs[j]))
         return pd.DataFrame(out, columns=["x", "y"]).astype("int64") if out else empty
 
     return links
 
 
-def _heavy_edges(docs: DataFrame, classes: DataFrame, n_words: int, percent: int, light: int, block: int) -> DataFrame:
-    lists = stage(_prefix_lists(classes, percent, need(light + 1, percent)), "lists")  # small: ids only
-    sizes = lists.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
-    blocks = F.ceil(F.greatest(F.col("m") / block, F.col("total") / ELEMENTS)).cast("int")
-    mine = F.pmod(F.xxhash64("doc", "pivot"), F.col("blocks").cast("long")).cast("int")
-    # block i meets every block j: a member goes to the tasks (min(i, j), max(i, j)) of its group
-    tasks = (lists.join(sizes, "pivot").withColumn("blocks", blocks).withColumn("i", mine)
-             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("doc", "pivot", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")))
-    tasks = stage(tasks, "tasks")
-
+def _meet(docs: DataFrame, tasks: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The links found by ``tasks``: (doc, pivot, i, j, own, label), a row for each set in each task (pivot, i, j)."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             key, _, off = _keys(b, n_words)
             yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(np.diff(off), pa.int64()), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(key.astype(np.int64)))], ["doc", "n", "elems"])
 
     # only texts that meet others are moved
+    tasks = stage(tasks, "tasks")
     wanted = stage(tasks.select("doc").distinct(), "wanted")
     may, _ = sift(docs.select(F.col("doc_id").cast("long").alias("doc"), "text"), "doc", wanted)
     whole = may.join(wanted, "doc", "left_semi").mapInArrow(sets, "doc long, n long, elems array<long>")
     return tasks.join(whole, "doc").groupBy("pivot", "i", "j").applyInPandas(_group_edges(percent), "x long, y long")
 
 
+def _n_blocks(members: str, elements: str, block: int) -> Column:
+    return F.ceil(F.greatest(F.col(members) / block, F.col(elements) / ELEMENTS)).cast("int")
+
+
+def _dealt(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("doc", "pivot"), F.col(blocks).cast("long")).cast("int")
+
+
+def _centre_tasks(hot: DataFrame) -> DataFrame:
+    """Every block of a large group with the group's centres: linear in the group."""
+    drawn = F.xxhash64("pivot", "doc")
+    centres = hot.groupBy("pivot", F.pmod(drawn, F.lit(CENTRES))).agg(F.min_by("doc", F.struct(drawn, "doc")).alias("doc"), F.first("blocks").alias("blocks"))
+    everywhere = centres.select("doc", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    members = hot.select("doc", "pivot", _dealt("blocks").alias("i")).unionByName(everywhere).distinct()
+    return members.withColumns({"j": F.col("i"), "own": F.col("i"), "label": F.col("doc")})
+
+
+def _open_tasks(hot: DataFrame, found: DataFrame, block: int) -> DataFrame:
+    """Pairs of blocks of the large groups that centres leave open. A component that fills a block has blocks of its own,
+    which needn't meet each other; the members of all smaller ones share blocks."""
+    labelled = (hot.select("doc", "pivot", "n").join(found, F.col("doc") == F.col("node"), "left")
+                .select("doc", "pivot", "n", F.coalesce("component", "doc").alias("label")))
+    labels = labelled.groupBy("pivot", "label").agg(F.count("*").alias("k"), F.sum("n").alias("total"))
+    part = F.when((F.col("k") >= block) | (F.col("total") >= ELEMENTS), F.col("label"))
+    labels = stage(labels.withColumn("part", part), "labels")
+    group = W.partitionBy("pivot")  # a row for each part: as many as blocks at most
+    parts = (labels.groupBy("pivot", "part").agg(F.sum("k").alias("k"), F.sum("total").alias("total")).withColumn("blocks", _n_blocks("k", "total", block))
+             .withColumn("all", F.sum("blocks").over(group).cast("int")).withColumn("parts", F.count("*").over(group))
+             .withColumn("start", F.coalesce(F.sum("blocks").over(group.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("int"))
+             .filter("part is null or parts > 1").select(F.col("pivot").alias("_pivot"), F.col("part").alias("_part"), "blocks", "all", "start"))
+    placed = labels.join(parts, (F.col("pivot") == F.col("_pivot")) & F.col("part").eqNullSafe(F.col("_part"))).select("pivot", "label", "part", "blocks", "all", "start")
+    # block i meets block j: a member goes to the tasks (min(i, j), max(i, j)) of its group
+    return (labelled.join(placed, ["pivot", "label"]).withColumn("own", F.col("start") + _dealt("blocks"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("all") - 1)))
+            .filter("part is null or other < start or other >= start + blocks")
+            .select("doc", "pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "label"))
+
+
+def _heavy_edges(docs: DataFrame, classes: DataFrame, n_words: int, percent: int, light: int, block: int) -> DataFrame:
+    lists = stage(_prefix_lists(classes, percent, need(light + 1, percent)), "lists")  # small: ids only
+    sizes = lists.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total")).filter("m > 1")
+    groups = stage(sizes.select("pivot", _n_blocks("m", "total", block).alias("blocks")), "groups")
+    zero = F.lit(0)
+    tasks = (lists.join(groups.filter("blocks = 1"), "pivot")
+             .select("doc", "pivot", zero.alias("i"), zero.alias("j"), zero.alias("own"), F.col("doc").alias("label")))
+    large = groups.filter("blocks > 1")
+    if large.isEmpty():
+        return _meet(docs, tasks, n_words, percent)
+    hot = lists.join(large, "pivot")
+    first = stage(_meet(docs, _centre_tasks(hot), n_words, percent), "centre-links")
+    return _meet(docs, tasks.unionByName(_open_tasks(hot, components(first), block)), n_words, percent).unionByName(first)
+
+
 def link(docs: DataFrame, n_words: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of ``docs``; the component is the smallest
     doc_id that links reach."""

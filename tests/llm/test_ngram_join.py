@@ -98,3 +98,38 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(300, 299), (299, 300), (400, 400)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(1, 61)) and all(got[i] == 100 for i in range(101, 160)) and got[300] == 299 and 400 not in got
+
+
+def families(sizes, drift, seed):
+    """Groups of near copies that all share a rare passage; ``drift`` copies change one another in a chain."""
+    rng, rows = random.Random(seed), []
+    shared = [f"rare{i}" for i in range(6)]
+    for f, size in enumerate(sizes):
+        now = [f"f{f}w{i}" for i in range(90)]
+        for c in range(size):
+            text = list(now)
+            text[rng.randrange(90)] = f"e{f}x{c}"
+            if c < drift:
+                now = text
+            rows.append(" ".join(shared + text))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("sizes,drift", [((60,), 0), ((30, 25, 1, 1, 2), 0), ((40, 12), 40), ((1,) * 30, 0)])
+def test_large_groups(documents, sizes, drift):
+    rows = families(sizes, drift, sum(sizes))
+    got = sorted(map(tuple, J.link(documents(*rows), 4, 85, 7).collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_near_copies_settle_in_linear_tasks(spark):
+    """Members of one component don't meet again; a stranger meets every block once."""
+    hot = spark.range(1, 101).selectExpr("id doc", "1L pivot", "10L n", "10 blocks")
+    found = spark.range(2, 101).selectExpr("id node", "1L component")
+    assert J._open_tasks(hot, found, 10).count() == 0
+    left = J._open_tasks(hot, found.filter("node < 100"), 10)
+    tasks = left.select("i", "j").distinct().count()
+    assert tasks <= 11 and left.filter("label = 1").count() == 99
+    first = J._centre_tasks(hot)
+    assert first.select("i", "j").distinct().count() == 10 and first.count() <= 100 + 10 * J.CENTRES
