@@ -62,3 +62,23 @@ def test_pruning_never_loses_a_tie():
         whole = queries[i] @ columns
         order = np.lexsort((ids, -whole))[:5]
         assert found.tolist() == order.tolist() and score.tolist() == whole[order].tolist()
+
+
+def test_a_known_bound_drops_only_what_it_excludes():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    columns = rng.integers(-3, 4, (24, 300)).astype(float)
+    queries = rng.integers(-3, 4, (6, 24)).astype(float)
+    ids, none = np.arange(300), np.full(6, -1)
+    free = {i: list(zip(score.tolist(), found.tolist(), strict=True)) for i, found, score in search_block(queries, none, ids, columns, 5, stride=2)}
+    for cut in (0, 2, 4):
+        least = np.array([free[i][cut][0] for i in range(6)], float)
+        for i, found, score in search_block(queries, none, ids, columns, 5, stride=2, least=least):
+            assert list(zip(score.tolist(), found.tolist(), strict=True)) == [x for x in free[i] if x[0] >= least[i]]
+
+
+def test_bounds_carry_over_vectors_of_several_lengths(spark):
+    rows = vectors(60, 12) + [(i + 100, v) for i, v in vectors(50, 7, seed=2)] + [(300, [1.0] * 3), (301, [0.5] * 3)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    got = top_k(df, df.filter(F.col("vec_id") % 10 == 0), candidates=9, query_block=4)
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()} == brute(rows, {i for i, _ in rows if i % 10 == 0})
