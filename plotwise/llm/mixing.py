@@ -6,7 +6,7 @@ repetition rate. A document is emitted floor(rate) times plus one copy drawn by
 Bernoulli trial whose probability is the fraction.
 
 Defined results: a null text counts 0 words; a null source is a source of its own and comes last;
-rows with a null or repeated doc_id each count and are drawn by their own key (repeated rows agree);
+rows with a repeated doc_id each count; a row is drawn by its id or, without one, by its text (repeated rows agree);
 an empty table gives an empty mix; other columns pass through untouched.
 """
 
@@ -32,6 +32,11 @@ def unit_hash(*parts: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def draw_key(docs: DataFrame) -> Column:
+    """What tells the rows of a source and size apart: the id, or the text where the id is missing."""
+    return F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("text "), F.xxhash64(docs["text"]).cast("string")))
+
+
 def source_targets(sizes: DataFrame, weights=(3, 1, 2), budget: float = 1.5, cap: float = 2.0) -> DataFrame:
     """(source, source_size, target) from (source, source_size), one row per source.
 
@@ -62,11 +67,11 @@ def mix_counts(docs: DataFrame, weights=(3, 1, 2), budget: float = 1.5, cap: flo
     Texts are read once (the sizes are staged). The per-source table is joined on without a hint: Spark
     measures it, broadcasts it when small and splits a hot source otherwise.
     """
-    sized = stage(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "mix-sizes")
+    sized = stage(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), draw_key(docs).alias("_draw")), "mix-sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, budget, cap)
     targets = targets.withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    drawn = unit_hash(F.col("doc_id"), F.col("source"), F.col("size"), seed=seed) < F.col("_rate") - F.floor("_rate")
+    drawn = unit_hash(F.col("_draw"), F.col("source"), F.col("size"), seed=seed) < F.col("_rate") - F.floor("_rate")
     return (sized.join(targets, F.col("source").eqNullSafe(F.col("_source")))
             .withColumn("_rate", rate)
             .withColumn("copies", (F.floor("_rate") + drawn.cast("int")).cast("long"))
@@ -81,6 +86,6 @@ def mix(docs: DataFrame, weights=(3, 1, 2), budget: float = 1.5, cap: float = 2.
         F.col("source").alias(key),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias(rate))
     joined = docs.join(stage(rates, "mix-rates"), docs["source"].eqNullSafe(F.col(key))).withColumn(size, n_words(F.col("text")))
-    drawn = unit_hash(F.col("doc_id"), F.col("source"), F.col(size), seed=seed) < F.col(rate) - F.floor(rate)
+    drawn = unit_hash(draw_key(docs), F.col("source"), F.col(size), seed=seed) < F.col(rate) - F.floor(rate)
     copies = (F.floor(rate) + drawn.cast("int")).cast("int")
     return joined.withColumn(size, F.explode(F.array_repeat(F.lit(1), copies))).select(*[docs[c] for c in docs.columns])

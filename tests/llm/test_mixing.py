@@ -48,3 +48,12 @@ def test_mix_repeats_rows_and_keeps_columns(documents):
     assert out.columns == docs.columns
     want = {(r.doc_id, r.copies) for r in M.mix_counts(docs).collect() if r.copies}
     assert {(r.doc_id, r["count"]) for r in out.groupBy("doc_id").count().collect()} == want
+
+
+def test_rows_without_an_id_are_drawn_apart(documents):
+    docs = documents(*[(None, f"w{i} x", "ab"[i % 2]) for i in range(400)])
+    got = M.mix_counts(docs)
+    # every row of a source has the same size: only the text tells them apart
+    for r in got.groupBy("source").agg(F.first("target").alias("t"), F.sum("taken").alias("n"), F.first("source_size").alias("size")).collect():
+        assert r.n == pytest.approx(r.t, rel=0.15)
+    assert M.mix(docs).count() == got.agg(F.sum("copies")).first()[0]
