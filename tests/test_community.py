@@ -157,3 +157,17 @@ def test_sheet_of_2018_with_averaged_heights(spark):
     c = CM.composition_long(inp).filter("Year = 2018")
     assert {(r.turfID, r.vegetationHeight, r.mossHeight, r.species) for r in c.collect()} == {("Alr1F", 4.66666666666667, 1.66666666666667, s) for s in ("Ach.mil", "Agr.cap", "Vio.sp")}
     assert CM.community(inp, spark.conf.get("spark.checkpoint.dir")).filter("Year = 2018").count() > 0
+
+
+def test_sheet_rows_are_corrected_before_they_are_made_long(spark):
+    """Joins and identity fixes meet one row per sheet row, not one per species; repeated dictionary entries still repeat their rows."""
+    inp = inputs(spark)
+    corr, merge = "old string, new string, siteID string, turfID string, Year int, cover string, functionalGroup string", "old string, new string"
+    keyed = ("Agr.cap", "Agr.cap2", "Alrust", "Alr2F", 2017, "9", None)
+    inp.species_corrections = spark.createDataFrame([keyed, keyed, ("Ach.mil", None, "Alrust", "Alr2F", 2017, "3", None)], corr)
+    inp.merge_dictionary = spark.createDataFrame([("Agr.cap2", "Agr.cap"), ("Ach.mil", "A"), ("Ach.mil", "B"), ("Vio.sp", "A")], merge)
+    c = CM.composition_long(inp, spark.conf.get("spark.checkpoint.dir"))
+    plan = c._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")
+    got = sorted((r.species, r.cover) for r in c.filter("turfID = 'Alr2F'").collect())
+    assert got == [("A", 2.0), ("A", 3.0), ("Agr.cap", 9.0), ("Agr.cap", 9.0), ("B", 3.0)]
