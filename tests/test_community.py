@@ -171,3 +171,37 @@ def test_sheet_rows_are_corrected_before_they_are_made_long(spark):
     assert plan.index("Generate") < plan.index("Join")
     got = sorted((r.species, r.cover) for r in c.filter("turfID = 'Alr2F'").collect())
     assert got == [("A", 2.0), ("A", 3.0), ("Agr.cap", 9.0), ("Agr.cap", 9.0), ("B", 3.0)]
+
+
+def test_cells_of_one_name_are_imputed_together(spark):
+    """A cell without cover and presence takes the cover imputed for another cell of its keys (here two columns of one name), whether the
+    composition comes long or one row per sheet row."""
+    inp = inputs(spark)
+    inp.merge_dictionary = spark.createDataFrame([("Vio.sp", "Ach.mil")], "old string, new string")
+    inp.sheets[0] = inp.sheets[0].limit(2).union(sheet(spark, [row("Alrust", "2", "F", "Alr9F", "%", "2016", "A", "5", "4", vio="9")]))
+    folder = spark.conf.get("spark.checkpoint.dir")
+    gr = CM.relational_covers(inp)
+    nested = CM.with_blanks(CM.composition_nested(inp, folder))
+    assert nested.count() == 5  # one row per cover row of the sheets
+    flat = CM.merge_and_impute(CM.composition_long(inp, folder), gr, folder)
+    out = CM.cells_long(CM.merge_and_impute(nested, gr, folder)).drop("presence")
+    at = "turfID = 'Alr1F' and Year = 2016 and species = 'Ach.mil'"
+    assert [r.cover for r in out.filter(at).collect()] == [7.0, 7.0]  # site mean of 5 and 9
+    assert sorted(map(str, out.select(flat.columns).collect())) == sorted(map(str, flat.collect()))
+
+
+def test_long_rows_are_shuffled_once_after_the_roll_up(spark):
+    from plotwise.session import stage
+    folder = spark.conf.get("spark.checkpoint.dir")
+    inp = inputs(spark)
+    gr, comp = CM.relational_covers(inp), CM.composition_long(inp, folder)
+    c2 = stage(CM.rejoin_attributes(CM.merge_and_impute(comp, gr, folder), *CM.side_tables(comp, inp.bryophytes_2017)[1:], CM.side_tables(comp, inp.bryophytes_2017)[0]), folder, "r")
+    groups = stage(CM.functional_groups(inp.character_traits), folder, "fg")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = CM.finalize(c2, groups)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert "cover" in plan and "hashpartitioning(turfID" in plan
+    assert sum("Exchange hashpartitioning" in x and "siteID" in x for x in plan.splitlines()) == 0  # the distinct step
