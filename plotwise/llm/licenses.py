@@ -12,7 +12,8 @@ window of the greatest product in each run of windows that could reach ``MIN_COS
 ancestor directory that has one, found by joins on directory paths.
 
 Directories are resolved, not files: ancestors are listed once per distinct directory, so a directory of very many
-files costs one row.
+files costs one row. Neither the ancestors nor the license files' directories are broadcast: both grow with the
+tree, and the size of a compressed file tells little about them.
 
 Defined results: null and empty texts carry no license and may inherit one; null paths neither give nor take;
 of several matching lines and windows (a window's line is that of its first word) the best counts, then the earliest, ties of templates go to the smaller name; of several
@@ -220,12 +221,13 @@ def inherit(files: DataFrame) -> DataFrame:
     name = F.element_at(F.split("path", "/"), -1)
     placed = files.withColumn("_dir", directory(F.col("path")))
     rank = F.struct((-F.col("own_score")).alias("s"), F.col("own_license").alias("l"), "path")
-    speaks = (placed.filter(F.col("own_license").isNotNull() & name.rlike(LICENSE_NAME)).groupBy("_dir")
-              .agg(F.min(rank).alias("_best")).select(F.col("_dir").alias("_at"), F.col("_best.l").alias("_license")))
+    # staged, so that Spark can split the ancestors of a license that very many directories are below
+    speaks = stage(placed.filter(F.col("own_license").isNotNull() & name.rlike(LICENSE_NAME)).groupBy("_dir")
+                   .agg(F.min(rank).alias("_best")).select(F.col("_dir").alias("_at"), F.col("_best.l").alias("_license")), "license-directories")
     parts = F.split("_dir", "/")
     up = F.transform(F.sequence(F.lit(0), F.when(F.col("_dir") == "", 0).otherwise(F.size(parts))), lambda i: F.struct(i.alias("_depth"), F.when(i == 0, F.lit("")).otherwise(F.array_join(F.slice(parts, 1, F.greatest(i, F.lit(1))), "/")).alias("_at")))
     listed = placed.filter(F.col("_dir").isNotNull()).select("_dir").distinct().withColumn("_up", F.explode(up)).select("_dir", "_up._depth", "_up._at")
-    nearest = listed.join(speaks, "_at").groupBy("_dir").agg(F.max(F.struct("_depth", "_at", "_license")).alias("_near"))
+    nearest = listed.hint("merge").join(speaks, "_at").groupBy("_dir").agg(F.max(F.struct("_depth", "_at", "_license")).alias("_near"))
     return (placed.join(nearest, "_dir", "left")
             .withColumn("license", F.coalesce("own_license", "_near._license"))
             .withColumn("inherited_from", F.when(F.col("own_license").isNull(), F.col("_near._at"))).drop("_dir", "_near"))

@@ -73,6 +73,25 @@ def test_inheritance_matches_a_walk_up(spark):
     assert got == nearest(without) and L.inherit(df.limit(0)).count() == 0
 
 
+def test_no_broadcast_of_ancestors(spark, tmp_path):
+    n, limit = 20_000, 1 << 20
+    path = F.when(F.col("id") == 0, "a/LICENSE").otherwise(F.concat_ws("/", F.lit("a"), F.lit("b" * 40), F.col("id").cast("string"), F.lit("x.txt")))
+    lic = F.when(F.col("id") == 0, "MIT")
+    spark.range(0, n, 1, 2).select(F.col("id").alias("doc_id"), path.alias("path"), lic.alias("own_license"), F.when(lic.isNotNull(), 0.9).alias("own_score")).write.option("compression", "zstd").parquet(str(tmp_path / "f"))
+    assert sum(p.stat().st_size for p in (tmp_path / "f").glob("*.parquet")) < limit / 4 and 4 * 40 * n > limit  # small as a file, not as ancestors
+    with_limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(with_limit)
+    spark.conf.set(with_limit, str(limit))
+    try:
+        out = L.inherit(spark.read.parquet(str(tmp_path / "f")))
+        got = out.groupBy("license", "inherited_from").count().collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        assert sorted((r.license, r.inherited_from or "", r["count"]) for r in got) == [("MIT", "", 1), ("MIT", "a", n - 1)]
+        assert "BroadcastHashJoin" not in plan.toString() and "SortMergeJoin" in plan.toString()
+    finally:
+        spark.conf.set(with_limit, before)
+
+
 def test_empty_table(spark):
     assert L.own_licenses(spark.createDataFrame([], FILES)).count() == 0
 
